@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .types import SET_DESCRIPTORS
-from .values import BASE64_PATTERN, decode_string, decoded_base64, format_number, parse_number
+from .values import decode_string, decoded_base64, format_number, parse_number, strict_json
 
 DEFAULT_DEPTH = 8
 
@@ -125,14 +125,14 @@ def decode_map(col: Column, base64: bool = False, depth: int = DEFAULT_DEPTH) ->
 
 def decode_binary(col: Column) -> Column:
     """Bytes as a variant: JSON if they hold JSON (base64-in-JSON decoded one map level deep), else text."""
-    text = col.cast("string")
-    node = F.try_parse_json(text)
+    text = F.try_validate_utf8(col.cast("string"))
+    node = strict_json(text)
     fields = _at(node, "$", _FIELDS)
     kind = F.schema_of_variant(node)
 
     def inner(value: Column) -> Column:
         """JSON text inside base64 text, null if there is none."""
-        return F.to_json(F.try_parse_json(F.try_validate_utf8(decoded_base64(value).cast("string"))))
+        return F.to_json(strict_json(F.try_validate_utf8(decoded_base64(value).cast("string"))))
 
     def member(value: Column) -> Column:
         is_text = F.schema_of_variant(value) == "STRING"
@@ -141,7 +141,7 @@ def decode_binary(col: Column) -> Column:
     rebuilt = _rebuild(fields, F.lit(None).cast(_ITEMS), member)
     return (
         F.when(col.isNull() | (F.length(col) == 0), F.lit(None).cast("variant"))
-        .when(node.isNull(), text.cast("variant"))
+        .when(node.isNull(), col.cast("string").cast("variant"))
         .when(kind == "STRING", F.coalesce(F.parse_json(inner(_at(node, "$", "string"))), node))
         .when(kind.startswith("OBJECT"), F.parse_json(rebuilt))
         .otherwise(node)
@@ -163,16 +163,3 @@ def has_nested_set(node: Column, depth: int = DEFAULT_DEPTH) -> Column:
     below = F.exists(entries, lambda e: _is_set(e["node"]) | has_nested_set(e["node"], depth - 1))
     return F.when(entries.isNotNull(), below).otherwise(F.lit(False))
 
-
-__all__ = [
-    "BASE64_PATTERN",
-    "DEFAULT_DEPTH",
-    "base64_text",
-    "decode_binary",
-    "decode_list",
-    "decode_map",
-    "has_nested_set",
-    "json_text",
-    "tag_text",
-    "untag_text",
-]

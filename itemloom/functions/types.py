@@ -63,3 +63,14 @@ def descriptor_of(kind: T.DataType) -> str:
     if isinstance(kind, (T.StringType, T.TimestampType, T.TimestampNTZType, T.DateType)):
         return "S"
     raise ValidationError(f"no descriptor for a column of type {kind.simpleString()}")
+
+
+def loose(kind: T.DataType) -> T.DataType:
+    """The type with nulls allowed at every level, as results of casts and unions have it."""
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(loose(kind.elementType), True)
+    if isinstance(kind, T.MapType):
+        return T.MapType(kind.keyType, loose(kind.valueType), True)
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, loose(f.dataType), True) for f in kind.fields])
+    return kind

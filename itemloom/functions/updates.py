@@ -19,6 +19,7 @@ from ..errors import ValidationError
 from ..table import quoted
 from .exprs import bind, sql_literal
 from .tagged import DESCRIPTORS, untag
+from .types import loose
 from .values import is_infinite, parse_number
 
 
@@ -230,7 +231,7 @@ def payload_name(at: int) -> str:
 
 def payload(actions: Sequence[Action], schema: T.StructType) -> list[Column]:
     """The per-request values of the actions, as columns next to the request keys."""
-    kinds = {f.name: f.dataType for f in schema.fields}
+    kinds = {f.name: loose(f.dataType) for f in schema.fields}
     out = []
     for at, action in enumerate(actions):
         if action.kind in ("remove", "expression"):
@@ -303,7 +304,7 @@ def new_value(action: Action, old: Column, old_kind: T.DataType | None, at: int,
     """Column of the attribute after the action, over the joined row of old item and request."""
     given = F.col(payload_name(at))
     given_kind = requests[payload_name(at)].dataType if payload_name(at) in requests.names else None
-    kind = old_kind if old_kind is not None else given_kind
+    kind = loose(old_kind if old_kind is not None else given_kind) if old_kind or given_kind else None
     if old_kind is None and action.kind not in ("remove", "expression"):
         old = F.lit(None).cast(kind)
     numeric = isinstance(kind, T.NumericType)
@@ -393,7 +394,6 @@ def fold_updates(
     Sums and last values combine before the shuffle. Set members are made distinct per key first,
     so a key with very many requests is spread by its members.
     """
-    kinds = {f.name: f.dataType for f in schema.fields}
     aggregates, member_columns = [], []
     for at, action in enumerate(actions):
         name = payload_name(at)

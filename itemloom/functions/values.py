@@ -88,8 +88,19 @@ def decode_string(col: Column, base64: bool = False) -> Column:
     return F.when(col.endswith("="), F.coalesce(text, col)).otherwise(col)
 
 
+def strict_json(col: Column) -> Column:
+    """Variant of a text that is one JSON value and nothing else; null otherwise.
+
+    The JSON reader stops after the first value, so the text is read inside a list and inside an
+    object: what follows a value breaks at least one of the two.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), col, F.lit("]"))).try_cast("array<variant>")
+    named = F.try_parse_json(F.concat(F.lit('{"v":'), col, F.lit("}"))).try_cast("map<string,variant>")
+    return F.when((F.size(listed) == 1) & (F.size(named) == 1), listed[0])
+
+
 def is_json_object(col: Column) -> Column:
-    kind = F.schema_of_variant(F.try_parse_json(col))
+    kind = F.schema_of_variant(strict_json(col))
     return F.coalesce(kind.startswith("OBJECT"), F.lit(False))
 
 

@@ -20,6 +20,7 @@ from ..functions import updates as U
 from ..functions.codec import PRESENT
 from ..functions.exprs import SqlText
 from ..functions.exprs import condition as condition_column
+from ..functions.types import loose
 from ..table import ItemTable, quoted
 
 RETURN_MODES = ("NONE", "ALL_OLD", "ALL_NEW", "UPDATED_OLD", "UPDATED_NEW")
@@ -275,8 +276,8 @@ def put_items(
     payload = []
     for name in attributes:
         value = quoted(name)
-        if name in kinds and kinds[name] != items.schema[name].dataType:
-            value = value.cast(kinds[name])
+        if name in kinds and loose(kinds[name]) != loose(items.schema[name].dataType):
+            value = value.cast(loose(kinds[name]))
         payload.append(value.alias(_new(name)))
         if tracked:
             payload.append(F.array_contains(PRESENT, name).alias(_has(name)))
@@ -407,7 +408,7 @@ def apply_requests(table: ItemTable, folded: DataFrame) -> DataFrame:
     kinds = {f.name: f.dataType for f in table.df.schema.fields}
     requests = folded.select(
         *[quoted(k).alias(_key(k)) for k in table.keys],
-        *[quoted(a).cast(kinds[a]).alias(_new(a)) for a in attributes],
+        *[quoted(a).cast(loose(kinds[a])).alias(_new(a)) for a in attributes],
         *[F.array_contains(PRESENT, a).alias(_has(a)) for a in attributes],
         RESET,
         PUTS,

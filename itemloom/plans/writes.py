@@ -280,7 +280,7 @@ _list_update("upd6_list_append", "SET names = list_append(names, :v)", f"list_co
 _list_update(
     "upd8_list_set", "SET names[1] = :v", "CASE WHEN c_mktsegment <> 'BUILDING' THEN [c_mktsegment, r.last, 'z'] END"
 )
-_list_update("upd8_list_set_end", "SET names[3] = :v", f"list_concat({_NAMES}, [r.last])")
+_list_update("upd8_list_set_end", "SET names[3] = :v", "CASE WHEN c_mktsegment <> 'BUILDING' THEN [c_mktsegment, c_name, 'z', r.last] END")
 _list_update("upd8_list_set_beyond", "SET names[4] = :v", _NAMES)
 _list_update("upd14_list_remove", "REMOVE names[0]", "CASE WHEN c_mktsegment <> 'BUILDING' THEN [c_name, 'z'] END")
 
@@ -358,7 +358,7 @@ def _set_update(name: str, expression: str, value: str) -> None:
 
 
 _set_update("upd9_set_union", "ADD words :w", f"list_distinct(list_concat({_WORDS}, {_GIVEN}))")
-_set_update("upd10_set_difference", "DELETE words :w", f"list_filter({_WORDS}, x -> NOT list_contains({_GIVEN}, x))")
+_set_update("upd10_set_difference", "DELETE words :w", f"list_filter({_WORDS}, lambda x: NOT list_contains({_GIVEN}, x))")
 _set_update("upd11_set_replace", "SET words = :w", f"list_distinct({_GIVEN})")
 
 
