@@ -87,7 +87,7 @@ def _value(tag: Column, descriptor: str, kind: T.DataType, number_type: str, dep
         return F.transform(raw, lambda v: below(v, kind.elementType))
     # a document of undeclared shape: the members carry tags, the value itself is bare
     wrapped = F.concat(F.lit('{"' + descriptor + '":'), F.to_json(raw), F.lit("}"))
-    return F.when(raw.isNotNull(), F.parse_json(documents.untag_text(F.parse_json(wrapped), depth)))
+    return F.when(raw.isNotNull(), F.parse_json(documents.bound(F.parse_json(wrapped), lambda v: documents.untag_text(v, depth))))
 
 
 def decode_items(
@@ -147,7 +147,7 @@ def _tagged(col: Column, descriptor: str, kind: T.DataType, markers: bool, depth
     """Struct or variant that ``to_json`` prints as the tagged value."""
     null_tag = F.when(col.isNull(), F.lit(True)).alias("NULL")
     if isinstance(kind, T.VariantType):
-        text = F.parse_json(documents.tag_text(col, depth))
+        text = F.parse_json(documents.bound(col, lambda v: documents.tag_text(v, depth)))
         return text if markers else F.when(col.isNotNull(), text)
     if descriptor in SET_DESCRIPTORS:
         # an empty set is an absent attribute

@@ -17,6 +17,9 @@ from .values import decode_string, decoded_base64, format_number, parse_number,
 
 DEFAULT_DEPTH = 8
 
+# Fixed value: a number as JSON writes it.
+JSON_NUMBER = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
+
 _FIELDS = "map<string,variant>"
 _ITEMS = "array<variant>"
 
@@ -26,6 +29,11 @@ def json_text(text: Column) -> Column:
     return F.to_json(text.cast("variant"))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` mentions it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _at(node: Column, path: str, kind: str) -> Column:
     return F.try_variant_get(node, path, kind)
 
@@ -52,9 +60,11 @@ def _rebuild(fields: Column, items: Column, visit: Callable[[Column], Column]) -
         ",",
     )
     # the body stands in the expression once: a second mention would double it at every level
-    opening = F.when(fields.isNotNull(), F.lit("{")).otherwise(F.lit("["))
-    closing = F.when(fields.isNotNull(), F.lit("}")).otherwise(F.lit("]"))
-    return F.concat(opening, body, closing)
+    return F.concat(
+        F.when(fields.isNotNull(), F.lit("{")).otherwise(F.lit("[")),
+        body,
+        F.when(fields.isNotNull(), F.lit("}")).otherwise(F.lit("]")),
+    )
 
 
 def _too_deep() -> Column:
@@ -85,12 +95,13 @@ def tag_text(node: Column, depth: int = DEFAULT_DEPTH) -> Column:
 def untag_text(node: Column, depth: int = DEFAULT_DEPTH) -> Column:
     """Plain JSON text of a tagged document; parts without a tag stay as they are."""
     text, num = _at(node, "$.S", "string"), _at(node, "$.N", "string")
-    fields = F.coalesce(_at(node, "$.M", _FIELDS))
+    fields = _at(node, "$.M", _FIELDS)
     items = F.coalesce(_at(node, "$.L", _ITEMS), _at(node, "$", _ITEMS))
     nested = _too_deep() if depth == 0 else _rebuild(fields, items, lambda v: untag_text(v, depth - 1))
     return (
         F.when(text.isNotNull(), json_text(text))
-        .when(num.isNotNull(), format_number(parse_number(num)))
+        .when(num.rlike(JSON_NUMBER), num)
+        .when(num.isNotNull(), F.coalesce(F.to_json(parse_number(num).cast("variant")), F.lit("null")))
         .when(_at(node, "$.BOOL", "boolean").isNotNull(), _at(node, "$.BOOL", "string"))
         .when(_at(node, "$.NULL", "boolean"), F.lit("null"))
         .when(_at(node, "$.B", "string").isNotNull(), json_text(_at(node, "$.B", "string")))
@@ -113,22 +124,21 @@ def base64_text(node: Column, depth: int = DEFAULT_DEPTH) -> Column:
 
 def decode_list(col: Column, depth: int = DEFAULT_DEPTH) -> Column:
     """Elements of list JSON text, plain or tagged, as ``array<variant>``."""
-    return F.parse_json(untag_text(F.try_parse_json(col), depth)).try_cast(_ITEMS)
+    plain = bound(F.try_parse_json(col), lambda node: untag_text(node, depth))
+    return F.parse_json(plain).try_cast(_ITEMS)
 
 
 def decode_map(col: Column, base64: bool = False, depth: int = DEFAULT_DEPTH) -> Column:
     """Map JSON text as a variant; with ``base64``, padded base64 texts inside are decoded."""
-    node = F.try_parse_json(col)
-    parsed = F.parse_json(base64_text(node, depth)) if base64 else node
-    return F.when(F.schema_of_variant(node).startswith("OBJECT"), parsed)
+    def decoded(node: Column) -> Column:
+        parsed = F.parse_json(base64_text(node, depth)) if base64 else node
+        return F.when(F.schema_of_variant(node).startswith("OBJECT"), parsed)
+
+    return bound(F.try_parse_json(col), decoded)
 
 
 def decode_binary(col: Column) -> Column:
     """Bytes as a variant: JSON if they hold JSON (base64-in-JSON decoded one map level deep), else text."""
-    text = F.try_validate_utf8(col.cast("string"))
-    node = strict_json(text)
-    fields = _at(node, "$", _FIELDS)
-    kind = F.schema_of_variant(node)
 
     def inner(value: Column) -> Column:
         """JSON text inside base64 text, null if there is none."""
@@ -138,14 +148,18 @@ def decode_binary(col: Column) -> Column:
         is_text = F.schema_of_variant(value) == "STRING"
         return F.coalesce(F.when(is_text, inner(_at(value, "$", "string"))), F.to_json(value), F.lit("null"))
 
-    rebuilt = _rebuild(fields, F.lit(None).cast(_ITEMS), member)
-    return (
-        F.when(col.isNull() | (F.length(col) == 0), F.lit(None).cast("variant"))
-        .when(node.isNull(), col.cast("string").cast("variant"))
-        .when(kind == "STRING", F.coalesce(F.parse_json(inner(_at(node, "$", "string"))), node))
-        .when(kind.startswith("OBJECT"), F.parse_json(rebuilt))
-        .otherwise(node)
-    )
+    def decoded(node: Column) -> Column:
+        kind = F.schema_of_variant(node)
+        rebuilt = _rebuild(_at(node, "$", _FIELDS), F.lit(None).cast(_ITEMS), member)
+        return (
+            F.when(node.isNull(), col.cast("string").cast("variant"))
+            .when(kind == "STRING", F.coalesce(F.parse_json(inner(_at(node, "$", "string"))), node))
+            .when(kind.startswith("OBJECT"), F.parse_json(rebuilt))
+            .otherwise(node)
+        )
+
+    value = bound(strict_json(F.try_validate_utf8(col.cast("string"))), decoded)
+    return F.when(F.length(col) > 0, value)
 
 
 def _is_set(node: Column) -> Column:

@@ -278,7 +278,8 @@ def cod8(spark, sf):
     tagged = F.concat(F.lit('[{"S":"'), F.col("event_type"), F.lit('"},{"N":"'), number, F.lit('"},'), third, F.lit("]"))
     plain = F.concat(F.lit('["'), F.col("event_type"), F.lit('",'), number, F.lit(","), F.col("props"), F.lit("]"))
     text = F.when(F.col("event_type") == "view", plain).otherwise(tagged)
-    df = read(spark, sf, "events").select("event_id", documents.decode_list(text).alias("list"))
+    texts = read(spark, sf, "events").select("event_id", text.alias("text"))
+    df = texts.select("event_id", documents.decode_list(F.col("text")).alias("list"))
     return df.select(
         "event_id",
         F.size("list").alias("n"),
@@ -300,7 +301,8 @@ def cod9(spark, sf):
         F.lit('{"value":'), values.format_number(F.col("value")), F.lit(',"deep":{"note":"'), padded,
         F.lit('","props":'), F.col("props"), F.lit("}}"),
     )
-    df = read(spark, sf, "events").select("event_id", documents.decode_map(text, base64=True).alias("m"))
+    texts = read(spark, sf, "events").select("event_id", text.alias("text"))
+    df = texts.select("event_id", documents.decode_map(F.col("text"), base64=True).alias("m"))
     return df.select(
         "event_id",
         F.variant_get("m", "$.deep.note", "string").alias("note"),
