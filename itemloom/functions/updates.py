@@ -408,7 +408,9 @@ def fold_updates(
             member_columns.append(name)
         elif action.kind in ("plus", "minus", "add"):
             text = isinstance(requests.schema[name].dataType, T.StringType)
-            aggregates.append(F.sum(parse_number(F.col(name)) if text else F.col(name)).alias(name))
+            addend = parse_number(F.col(name)) if text else F.col(name)
+            # one addend that is no number spoils the sum, which refuses the key
+            aggregates.append(F.when(F.count(addend) == F.count(F.lit(1)), F.sum(addend)).alias(name))
         elif action.kind == "remove_index":
             aggregates.append(F.sum(name).cast("int").alias(name))
         elif action.kind == "if_not_exists":

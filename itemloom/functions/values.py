@@ -17,6 +17,8 @@ TRUE_TEXTS = ("1", "t", "T", "TRUE", "true", "True")
 FALSE_TEXTS = ("0", "f", "F", "FALSE", "false", "False")
 
 INFINITY = float("inf")
+#: below this every whole number is a double
+EXACT_WHOLE = float(2**53)
 
 
 def is_infinite(col: Column) -> Column:
@@ -38,24 +40,21 @@ def format_number(col: Column, kind: T.DataType | None = None) -> Column:
     if isinstance(kind, T.DecimalType):
         text = col.cast("string")
         return F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
-    text = col.cast("string")
-    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    mantissa = F.regexp_replace(F.substring_index(F.ltrim(text, F.lit("-")), "E", 1), r"\.0$", "")
+    text, size = col.cast("string"), F.abs(col)
+    whole = col.try_cast("bigint")
+    # from 1e7 up Spark writes an exponent; a double has 17 digits at most, so this decimal is exact
+    exact = F.rtrim(F.rtrim(col.try_cast("decimal(38,17)").cast("string"), F.lit("0")), F.lit("."))
+    digits = F.rtrim(F.translate(F.substring_index(text, "E", 1), "-.", ""), F.lit("0"))
     exponent = F.substring_index(text, "E", -1).try_cast("int")
-    digits = F.replace(mantissa, F.lit("."), F.lit(""))
-    point = exponent + F.length(F.substring_index(mantissa, ".", 1))
-    whole = F.concat(
-        sign,
-        F.rpad(F.substring(digits, F.lit(1), point), point, F.lit("0")),
-        F.when(F.length(digits) > point, F.concat(F.lit("."), F.substring(digits, point + 1, F.length(digits)))).otherwise(
-            F.lit("")
-        ),
+    sign = F.when(col < 0, F.lit("-")).otherwise(F.lit(""))
+    shifted = F.when(exponent > 0, F.rpad(digits, exponent + 1, F.lit("0"))).otherwise(
+        F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
     )
-    fraction = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -point), digits)
     return (
-        F.when(~text.contains("E"), F.regexp_replace(text, r"\.0$", ""))
-        .when(exponent >= 0, whole)
-        .otherwise(fraction)
+        F.when((size < EXACT_WHOLE) & (whole.cast("double") == col), whole.cast("string"))
+        .when(~text.contains("E"), text)
+        .when((size >= 1e7) & (size < 1e20), exact)
+        .otherwise(F.concat(sign, shifted))
     )
 
 

@@ -238,7 +238,7 @@ def cod5(spark, sf):
     return df.select(
         "doc_id",
         F.size("words").cast("bigint").alias("members"),
-        F.md5(F.array_join(F.array_sort("words"), " ").cast("binary")).alias("digest"),
+        F.md5(F.array_join(F.sort_array("words"), " ").cast("binary")).alias("digest"),
     )
 
 

@@ -351,7 +351,7 @@ def _set_update(name: str, expression: str, value: str) -> None:
         return result.state.select(
             "doc_id",
             F.size("words").cast("bigint").alias("members"),
-            F.md5(F.array_join(F.array_sort("words"), " ").cast("binary")).alias("digest"),
+            F.md5(F.array_join(F.sort_array("words"), " ").cast("binary")).alias("digest"),
         )
 
     registered(name, sql)(run)
