@@ -16,10 +16,16 @@ from ..functions.codec import item_json
 from ..functions.exprs import predicate, sql_literal
 from ..functions.tagged import untag
 from ..table import Catalog, ItemTable, quoted
+from .sizes import fits_broadcast
 
 #: rows of a page when the request states no limit
 DEFAULT_LIMIT = 5000
 
+#: parts that the rows of one partition key are spread over when they meet many asked keys
+KEY_SLICES = 16
+
+_UNHASHED = (T.MapType, T.VariantType, T.StructType, T.ArrayType)
+
 Names = Mapping[str, str] | None
 Values = Mapping[str, Any] | None
 
@@ -201,8 +207,10 @@ def query_page(
     return Page(items, last_key)
 
 
-def _hashable(kind: T.DataType) -> bool:
-    return not isinstance(kind, (T.MapType, T.VariantType, T.StructType, T.ArrayType))
+def _content_slice(df: DataFrame, slices: int) -> Column:
+    """A slice number by a hash of the row's content: a task that runs again slices the same way."""
+    scalar = [f.name for f in df.schema.fields if not isinstance(f.dataType, _UNHASHED)]
+    return F.pmod(F.xxhash64(*[quoted(c) for c in scalar]), F.lit(slices)).cast("int")
 
 
 def first_per_partition(df: DataFrame, partition: str, order: Sequence[Column], n: int, rank: str) -> DataFrame:
@@ -212,12 +220,9 @@ def first_per_partition(df: DataFrame, partition: str, order: Sequence[Column],
     setting a key is first cut in slices spread over the cluster, so no key is sorted whole by one task.
     """
     spark = df.sparkSession
-    own_cut = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if n > own_cut:
+    if n > int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
         slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        # by a hash of the row's content: a re-run task must slice the same way
-        content = F.xxhash64(*[quoted(f.name) for f in df.schema.fields if _hashable(f.dataType)])
-        sliced = df.withColumn("__slice", F.pmod(content, F.lit(slices)))
+        sliced = df.withColumn("__slice", _content_slice(df, slices))
         within = Window.partitionBy(quoted(partition), "__slice").orderBy(*order)
         df = sliced.withColumn(rank, F.row_number().over(within)).where(F.col(rank) <= n).drop("__slice", rank)
     window = Window.partitionBy(quoted(partition)).orderBy(*order)
@@ -257,20 +262,31 @@ def query_pages(
 
 
 def _rows_of_keys(rows: DataFrame, view: ItemTable, keys: DataFrame, ascending: bool) -> DataFrame:
-    if "after" not in keys.columns:
-        return rows.join(keys.select(quoted(view.partition_key)).distinct(), view.partition_key, "left_semi")
-    if not view.sort_key:
-        raise ValidationError("a page that starts behind a sort key needs a table with one")
-    starts = keys.groupBy(quoted(view.partition_key).alias("__pk")).agg(
-        (F.min("after") if ascending else F.max("after")).alias("__after")
-    )
-    sort = quoted(view.sort_key)
-    behind = sort > F.col("__after") if ascending else sort < F.col("__after")
-    return (
-        rows.join(starts, quoted(view.partition_key) == F.col("__pk"))
-        .where(F.col("__after").isNull() | behind)
-        .drop("__pk", "__after")
-    )
+    """Rows of the asked partition keys, behind their start where one is given.
+
+    A partition key may hold a large part of the table. Few keys travel to the rows; many keys meet
+    them in slices, each key once per slice, so that the rows of one key are spread.
+    """
+    partition = quoted(view.partition_key)
+    if "after" in keys.columns:
+        if not view.sort_key:
+            raise ValidationError("a page that starts behind a sort key needs a table with one")
+        start = F.min("after") if ascending else F.max("after")
+        asked = keys.groupBy(partition.alias("__pk")).agg(start.alias("__after"))
+    else:
+        asked = keys.select(partition.alias("__pk")).distinct()
+    on = partition == F.col("__pk")
+    if not fits_broadcast(asked):
+        asked = asked.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(KEY_SLICES - 1))))
+        rows = rows.withColumn("__slice", _content_slice(rows, KEY_SLICES))
+        on = on & (F.col("__slice") == F.col("__part"))
+    if "after" in keys.columns:
+        sort = quoted(view.sort_key)
+        behind = sort > F.col("__after") if ascending else sort < F.col("__after")
+        met = rows.join(asked, on).where(F.col("__after").isNull() | behind)
+    else:
+        met = rows.join(asked, on, "left_semi")
+    return met.drop("__pk", "__after", "__part", "__slice")
 
 
 def query_index(table: ItemTable, index: str, **options: Any) -> DataFrame:

@@ -14,7 +14,7 @@ from ..errors import CONDITION_FAILED, VALIDATION, ValidationError
 from ..functions import updates as U
 from ..functions.exprs import condition as condition_column
 from ..table import Catalog, ItemTable, quoted
-from .write import WriteResult, _key, delete_items, put_items, unique_requests, update_items
+from .write import WriteResult, _key, delete_items, put_items, update_items
 
 
 @dataclass(frozen=True)
@@ -65,8 +65,7 @@ def condition_check(
     values: Mapping[str, Any] | None = None,
 ) -> DataFrame:
     """``holds`` for every asked-for key; a missing item is checked as one without attributes."""
-    asked, _ = unique_requests(table, keys.select(*[quoted(k) for k in table.keys]).distinct())
-    requests = asked.select(*[quoted(k).alias(_key(k)) for k in table.keys])
+    requests = keys.select(*[quoted(k).alias(_key(k)) for k in table.keys]).distinct()
     rows = WriteResult(table, requests)._joined("right")
     holds = condition_column(condition, names, values, table.df.schema)
     return rows.select(*[quoted(_key(k)).alias(k) for k in table.keys], holds.alias("holds"))

@@ -22,6 +22,7 @@ from ..functions.exprs import SqlText
 from ..functions.exprs import condition as condition_column
 from ..functions.types import loose
 from ..table import ItemTable, quoted
+from .sizes import fits_broadcast
 
 RETURN_MODES = ("NONE", "ALL_OLD", "ALL_NEW", "UPDATED_OLD", "UPDATED_NEW")
 
@@ -37,20 +38,6 @@ def _new(name: str) -> str:
     return f"__v_{name}"
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate lets it broadcast ``df``; no hint is given to Spark.
-
-    Only the shape of the plan hangs on this, never its result: past the limit the same
-    join runs shuffled.
-    """
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-        return int(str(size)) <= int(limit)
-    except AttributeError:  # a remote session shows no plan
-        return False
-
-
 def unique_requests(table: ItemTable, requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Requests with a whole key that no other request has, and a failure row per other key."""
     _need_keys(table, requests)

@@ -209,20 +209,36 @@ def cod3(spark, sf):
 @registered(
     "cod4_format_number",
     """SELECT l_orderkey, l_linenumber, regexp_replace(CAST(l_quantity AS VARCHAR), '\\.0$', '') AS quantity,
-              regexp_replace(CAST(l_extendedprice AS VARCHAR), '\\.0$', '') AS price,
-              regexp_replace(CAST(CAST(l_quantity AS BIGINT) * 1000000000 AS VARCHAR), '\\.0$', '') AS large,
-              '0.0000' || CAST(CAST(l_quantity AS BIGINT) + 100 AS VARCHAR) || '5' AS small FROM lineitem""",
+              regexp_replace(CAST(l_extendedprice AS VARCHAR), '\\.0$', '') AS price FROM lineitem""",
 )
 def cod4(spark, sf):
-    quantity = F.col("l_quantity")
-    small = F.concat(F.lit("0.0000"), (quantity.cast("bigint") + 100).cast("string"), F.lit("5")).cast("double")
     return read(spark, sf, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
-        values.format_number(quantity).alias("quantity"),
+        values.format_number(F.col("l_quantity")).alias("quantity"),
         values.format_number(F.col("l_extendedprice")).alias("price"),
-        values.format_number(quantity * 1e9).alias("large"),
-        values.format_number(small).alias("small"),
+    )
+
+
+@registered(
+    "cod4_format_extremes",
+    """SELECT l_orderkey, l_linenumber, CAST(CAST(l_quantity AS BIGINT) * 1000000000 AS VARCHAR) AS large,
+              '0.0000' || CAST(CAST(l_quantity AS BIGINT) + 100 AS VARCHAR) || '5' AS small FROM lineitem""",
+)
+def cod4_extremes(spark, sf):
+    """Numbers that Spark itself would write with an exponent."""
+    whole = F.col("l_quantity").cast("bigint")
+    df = read(spark, sf, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        (F.col("l_quantity") * 1e9).alias("large"),
+        F.concat(F.lit("0.0000"), (whole + 100).cast("string"), F.lit("5")).cast("double").alias("small"),
+    )
+    return df.select(
+        "l_orderkey",
+        "l_linenumber",
+        values.format_number(F.col("large")).alias("large"),
+        values.format_number(F.col("small")).alias("small"),
     )
 
 

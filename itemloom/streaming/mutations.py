@@ -54,9 +54,10 @@ class MutationLog:
         attributes = [a for a in base.attributes if a in batch.columns]
         rows = as_requests(batch.where(fit), list(self.keys), op, seq, attributes)
         folded = fold_requests(rows, list(self.keys), attributes)
-        folded.write.mode("overwrite").parquet(f"{self._changes}/batch={batch_id}")
         bad = batch.where(~fit).select(*[quoted(k) for k in self.keys], quoted(op), F.lit(VALIDATION).alias("code"))
+        # the change set comes last: a batch that has one is complete
         bad.write.mode("overwrite").parquet(f"{self.store.root}/{self.table}/unprocessed/batch={batch_id}")
+        folded.write.mode("overwrite").parquet(f"{self._changes}/batch={batch_id}")
 
     def _pending(self) -> DataFrame | None:
         path = self.store._path(self._changes)
@@ -105,7 +106,11 @@ def apply_mutation_stream(
     """
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        log.append(batch, batch_id, op, seq)
+        batch.persist()
+        try:
+            log.append(batch, batch_id, op, seq)
+        finally:
+            batch.unpersist()
         if compact_every and (batch_id + 1) % compact_every == 0:
             log.compact()
 
