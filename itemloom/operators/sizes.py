@@ -17,3 +17,16 @@ def fits_broadcast(df: DataFrame) -> bool:
         return int(str(size)) <= int(limit)
     except AttributeError:  # a remote session shows no plan
         return False
+
+
+def single_source(df: DataFrame) -> bool:
+    """Whether ``df`` reads one source only, so that reading it twice costs two scans and no more."""
+    try:
+        return df._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
+    except AttributeError:
+        return False
+
+
+def requests_travel(items: DataFrame, requests: DataFrame) -> bool:
+    """Whether a few requests are sent to many items, rather than both being shuffled by key."""
+    return fits_broadcast(requests) and not fits_broadcast(items) and single_source(items)

@@ -22,7 +22,7 @@ from ..functions.exprs import SqlText
 from ..functions.exprs import condition as condition_column
 from ..functions.types import loose
 from ..table import ItemTable, quoted
-from .sizes import fits_broadcast
+from .sizes import requests_travel
 
 RETURN_MODES = ("NONE", "ALL_OLD", "ALL_NEW", "UPDATED_OLD", "UPDATED_NEW")
 
@@ -107,16 +107,14 @@ class WriteResult:
         return fresh.select(*empty, *[quoted(c) for c in fresh.columns])
 
     def _joined(self, how: str) -> DataFrame:
-        """Items next to their requests. ``how``: ``left`` keeps all items, ``right`` all requests, ``full`` both.
+        """Items next to their requests. ``how``: ``right`` keeps all requests, ``full`` all items as well.
 
         With few requests the items stay where they are and the requests travel to them;
         otherwise both sides meet by key.
         """
         base, asked = self._base(), self._asked()
-        if not fits_broadcast(self.requests):
+        if not requests_travel(self.table.df, self.requests):
             return base.join(asked, self._on, how)
-        if how == "left":
-            return base.join(asked, self._on, "left")
         met = base.join(asked, self._on, "left" if how == "full" else "inner")
         return met.unionByName(self._absent(base).select(*[quoted(c) for c in met.columns]))
 
