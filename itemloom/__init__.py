@@ -44,6 +44,7 @@ from .sources.files import read_items_json, read_items_tsv, write_items_json, wr
 from .sources.schema import (
     evolve_schema,
     infer_item_schema,
+    register_from_metadata,
     restore_columns,
     sanitize_columns,
     schema_diff,

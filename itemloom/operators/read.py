@@ -359,9 +359,21 @@ def _distinct_keys(table: ItemTable, keys: DataFrame) -> DataFrame:
     return keys.select(*[quoted(k) for k in table.keys]).distinct()
 
 
-def batch_get(table: ItemTable, keys: DataFrame, project: str | None = None, names: Names = None) -> DataFrame:
-    """Items of many keys; a missing key gives no row, a repeated one gives one."""
-    found = table.df.join(_distinct_keys(table, keys), table.keys, "left_semi")
+def batch_get(
+    table: ItemTable, keys: DataFrame, project: str | None = None, names: Names = None, push_keys: int = 0
+) -> DataFrame:
+    """Items of many keys; a missing key gives no row, a repeated one gives one.
+
+    With ``push_keys`` a job first looks whether at most that many partition keys are asked for; if so they
+    are also stated as a filter, which lets the scan of a table sorted by key skip most of it.
+    """
+    asked = _distinct_keys(table, keys)
+    items = table.df
+    if push_keys > 0:
+        few = asked.select(quoted(table.partition_key)).distinct().limit(push_keys + 1).collect()
+        if len(few) <= push_keys:
+            items = items.where(quoted(table.partition_key).isin([r[0] for r in few]))
+    found = items.join(asked, table.keys, "left_semi")
     return found.select(*[quoted(c) for c in projected_names(table, project, names)])
 
 

@@ -6,9 +6,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ..functions import codec
 from ..functions.exprs import condition, predicate
 from ..operators import read as R
-from ..table import ItemTable
+from ..sources import schema
+from ..table import Catalog, ItemTable
 from .registry import catalog, conversations, customers, events, micros, orders, read, registered
 
 # -- projection -------------------------------------------------------------------------------
@@ -220,6 +222,22 @@ def src1(spark, sf):
     return rows.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
+@registered(
+    "src1_from_metadata",
+    "SELECT c_mktsegment, count(*) AS n, sum(CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END) AS in_credit FROM customer GROUP BY c_mktsegment",
+)
+def src1_metadata(spark, sf):
+    """Customers registered as the metadata rows found in their items say, under an alias."""
+    df = read(spark, sf, "customer").withColumnRenamed("c_acctbal", "c_acct.bal")
+    rows = schema.schema_metadata(schema.infer_item_schema(codec.encode_items(df)), "cust-omer", "c_custkey")
+    alias = rows.withColumn("tableName", F.lit("buyers"))
+    found = Catalog(spark)
+    schema.register_from_metadata(found, rows.union(alias), {"cust-omer": df})
+    rows = found.table("buyers").df
+    in_credit = F.sum((F.col("c_acct_bal") > 0).cast("int")).alias("in_credit")
+    return rows.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), in_credit)
+
+
 @registered("joi1_get_item", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey = 42")
 def joi1(spark, sf):
     return R.get_item(orders(spark, sf), {"o_orderkey": {"N": "42"}}, "o_orderkey, o_custkey, o_totalprice")

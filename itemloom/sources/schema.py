@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import ValidationError
+from ..errors import TableNotFound, ValidationError
 from ..functions.tagged import DESCRIPTORS
 from ..functions.types import STORED_TYPES, descriptor_of, spark_type, stored_type
-from ..table import ItemTable, quoted
+from ..table import Catalog, ItemTable, clean_name, quoted
 
 # Columns of the metadata rows, in their order.
 METADATA_COLUMNS = (
@@ -112,6 +112,36 @@ def struct_from_metadata(rows: DataFrame) -> T.StructType:
     return T.StructType([T.StructField(name, spark_type(descriptor)) for name, descriptor in pairs])
 
 
+def register_from_metadata(catalog: Catalog, metadata: DataFrame, frames: Mapping[str, DataFrame]) -> list[str]:
+    """Register the tables that metadata rows describe (one row per column), over the given frames.
+
+    Columns are read under their original names, cast by descriptor and kept under their stored names; a row
+    whose actual table has another name makes an alias. Returns the registered names.
+    """
+    described: dict[str, list] = {}
+    for row in metadata.select(*METADATA_COLUMNS).distinct().collect():
+        described.setdefault(row["tableName"], []).append(row)
+    aliases = []
+    for name, rows in sorted(described.items()):
+        first = rows[0]
+        if clean_name(first["actualTable"] or name) != clean_name(name):
+            aliases.append((name, first["actualTable"]))
+            continue
+        if name not in frames:
+            raise TableNotFound(name)
+        df, by_origin = frames[name], {r["originalColumn"]: r for r in rows}
+        unknown = [c for c in df.columns if c not in by_origin]
+        if unknown:
+            raise ValidationError(f"no metadata for columns {', '.join(unknown)} of {name!r}")
+        columns = [
+            quoted(c).cast(spark_type(by_origin[c]["dynamoDataType"])).alias(by_origin[c]["column"]) for c in df.columns
+        ]
+        catalog.register_table(name, df.select(*columns), first["partitionKey"], first["sortKey"] or None)
+    for name, actual in aliases:
+        catalog.register_table(name, alias_of=actual)
+    return sorted(described)
+
+
 def schema_diff(declared: DataFrame, actual: DataFrame, keep: Sequence[str] = ("commit_timestamp",)) -> DataFrame:
     """``attribute, descriptor, change``: ``add`` what items have and the table lacks, ``drop`` the reverse."""
     added = actual.join(declared, "attribute", "left_anti").select("attribute", "descriptor", F.lit("add").alias("change"))

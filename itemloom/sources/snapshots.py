@@ -12,14 +12,27 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from ..errors import TableNotFound, ValidationError
+from ..table import ItemTable, quoted
 
 
-def write_snapshot(df: DataFrame, path: str) -> None:
+State = DataFrame | ItemTable
+
+
+def _writer(state: State) -> DataFrameWriter:
+    """Parquet writer of a state. The files of a table are sorted by its key and carry a Bloom filter on the
+    partition key, so that a keyed read skips most row groups; rows stay in the partitions they are in."""
+    if isinstance(state, DataFrame):
+        return state.write
+    sorted_rows = state.df.sortWithinPartitions(*[quoted(k) for k in state.keys])
+    return sorted_rows.write.option(f"parquet.bloom.filter.enabled#{state.partition_key}", "true")
+
+
+def write_snapshot(state: State, path: str) -> None:
     """State under a path that must not exist yet."""
-    df.write.mode("errorifexists").parquet(path)
+    _writer(state).mode("errorifexists").parquet(path)
 
 
 @dataclass
@@ -67,15 +80,15 @@ class SnapshotStore:
 
     # -- states -------------------------------------------------------------------------------
 
-    def commit(self, states: Mapping[str, DataFrame], notes: Mapping[str, Any] | None = None) -> int:
+    def commit(self, states: Mapping[str, State], notes: Mapping[str, Any] | None = None) -> int:
         """Write the new states of some tables together; the other tables keep theirs."""
         current = self.manifest()
         version = current["version"] + 1
         tables = dict(current["tables"])
-        for name, df in states.items():
+        for name, state in states.items():
             path = f"{name}/v={version:09d}"
             # what an earlier attempt at this version left behind was never visible
-            df.write.mode("overwrite").parquet(f"{self.root}/{path}")
+            _writer(state).mode("overwrite").parquet(f"{self.root}/{path}")
             tables[name] = path
         self._publish({"version": version, "tables": tables, "notes": {**current["notes"], **(notes or {})}})
         return version

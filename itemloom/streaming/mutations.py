@@ -88,7 +88,7 @@ class MutationLog:
         last = pending.agg(F.max("batch").alias("b")).first()["b"] if pending is not None else None
         if last is None:
             return self.store.manifest()["version"]
-        return self.store.commit({self.table: self.state()}, notes={self._note: int(last)})
+        return self.store.commit({self.table: self.base().with_df(self.state())}, notes={self._note: int(last)})
 
 
 def apply_mutation_stream(

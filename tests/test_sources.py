@@ -2,22 +2,26 @@ import pytest
 from pyspark.sql import functions as F
 
 from itemloom import (
+    Catalog,
     ItemTable,
     MutationLog,
     SnapshotStore,
     TableNotFound,
     ValidationError,
     apply_mutation_stream,
+    batch_get,
     change_feed,
     encode_items,
     evolve_schema,
     infer_item_schema,
     put_items,
+    register_from_metadata,
     read_items_json,
     read_items_tsv,
     restore_columns,
     sanitize_columns,
     schema_diff,
+    schema_metadata,
     scratch_dir,
     stream_enabled,
     struct_from_metadata,
@@ -50,6 +54,19 @@ def test_metadata(catalog):
     assert {f.name: f.dataType for f in struct_from_metadata(table_metadata(table))} == {f.name: f.dataType for f in table.df.schema}
 
 
+def test_tables_from_metadata(spark):
+    df = spark.createDataFrame([(1, "2", ["a"])], "id int, `n-x` string, tags array<string>")
+    declared = spark.createDataFrame([("id", "N"), ("n-x", "N"), ("tags", "SS")], "attribute string, descriptor string")
+    metadata = schema_metadata(declared, "my-table", "id").union(schema_metadata(declared, "other", "id", actual_table="my-table"))
+    found = Catalog(spark)
+    assert register_from_metadata(found, metadata, {"my-table": df}) == ["my-table", "other"]
+    assert tuple(found.table("other").df.first()) == (1.0, 2.0, ["a"]) and found.table("my-table").columns == ["id", "n_x", "tags"]
+    with pytest.raises(TableNotFound):
+        register_from_metadata(Catalog(spark), metadata, {})
+    with pytest.raises(ValidationError):
+        register_from_metadata(Catalog(spark), metadata, {"my-table": df.withColumn("more", F.lit(1))})
+
+
 def test_schema_diff_and_evolution(spark):
     df = spark.createDataFrame([(1, "x", 2.0)], "id int, gone string, n double")
     items = spark.createDataFrame([('{"id":{"N":"1"},"n":{"N":"2"},"tags":{"SS":["a"]}}',)], "item string")
@@ -121,6 +138,20 @@ def test_two_writers_of_one_version(spark, tmp_path):
         store._publish(store.manifest())
 
 
+def test_sorted_snapshots_are_skipped_by_key(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    shuffled = spark.range(1000).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("s")).orderBy("s")
+    store.commit({"t": ItemTable("t", shuffled.coalesce(1), "k")})
+    table = ItemTable("t", store.read("t"), "k")
+    assert [r["k"] for r in table.df.collect()] == list(range(1000))
+    keys = spark.range(3).select((F.col("id") * 400).alias("k"))
+    got = batch_get(table, keys, push_keys=5)
+    assert "In(k, [0,400,800])" in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["k"] for r in got.collect()) == [0, 400, 800]
+    got = batch_get(table, keys, push_keys=2)
+    assert "In(k" not in got._jdf.queryExecution().executedPlan().toString() and got.count() == 3
+
+
 # -- change records ---------------------------------------------------------------------------
 
 
