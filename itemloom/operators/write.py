@@ -43,12 +43,12 @@ def unique_requests(table: ItemTable, requests: DataFrame) -> tuple[DataFrame, D
     _need_keys(table, requests)
     keys = [quoted(k) for k in table.keys]
     rest = [c for c in requests.columns if c not in table.keys]
+    # of a key with one request any value is the value; column by column, numbers stay in a hash aggregate
     grouped = requests.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"),
-        *([F.any_value(F.struct(*[quoted(c) for c in rest])).alias("__row")] if rest else []),
+        F.count(F.lit(1)).alias("__n"), *[F.any_value(quoted(c)).alias(c) for c in rest]
     )
     good = (F.col("__n") == 1) & table.has_key
-    rows = grouped.where(good).select(*keys, *[F.col("__row").getField(c).alias(c) for c in rest])
+    rows = grouped.where(good).select(*keys, *[quoted(c) for c in rest])
     bad = grouped.where(~good).select(*keys, F.lit(VALIDATION).alias("code"))
     return rows, bad
 
@@ -431,8 +431,8 @@ def batch_write(table: ItemTable, requests: DataFrame, op: str = "op", seq: str
     if unknown:
         raise ValidationError(f"table {table.name!r} has no attributes {', '.join(unknown)}")
     good, bad = requests.where(fit), requests.where(~fit)
-    turn = (F.lower(quoted(op)) == "delete").cast("int").alias("turn")
-    order = F.struct(turn, (quoted(seq) if seq else F.lit(0)).alias("at"))
+    turn = (F.lower(quoted(op)) == "delete").cast("int")
+    order = F.struct(turn.alias("turn"), quoted(seq).alias("at")) if seq else turn
     rows = as_requests(good.withColumn("__order", order), table.keys, op, "__order", attributes)
     folded = fold_requests(rows, table.keys, attributes)
     failed = bad.select(*[quoted(k) for k in table.keys], quoted(op), F.lit(VALIDATION).alias("code"))

@@ -51,8 +51,8 @@ def src2(spark, sf):
 
 @registered(
     "src6_schema_metadata",
-    """SELECT c AS "column", 'customer' AS "tableName", d AS "dynamoDataType", o AS "originalColumn", 'c_custkey' AS "partitionKey",
-              '' AS "sortKey", '' AS "spannerIndexName", 'customer' AS "actualTable", t AS "spannerDataType"
+    """SELECT c AS "column", 'customer' AS "tableName", d AS "dataType", o AS "originalColumn", 'c_custkey' AS "partitionKey",
+              '' AS "sortKey", '' AS "indexName", 'customer' AS "actualTable", t AS "storedType"
        FROM (VALUES ('c_custkey', 'c_custkey', 'N', 'FLOAT64'), ('c_name', 'c_name', 'S', 'STRING(MAX)'),
              ('c_nationkey', 'c_nationkey', 'N', 'FLOAT64'), ('c_acct_bal', 'c_acct.bal', 'N', 'FLOAT64'),
              ('c_mktsegment', 'c_mktsegment', 'S', 'STRING(MAX)')) AS v(c, o, d, t)""",

@@ -224,7 +224,7 @@ def src1(spark, sf):
 
 @registered(
     "src1_from_metadata",
-    "SELECT c_mktsegment, count(*) AS n, sum(CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END) AS in_credit FROM customer GROUP BY c_mktsegment",
+    "SELECT c_mktsegment, count(*) AS n, CAST(sum(CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END) AS BIGINT) AS in_credit FROM customer GROUP BY c_mktsegment",
 )
 def src1_metadata(spark, sf):
     """Customers registered as the metadata rows found in their items say, under an alias."""

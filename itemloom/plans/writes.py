@@ -161,7 +161,7 @@ def mut9(spark, sf):
 
 
 _MODES = {
-    "NONE": "SELECT o_orderkey FROM orders WHERE false",
+    "NONE": "SELECT 'images' AS what, CAST(0 AS BIGINT) AS n UNION ALL SELECT 'items', count(*) FROM orders",
     "ALL_OLD": f"SELECT {_PRICE} FROM orders WHERE o_orderpriority = '1-URGENT'",
     "ALL_NEW": f"SELECT o_orderkey, o_orderstatus, round(o_totalprice * 2, 2) AS o_totalprice FROM orders WHERE o_orderpriority = '1-URGENT'",
     "UPDATED_OLD": "SELECT o_orderkey, round(o_totalprice, 2) AS o_totalprice FROM orders WHERE o_orderpriority = '1-URGENT'",
@@ -173,9 +173,12 @@ def _register_modes() -> None:
     for mode, sql in _MODES.items():
 
         def images(spark, sf, mode=mode):
-            got = W.put_items(orders(spark, sf), urgent(spark, sf)).return_values(mode)
+            result = W.put_items(orders(spark, sf), urgent(spark, sf))
+            got = result.return_values(mode)
             if mode == "NONE":
-                return got
+                n = F.count(F.lit(1)).alias("n")
+                images = got.agg(n).select(F.lit("images").alias("what"), "n")
+                return images.union(result.state.agg(n).select(F.lit("items"), "n"))
             names = ["o_orderkey", *(["o_orderstatus"] if mode.startswith("ALL") else [])]
             return got.select(*names, F.round("o_totalprice", 2).alias("o_totalprice"))
 

@@ -14,17 +14,18 @@ from ..functions.tagged import DESCRIPTORS
 from ..functions.types import STORED_TYPES, descriptor_of, spark_type, stored_type
 from ..table import Catalog, ItemTable, clean_name, quoted
 
-# Columns of the metadata rows, in their order.
+# Columns of the metadata rows, in their order. A metadata table that names them otherwise
+# is read and written with a map from these names to its own (``columns``).
 METADATA_COLUMNS = (
     "column",
     "tableName",
-    "dynamoDataType",
+    "dataType",
     "originalColumn",
     "partitionKey",
     "sortKey",
-    "spannerIndexName",
+    "indexName",
     "actualTable",
-    "spannerDataType",
+    "storedType",
 )
 # Fixed value: characters that a stored column name cannot have.
 SPECIAL_CHARACTERS = r"[\]\^\\/\[.()\-]"
@@ -77,20 +78,22 @@ def schema_metadata(
     sort_key: str | None = None,
     index: str = "",
     actual_table: str | None = None,
+    columns: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Metadata rows of an inferred schema (``attribute, descriptor``), one per column."""
     stored_name = F.regexp_replace("attribute", SPECIAL_CHARACTERS, "_")
-    return schema.select(
+    rows = schema.select(
         stored_name.alias("column"),
         F.lit(table).alias("tableName"),
-        F.col("descriptor").alias("dynamoDataType"),
+        F.col("descriptor").alias("dataType"),
         F.col("attribute").alias("originalColumn"),
         F.lit(partition_key).alias("partitionKey"),
         F.lit(sort_key or "").alias("sortKey"),
-        F.lit(index).alias("spannerIndexName"),
+        F.lit(index).alias("indexName"),
         F.lit(actual_table or table).alias("actualTable"),
-        _stored_type_column(F.col("descriptor")).alias("spannerDataType"),
+        _stored_type_column(F.col("descriptor")).alias("storedType"),
     )
+    return rows.withColumnsRenamed(dict(columns or {}))
 
 
 def declared_schema(df: DataFrame) -> DataFrame:
@@ -108,16 +111,22 @@ def table_metadata(table: ItemTable) -> DataFrame:
 
 def struct_from_metadata(rows: DataFrame) -> T.StructType:
     """Spark schema of metadata rows (one row per column of one table)."""
-    pairs = sorted((r["column"], r["dynamoDataType"]) for r in rows.select("column", "dynamoDataType").collect())
+    pairs = sorted((r["column"], r["dataType"]) for r in rows.select("column", "dataType").collect())
     return T.StructType([T.StructField(name, spark_type(descriptor)) for name, descriptor in pairs])
 
 
-def register_from_metadata(catalog: Catalog, metadata: DataFrame, frames: Mapping[str, DataFrame]) -> list[str]:
+def register_from_metadata(
+    catalog: Catalog,
+    metadata: DataFrame,
+    frames: Mapping[str, DataFrame],
+    columns: Mapping[str, str] | None = None,
+) -> list[str]:
     """Register the tables that metadata rows describe (one row per column), over the given frames.
 
     Columns are read under their original names, cast by descriptor and kept under their stored names; a row
     whose actual table has another name makes an alias. Returns the registered names.
     """
+    metadata = metadata.withColumnsRenamed({theirs: ours for ours, theirs in (columns or {}).items()})
     described: dict[str, list] = {}
     for row in metadata.select(*METADATA_COLUMNS).distinct().collect():
         described.setdefault(row["tableName"], []).append(row)
@@ -134,7 +143,7 @@ def register_from_metadata(catalog: Catalog, metadata: DataFrame, frames: Mappin
         if unknown:
             raise ValidationError(f"no metadata for columns {', '.join(unknown)} of {name!r}")
         columns = [
-            quoted(c).cast(spark_type(by_origin[c]["dynamoDataType"])).alias(by_origin[c]["column"]) for c in df.columns
+            quoted(c).cast(spark_type(by_origin[c]["dataType"])).alias(by_origin[c]["column"]) for c in df.columns
         ]
         catalog.register_table(name, df.select(*columns), first["partitionKey"], first["sortKey"] or None)
     for name, actual in aliases:

@@ -50,7 +50,7 @@ def test_inferred_schema(spark, catalog):
 def test_metadata(catalog):
     table = catalog.table("employee")
     found = {r["column"]: r.asDict() for r in table_metadata(table).collect()}
-    assert found["salaries"]["spannerDataType"] == "ARRAY<FLOAT64>" and found["age"]["partitionKey"] == "emp_id"
+    assert found["salaries"]["storedType"] == "ARRAY<FLOAT64>" and found["age"]["partitionKey"] == "emp_id"
     assert {f.name: f.dataType for f in struct_from_metadata(table_metadata(table))} == {f.name: f.dataType for f in table.df.schema}
 
 
@@ -61,6 +61,9 @@ def test_tables_from_metadata(spark):
     found = Catalog(spark)
     assert register_from_metadata(found, metadata, {"my-table": df}) == ["my-table", "other"]
     assert tuple(found.table("other").df.first()) == (1.0, 2.0, ["a"]) and found.table("my-table").columns == ["id", "n_x", "tags"]
+    theirs = {"dataType": "kind", "indexName": "idx"}
+    renamed = schema_metadata(declared, "my-table", "id", columns=theirs)
+    assert "kind" in renamed.columns and register_from_metadata(Catalog(spark), renamed, {"my-table": df}, theirs) == ["my-table"]
     with pytest.raises(TableNotFound):
         register_from_metadata(Catalog(spark), metadata, {})
     with pytest.raises(ValidationError):
