@@ -56,7 +56,7 @@ def catalog(spark):
     found.register_table("test_table", listed, "rank_list")
     address = '{"active":true,"details":{"inner":{"landmark":"old","number":7},"apartment":"4B"},"mobile":555}'
     nested = spark.createDataFrame([("g1", address), ("g2", address)], "guid string, address string").withColumn("address", F.parse_json("address"))
-    found.register_table("mapdynamo", nested, "guid")
+    found.register_table("places", nested, "guid")
     log = [("u1", i, f"e{i}", float(i % 3)) for i in range(10)] + [("u2", i, f"f{i}", 1.0) for i in range(3)] + [("u3", None, "lost", 0.0)]
     visits = spark.createDataFrame(log, "uid string, at int, what string, score double")
     found.register_table("visit-log", visits, "uid", "at", {"by_score": Index("score", "what"), "thin": Index("score", "at", include=())})

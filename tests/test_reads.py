@@ -94,7 +94,7 @@ def test_unknown_condition_fails(catalog):
 
 
 def test_paths_into_documents(catalog):
-    table = catalog.table("mapdynamo")
+    table = catalog.table("places")
     for text, values in [
         ("address.details.inner.landmark = :v", {":v": "old"}),
         ("address.details.inner.number > :v", {":v": 6}),

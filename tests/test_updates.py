@@ -69,7 +69,7 @@ def test_action(spark, items, text, values, column, expected, of_empty):
 
 
 def test_document_attributes(spark, catalog):
-    table = catalog.table("mapdynamo")
+    table = catalog.table("places")
     asked = spark.createDataFrame([("g1", "new"), ("g3", "x")], "guid string, v string")
     text = "SET #a.#b.#c.#d = :v"
     names = {"#a": "address", "#b": "details", "#c": "inner", "#d": "landmark"}
