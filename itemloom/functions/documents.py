@@ -19,14 +19,17 @@ DEFAULT_DEPTH = 8
 
 # Fixed value: a number as JSON writes it.
 JSON_NUMBER = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
+# Fixed value: characters that JSON texts escape.
+NEEDS_ESCAPE = r'["\\\x00-\x1f]'
 
 _FIELDS = "map<string,variant>"
 _ITEMS = "array<variant>"
 
 
 def json_text(text: Column) -> Column:
-    """A string as JSON text, quotes included."""
-    return F.to_json(text.cast("variant"))
+    """A string as JSON text, quotes included. Most texts hold nothing to escape."""
+    quoted_text = F.concat(F.lit('"'), text, F.lit('"'))
+    return F.when(text.rlike(NEEDS_ESCAPE), F.to_json(text.cast("variant"))).otherwise(quoted_text)
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
