@@ -68,16 +68,3 @@ def stream_enabled(changes: DataFrame, config: DataFrame) -> DataFrame:
     enabled = config.where(F.trim(F.col("enabledStream").cast("string")) == "1")
     names = sorted(r["tableName"] for r in enabled.select("tableName").distinct().collect())
     return changes.where(F.col("table").isin(names))
-
-
-def _comparable(col, kind: T.DataType):
-    if isinstance(kind, T.MapType):
-        return F.array_sort(F.map_entries(col))
-    return F.to_json(col)
-
-
-def stream_enabled(changes: DataFrame, config: DataFrame) -> DataFrame:
-    """Change rows of the tables whose config row (``tableName, enabledStream``) has the flag ``1``."""
-    enabled = config.where(F.trim(F.col("enabledStream").cast("string")) == "1")
-    names = enabled.select(F.col("tableName").alias("table")).distinct()
-    return changes.join(names, "table", "left_semi")
