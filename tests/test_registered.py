@@ -5,8 +5,8 @@ from oracle import compare, connect
 
 import __spark_entry__ as contract
 from itemloom.operators import write
+from itemloom.plans.registry import QUERIES, SQL
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
 #: queries whose plan turns on the size of the request side
 JOINED = [n for n in QUERIES if n.startswith(("mut1_", "mut2_", "mut3", "mut10_return_updated_new", "upd1_", "upd7", "upd16", "upd17", "txn1_c", "txn2"))]
 
@@ -18,6 +18,7 @@ def con(sf):
 
 def test_contract(spark):
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
     assert contract.entry(spark).count() > 0
 
 
