@@ -32,3 +32,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables(spark, sf_dir, "documents")
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return encode_texts(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id"], ids=False, digests=True)
+
+
+@query("op4_quality_rules")
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import fit, judged
+
+    docs, labels = tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "labels")
+    return judged(docs, fit(docs, labels), keep=["doc_id"])
