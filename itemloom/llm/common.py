@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -82,24 +83,26 @@ def _named(arrow: pa.Schema, arrays: list[pa.Array]) -> pa.Schema:
     return pa.schema([pa.field(f.name, a.type, True) for f, a in zip(arrow, arrays, strict=True)])
 
 
-def bins_for(rows: int, per_bin: int = ROWS_PER_BIN) -> int:
-    """So many bins that one holds about ``per_bin`` of ``rows`` rows; grows with the table."""
-    return max(1, -(-rows // per_bin))
+def bins_for(rows: int) -> int:
+    """So many bins that one holds about as many rows as there are bins, but not fewer than ``ROWS_PER_BIN``."""
+    return max(1, -(-rows // max(ROWS_PER_BIN, math.isqrt(rows))))
 
 
-def running(df: DataFrame, group: Sequence[str], bin_: str, order: Sequence[Column], size: Column, name: str) -> DataFrame:
-    """``name``: the sum of ``size`` over the rows of a group up to and with each row.
+def bin_sums(df: DataFrame, group: Sequence[str], bin_: str, size: Column) -> DataFrame:
+    """``_sum`` of each group and bin, and ``_before``: that of the bins of the group before it."""
+    before = Window.partitionBy(*group).orderBy(bin_).rowsBetween(Window.unboundedPreceding, -1)
+    sums = df.groupBy(*group, bin_).agg(F.sum(size).alias("_sum"))
+    return sums.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
+
 
-    The order is by ``bin_`` first, then by ``order``. A group is never one task: sums of the bins are added up first (one row
-    per group and bin, combined before the shuffle), and only the rows of one bin are sorted together.
+def running(df: DataFrame, sums: DataFrame, group: Sequence[str], bin_: str, order: Sequence[Column], size: Column, name: str) -> DataFrame:
+    """``name``: the sum of ``size`` over the rows of a group up to and with each row, by ``bin_`` first and then by ``order``.
+
+    ``sums`` is what ``bin_sums`` gives for the same columns, which hold no nulls. A group is never one task: only the rows of one
+    bin are sorted together, and the sums of the bins before it are added.
     """
-    sized = df.withColumn("_size", size)
-    sums = sized.groupBy(*group, bin_).agg(F.sum("_size").alias("_sum"))
-    before = Window.partitionBy(*group).orderBy(bin_).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(
-        *(F.col(c).alias(f"_o_{c}") for c in [*group, bin_]), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before")
-    )
+    offsets = sums.select(*(F.col(c).alias(f"_o_{c}") for c in [*group, bin_]), "_before")
     within = Window.partitionBy(*group, bin_).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    same = [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in [*group, bin_]]
-    joined = sized.withColumn("_within", F.sum("_size").over(within)).join(offsets, same)
-    return joined.withColumn(name, F.col("_before") + F.col("_within")).select(*df.columns, name)
+    same = [F.col(c) == F.col(f"_o_{c}") for c in [*group, bin_]]
+    joined = df.withColumn("_within", F.sum(size).over(within)).join(offsets, same)
+    return joined.withColumn(name, F.col("_before") + F.col("_within")).drop("_before", "_within", *(f"_o_{c}" for c in [*group, bin_]))

@@ -40,3 +40,43 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs, labels = tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "labels")
     return judged(docs, fit(docs, labels), keep=["doc_id"])
+
+
+@query(
+    "op2_mixing",
+    r"""
+    WITH d AS (
+      SELECT doc_id, source, md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS k,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+      FROM documents),
+    s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+    r AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1 AS rk FROM s),
+    w AS (
+      SELECT *, CASE rk % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, 3 * source_size AS cap,
+        (3 * source_size)::DOUBLE / (CASE rk % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END)::DOUBLE AS fullness
+      FROM r),
+    l AS (
+      SELECT *,
+        ((sum(source_size) OVER ()) - coalesce(sum(cap) OVER below, 0))::DOUBLE
+          / ((sum(weight) OVER ()) - coalesce(sum(weight) OVER below, 0))::DOUBLE AS lev
+      FROM w WINDOW below AS (ORDER BY fullness, rk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    t AS (
+      SELECT *, least(cap::DOUBLE, weight * (SELECT lev FROM l WHERE lev <= fullness ORDER BY fullness, lev LIMIT 1)) AS target FROM l),
+    q AS (
+      SELECT d.doc_id, d.size, t.rk, t.source_size, t.target,
+        sum(d.size) OVER (PARTITION BY t.rk ORDER BY substr(d.k, 1, 16), d.doc_id, d.size ROWS UNBOUNDED PRECEDING) AS upto
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+    c AS (
+      SELECT doc_id, size, rk, (e * source_size + upto)::DOUBLE / target AS finish
+      FROM q, (VALUES (0), (1), (2)) AS x(e) WHERE size > 0),
+    m AS (
+      SELECT doc_id, size, sum(size) OVER (ORDER BY finish, rk ROWS UNBOUNDED PRECEDING) <= (SELECT sum(size) FROM d) AS inside FROM c),
+    n AS (SELECT doc_id, count(*) AS copies FROM m WHERE inside GROUP BY doc_id)
+    SELECT q.doc_id, q.size, q.source_size, q.target, (q.size * coalesce(n.copies, 0))::BIGINT AS taken
+    FROM q LEFT JOIN n USING (doc_id)
+    """,
+)
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import taken_words
+
+    return taken_words(tables(spark, sf_dir, "documents"))
