@@ -80,3 +80,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import taken_words
 
     return taken_words(tables(spark, sf_dir, "documents"))
+
+
+@query("op3_pii")
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .privacy import found
+
+    return found(tables(spark, sf_dir, "documents"))
