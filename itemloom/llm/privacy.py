@@ -76,9 +76,8 @@ CONTEXT = 60
 TERM = r"[\p{L}\p{M}]{3,}"
 TERM_KIND = "term"
 NAMES = [*(k.name for k in KINDS), TERM_KIND]
-#: entries of an array that grows by one are copied in blocks of this many
-BLOCK = 256
-SPAN = "array<struct<start:bigint,end:bigint,value:string,head:string,tail:string>>"
+#: matches whose places are added up together
+BLOCK = 128
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -93,36 +92,45 @@ def located(text: Column, pattern: str, context: int = CONTEXT) -> Column:
     """
     pieces, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
+    def joined(m: Column, s: Column) -> Column:
+        size = (F.length(s["before"]) + F.length(m)).cast("bigint")
+        return F.struct(m.alias("value"), s["before"].alias("before"), s["after"].alias("after"), size.alias("size"))
+
     def zipped(p: Column) -> Column:
         sides = F.zip_with(p, F.slice(p, 2, F.size(p)), lambda a, b: F.struct(a.alias("before"), b.alias("after")))
-        each = F.zip_with(matches, sides, lambda m, s: F.struct(m.alias("value"), s["before"].alias("before"), s["after"].alias("after")))
+        each = F.zip_with(matches, sides, joined)
         return F.filter(each, lambda x: x["value"].isNotNull())
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["before"])
-        end = start + F.length(x["value"])
-        head = F.when(F.length(x["before"]) > context, F.right(x["before"], F.lit(context))).otherwise(x["before"])
-        one = F.array(
-            F.struct(
-                start.alias("start"),
-                end.alias("end"),
-                x["value"].alias("value"),
-                head.alias("head"),
-                F.left(x["after"], F.lit(context)).alias("tail"),
-            )
-        )
-        full = F.size(acc["block"]) >= BLOCK
+    def shaped(x: Column, end: Column) -> Column:
+        size = F.length(x["before"])
+        head = F.when(size > context, F.right(x["before"], F.lit(context))).otherwise(x["before"])
         return F.struct(
-            end.alias("at"),
-            F.when(full, one).otherwise(F.concat(acc["block"], one)).alias("block"),
-            F.when(full, F.concat(acc["done"], F.array(acc["block"]))).otherwise(acc["done"]).alias("done"),
+            (end - F.length(x["value"])).alias("start"),
+            end.alias("end"),
+            x["value"].alias("value"),
+            head.alias("head"),
+            F.left(x["after"], F.lit(context)).alias("tail"),
         )
 
-    start = F.struct(
-        F.lit(0).cast("bigint").alias("at"), F.array().cast(SPAN).alias("block"), F.array().cast(f"array<{SPAN}>").alias("done")
-    )
-    last = lambda acc: F.concat(F.flatten(acc["done"]), acc["block"])
-    return F.aggregate(_let(pieces, zipped), start, step, last)
+    def chunk_ends(before: Column, chunk: Column) -> Column:
+        upto = lambda i: F.aggregate(F.slice(chunk, 1, i + 1), before, lambda a, x: a + x["size"])
+        return F.transform(chunk, lambda x, i: shaped(x, upto(i)))
+
+    # ends are running sums: of the chunks first, then inside of each, so that no state grows with the matches
+    def placed(chunks: Column) -> Column:
+        total = lambda chunk: F.aggregate(chunk, F.lit(0).cast("bigint"), lambda a, x: a + x["size"])
+        zero = F.lit(0).cast("bigint")
+        ahead = lambda sums, c: F.aggregate(F.slice(sums, 1, c), zero, lambda a, x: a + x)
+        return _let(
+            F.transform(chunks, total),
+            lambda sums: F.flatten(F.transform(chunks, lambda chunk, c: _let(ahead(sums, c), lambda o: chunk_ends(o, chunk)))),
+        )
+
+    def chunked(each: Column) -> Column:
+        starts = F.when(F.size(each) > 0, F.sequence(F.lit(1), F.size(each), F.lit(BLOCK))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda at: F.slice(each, at, BLOCK))
+
+    return _let(_let(_let(pieces, zipped), chunked), placed)
 
 
 def base_spans(text: Column, context: int = CONTEXT) -> Column:
