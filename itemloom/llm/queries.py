@@ -87,3 +87,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .privacy import found
 
     return found(tables(spark, sf_dir, "documents"))
+
+
+@query("op8_simhash")
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import grouped
+
+    return grouped(tables(spark, sf_dir, "documents"))
