@@ -94,3 +94,23 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import grouped
 
     return grouped(tables(spark, sf_dir, "documents"))
+
+
+@query(
+    "op5_embedding_dedup",
+    """
+    WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+    p AS (
+      SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+    r(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+    c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+    n AS (SELECT a, count(*) AS n_links FROM p GROUP BY a)
+    SELECT v.vec_id, coalesce(n.n_links, 0)::BIGINT AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+    FROM embeddings v JOIN c ON c.a = v.vec_id LEFT JOIN n ON n.a = v.vec_id
+    """,
+)
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vectors import linked
+
+    return linked(tables(spark, sf_dir, "embeddings"))
