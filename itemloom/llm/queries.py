@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import tables
 
@@ -114,3 +115,12 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .vectors import linked
 
     return linked(tables(spark, sf_dir, "embeddings"))
+
+
+@query("op9_sharding")
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import sharded
+
+    found = sharded(tables(spark, sf_dir, "documents"), shards=16)
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return found.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
