@@ -124,3 +124,13 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sharded(tables(spark, sf_dir, "documents"), shards=16)
     law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
     return found.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import fit, held_out, scored
+
+    docs, labels = tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "labels")
+    found = scored(docs, fit(docs, labels), keep=["doc_id"])
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "score", predicted, "flagged")
