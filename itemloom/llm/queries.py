@@ -134,3 +134,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scored(docs, fit(docs, labels), keep=["doc_id"])
     predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "score", predicted, "flagged")
+
+
+@query("op6_quality_classifier")
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .cotraining import fit, scored
+
+    docs, labels = tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "labels")
+    return scored(docs, fit(docs, labels), keep=["doc_id"])
