@@ -142,3 +142,12 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs, labels = tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "labels")
     return scored(docs, fit(docs, labels), keep=["doc_id"])
+
+
+@query("op10_license_scan")
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scanned
+
+    found = scanned(tables(spark, sf_dir, "documents"), keep=["doc_id"])
+    places = F.transform("notices", lambda n: F.concat_ws(":", n["license"], n["start"], n["end"]))
+    return found.select("doc_id", "n_blocks", "n_licenses", F.concat_ws(",", "licenses").alias("licenses"), F.concat_ws(",", places).alias("notices"))

@@ -154,29 +154,37 @@ def _batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (a, b)], names=["a", "b"])
 
 
-def grouped(
-    docs: DataFrame, id_: str = "doc_id", text: str = "text", bits: int = 4, shingle: int = 4, seed: int = 42
-) -> DataFrame:
+def _grouped(docs: DataFrame, id_: str, text: str, bits: int, shingle: int, seed: int) -> DataFrame:
+    """Per document: its id, ``_t`` (a digest of its text), ``_fp``, ``_root`` (its component) and ``component_id``."""
+    own = docs.select(F.col(f"`{id_}`"), F.col(f"`{text}`"), F.xxhash64(F.col(f"`{text}`")).alias("_t"))
+    marked = written(fingerprints(own, text, [id_, "_t"], shingle, seed), "simhash")
+    distinct = written(marked.groupBy("_fp").agg(F.min(f"`{id_}`").alias("_least")), "simhash")
+    roots = components(links(distinct.select("_fp"), bits))
+    by_fp = distinct.join(roots, distinct["_fp"] == roots["node"], "left").select("_fp", "_least", F.coalesce("root", "_fp").alias("_root"))
+    least = by_fp.groupBy("_root").agg(F.min("_least").alias("component_id"))
+    named = by_fp.join(least, "_root").select(F.col("_fp").alias("_f"), "_root", "component_id")
+    return marked.join(named, marked["_fp"] == named["_f"]).drop("_f")
+
+
+def grouped(docs: DataFrame, id_: str = "doc_id", text: str = "text", bits: int = 4, shingle: int = 4, seed: int = 42) -> DataFrame:
     """Per document: its id, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest id reachable by links, its own included.
 
     Equal fingerprints are linked, so copies meet before anything is compared, and texts without words (null, empty, blank) link with
     each other by the fingerprint 0. Repeated rows stay; an id that is null is never the smallest, and a component of null ids only
     has none. An empty table gives no rows.
     """
-    marked = written(fingerprints(docs, text, [id_], shingle, seed), "simhash")
-    distinct = written(marked.groupBy("_fp").agg(F.min(f"`{id_}`").alias("_least")), "simhash")
-    roots = components(links(distinct.select("_fp"), bits))
-    by_fp = distinct.join(roots, distinct["_fp"] == roots["node"], "left").select("_fp", "_least", F.coalesce("root", "_fp").alias("_root"))
-    least = by_fp.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    named = by_fp.join(least, "_root").select(F.col("_fp").alias("_f"), "component_id")
-    joined = marked.join(named, marked["_fp"] == named["_f"])
-    return joined.select(f"`{id_}`", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def deduplicated(docs: DataFrame, id_: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` that stand for their component: those with its smallest id, one of several such rows."""
-    found = grouped(docs, id_, text, **how)
-    kept = found.where(F.col(f"`{id_}`").eqNullSafe(F.col("component_id"))).select(F.col(f"`{id_}`").alias("_kept")).distinct()
-    own = docs.withColumn("_order", F.xxhash64(F.col(f"`{text}`")))
-    joined = own.join(kept, F.col(f"`{id_}`").eqNullSafe(F.col("_kept")), "left_semi")
-    return joined.dropDuplicates([id_]).select(*(f"`{c}`" for c in docs.columns))
+    found = _grouped(docs, id_, text, bits, shingle, seed)
+    return found.select(f"`{id_}`", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def deduplicated(docs: DataFrame, id_: str = "doc_id", text: str = "text", bits: int = 4, shingle: int = 4, seed: int = 42) -> DataFrame:
+    """One row of ``docs`` for each component: the one with the smallest id, of several such rows one."""
+    found = _grouped(docs, id_, text, bits, shingle, seed)
+    first = F.min(F.struct(F.col(f"`{id_}`").isNull().alias("none"), F.col(f"`{id_}`").alias("id"), F.col("_t").alias("t"))).alias("m")
+    kept = written(found.groupBy("_root").agg(first).select(F.col("m.id").alias("_kept"), F.col("m.t").alias("_kept_t")), "kept")
+    same = F.col(f"`{id_}`").eqNullSafe(F.col("_kept")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_kept_t"))
+    rows = docs.join(kept, same, "left_semi")
+    ids = found.groupBy(F.col(f"`{id_}`"), "_t").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if ids.join(kept, F.col(f"`{id_}`").eqNullSafe(F.col("_kept")) & (F.col("_t") == F.col("_kept_t")), "left_semi").isEmpty():
+        return rows
+    return rows.withColumn("_t", F.xxhash64(F.col(f"`{text}`"))).dropDuplicates([id_, "_t"]).drop("_t")
