@@ -8,7 +8,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -63,30 +63,34 @@ def set_path(column: str, path: str | Sequence[str], value: Any) -> Action:
     return Action(column, "path", value, tuple(path.split(".") if isinstance(path, str) else path))
 
 
-def set_index(column: str, index: int, value: Any) -> Action:
-    return Action(column, "index", value, index=index)
+def list_prepend(column: str, value: Any) -> Action:
+    return Action(column, "list_prepend", value)
 
 
-def add(column: str, value: Any) -> Action:
-    """Number: sum. Set (or list): union."""
-    return Action(column, "add", value)
+def set_index(column: str, index: int, value: Any, path: Sequence[str] = ()) -> Action:
+    return Action(column, "index", value, tuple(path), index=index)
 
 
-def delete(column: str, value: Any) -> Action:
+def add(column: str, value: Any, path: Sequence[str] = ()) -> Action:
+    """Number: sum. Set (or list): union. ``path`` leads to a member of the attribute."""
+    return Action(column, "add", value, tuple(path))
+
+
+def delete(column: str, value: Any, path: Sequence[str] = ()) -> Action:
     """Set difference; nothing left means the attribute is absent."""
-    return Action(column, "delete", value)
+    return Action(column, "delete", value, tuple(path))
 
 
 def replace_set(column: str, value: Any) -> Action:
     return Action(column, "replace_set", value)
 
 
-def remove(column: str) -> Action:
-    return Action(column, "remove")
+def remove(column: str, path: Sequence[str] = ()) -> Action:
+    return Action(column, "remove", path=tuple(path))
 
 
-def remove_index(column: str, index: int) -> Action:
-    return Action(column, "remove_index", index=index)
+def remove_index(column: str, index: int, path: Sequence[str] = ()) -> Action:
+    return Action(column, "remove_index", path=tuple(path), index=index)
 
 
 def expression(column: str, text: str) -> Action:
@@ -169,14 +173,16 @@ def _action(keyword: str, part: str, names: Mapping[str, str], values: Mapping[s
             raise ValidationError(f"cannot remove {part!r}")
         path = _resolve(target.group(1), names)
         if target.group(2) is not None:
-            return remove_index(path[0], int(target.group(2)))
-        return remove(path[0])
+            return remove_index(path[0], int(target.group(2)), path[1:])
+        return remove(path[0], path[1:])
     if keyword in ("ADD", "DELETE"):
         found = re.fullmatch(rf"{_TARGET}\s+{_OPERAND}", part)
         if not found:
             raise ValidationError(f"cannot read {keyword} {part!r}")
-        name = _resolve(found.group(1), names)[0]
-        return (add if keyword == "ADD" else delete)(name, _operand(found.group(3), values))
+        if found.group(2) is not None:
+            raise ValidationError(f"{keyword} of a list element: {part!r}")
+        path = _resolve(found.group(1), names)
+        return (add if keyword == "ADD" else delete)(path[0], _operand(found.group(3), values), path[1:])
 
     left, equals, right = part.partition("=")
     target = re.fullmatch(_TARGET, left.strip())
@@ -185,8 +191,12 @@ def _action(keyword: str, part: str, names: Mapping[str, str], values: Mapping[s
     path, right = _resolve(target.group(1), names), right.strip()
     plain = re.fullmatch(_OPERAND, right)
     if target.group(2) is not None:
-        return set_index(path[0], int(target.group(2)), _operand(right, values))
+        if not plain:
+            raise ValidationError(f"a list element is set to a plain value, not {right!r}")
+        return set_index(path[0], int(target.group(2)), _operand(right, values), path[1:])
     if len(path) > 1:
+        if not plain:
+            raise ValidationError(f"a nested attribute is set to a plain value, not {right!r}")
         return set_path(path[0], path[1:], _operand(right, values))
     name = path[0]
     if plain:
@@ -196,6 +206,9 @@ def _action(keyword: str, part: str, names: Mapping[str, str], values: Mapping[s
         call = re.fullmatch(rf"{kind}\s*\(\s*({_NAME})\s*,\s*{_OPERAND}\s*\)", right, re.IGNORECASE)
         if call and _resolve(call.group(1), names)[0] == name:
             return build(name, _operand(call.group(2), values))
+    call = re.fullmatch(rf"list_append\s*\(\s*{_OPERAND}\s*,\s*({_NAME})\s*\)", right, re.IGNORECASE)
+    if call and _resolve(call.group(2), names)[0] == name:
+        return list_prepend(name, _operand(call.group(1), values))
     sum_of = re.fullmatch(rf"({_NAME})\s*([+-])\s*{_OPERAND}", right)
     if sum_of and _resolve(sum_of.group(1), names)[0] == name:
         return (plus if sum_of.group(2) == "+" else minus)(name, _operand(sum_of.group(3), values))
@@ -244,18 +257,30 @@ def payload(actions: Sequence[Action], schema: T.StructType) -> list[Column]:
 
 
 def _value_target(action: Action, kinds: Mapping[str, T.DataType]) -> T.DataType | None:
-    kind = kinds.get(action.column)
+    kind = _kind_at(kinds.get(action.column), action.path if action.kind != "path" else ())
     if action.kind in ("assign", "if_not_exists", "if_exists", "add", "delete", "replace_set"):
         return kind
-    if action.kind in ("list_append", "index", "path") and isinstance(kind, T.VariantType):
+    if action.kind in ("list_append", "list_prepend", "index", "path") and isinstance(kind, T.VariantType):
         return kind
     if action.kind == "index" and isinstance(kind, T.ArrayType):
         return kind.elementType
-    if action.kind == "list_append" and isinstance(action.value, (list, tuple)):
+    if action.kind in ("list_append", "list_prepend") and isinstance(action.value, (list, tuple)):
         return kind
     return None
 
 
+def _kind_at(kind: T.DataType | None, path: Sequence[str]) -> T.DataType | None:
+    """Type of the member that a path leads to; None where it leads to no typed member."""
+    for name in path:
+        if isinstance(kind, T.StructType):
+            kind = kind[name].dataType if name in kind.names else None
+        elif isinstance(kind, T.MapType):
+            kind = kind.valueType
+        elif not isinstance(kind, T.VariantType):
+            return None
+    return kind
+
+
 # -- new values -------------------------------------------------------------------------------
 
 
@@ -300,6 +325,81 @@ def _with_path(old: Column, kind: T.DataType, path: Sequence[str], value: Column
     return F.when(reachable, changed).otherwise(old)
 
 
+def _changed_at(old: Column, kind: T.DataType, path: Sequence[str], change, drop: bool) -> Column:
+    """``old`` with the member at ``path`` changed (``change`` of its value and type) or, with ``drop``, taken out.
+
+    A path that leads nowhere leaves the value as it is; a struct keeps its fields, so there a dropped one becomes null.
+    """
+    head, rest = path[0], path[1:]
+    if isinstance(kind, T.StructType):
+        if head not in kind.names:
+            return old
+        inner, current = kind[head].dataType, old.getField(head)
+        if rest:
+            new = _changed_at(current, inner, rest, change, drop)
+        else:
+            new = F.lit(None).cast(inner) if drop else change(current, inner).cast(inner)
+        return F.when(old.isNotNull(), old.withField(f"`{head}`", new)).otherwise(old)
+    variant = isinstance(kind, T.VariantType)
+    if not variant and not isinstance(kind, T.MapType):
+        return old
+    inner = T.VariantType() if variant else kind.valueType
+    fields = F.try_variant_get(old, "$", "map<string,variant>") if variant else old
+    current = F.try_element_at(fields, F.lit(head))
+    others = F.map_filter(fields, lambda k, _: k != F.lit(head))
+    if drop and not rest:
+        return F.when(fields.isNotNull(), _back(others, kind)).otherwise(old)
+    new = _changed_at(current, inner, rest, change, drop) if rest else change(current, inner)
+    new = new.cast("variant") if variant and not rest else new.cast(inner)
+    there = fields.isNotNull() & (current.isNotNull() if rest else new.isNotNull())
+    return F.when(there, _back(F.map_concat(others, F.create_map(F.lit(head), new)), kind)).otherwise(old)
+
+
+#: whole numbers and fractions are added up in this type: 28 digits before the point
+EXACT = "decimal(38,10)"
+
+
+def exact_number(value: Column, kind: T.DataType) -> Column:
+    """The number, a text's too, without rounding to a double; null if it is none or too long."""
+    return parse_number(value, EXACT) if isinstance(kind, T.StringType) else value.try_cast(EXACT)
+
+
+def fitted(value: Column, kind: T.DataType, to: T.DataType) -> tuple[Column, Column | None]:
+    """The value as type ``to``, and where a value there is does not keep itself in it (None: it always does).
+
+    Texts that are no numbers, fractions in whole-number types and numbers beyond a type's range do not.
+    """
+    kind, to = loose(kind), loose(to)
+    scalar = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    if kind == to or not isinstance(kind, scalar) or not isinstance(to, scalar):
+        return (value if kind == to else value.cast(to)), None
+    if isinstance(to, T.StringType):
+        return value.cast(to), None
+    if isinstance(to, (T.IntegralType, T.DecimalType)):
+        exact = exact_number(value, kind)
+        new = exact.try_cast(to)
+        return new, value.isNotNull() & ~F.coalesce(new.cast(EXACT) == exact, F.lit(False))
+    if isinstance(to, T.NumericType):
+        new = parse_number(value).cast(to) if isinstance(kind, T.StringType) else value.try_cast(to)
+        return new, value.isNotNull() & new.isNull()
+    new = value.try_cast(to)
+    return new, value.isNotNull() & new.isNull()
+
+
+def _total(action: Action, old: Column, kind: T.DataType, given: Column, given_kind: T.DataType) -> tuple[Column, Column]:
+    """Sum (or difference) in the attribute's type, and where it is refused: no number, infinite, or not in the type."""
+    if isinstance(kind, (T.IntegralType, T.DecimalType)):
+        addend = exact_number(given, given_kind)
+        start = F.coalesce(old.cast(EXACT), F.lit(0).cast(EXACT))
+        total = (F.try_subtract if action.kind == "minus" else F.try_add)(start, addend)
+        new = total.try_cast(kind)
+        return new, ~F.coalesce(new.cast(EXACT) == total.try_cast(EXACT), F.lit(False))
+    addend = parse_number(given) if isinstance(given_kind, T.StringType) else given
+    start = F.coalesce(old, F.lit(0))
+    new = (start - addend if action.kind == "minus" else start + addend).cast(kind)
+    return new, F.coalesce(is_infinite(new), F.lit(True))
+
+
 def new_value(action: Action, old: Column, old_kind: T.DataType | None, at: int, requests: T.StructType) -> Column:
     """Column of the attribute after the action, over the joined row of old item and request."""
     given = F.col(payload_name(at))
@@ -308,24 +408,35 @@ def new_value(action: Action, old: Column, old_kind: T.DataType | None, at: int,
     if old_kind is None and action.kind not in ("remove", "expression"):
         old = F.lit(None).cast(kind)
     numeric = isinstance(kind, T.NumericType)
-    if numeric and isinstance(given_kind, T.StringType):
-        given = parse_number(given)
+    if action.path and action.kind != "path":
+        if kind is None:
+            return old
+
+        def change(current: Column, inner: T.DataType) -> Column:
+            return new_value(replace(action, path=()), current, inner, at, requests)
+
+        return _changed_at(old, kind, action.path, change, action.kind == "remove")
 
     match action.kind:
         case "assign":
-            return given.cast(kind)
+            return fitted(given, given_kind, kind)[0]
         case "replace_set":
             return F.array_distinct(given).cast(kind)
+        case "plus" | "minus" if numeric:
+            return _total(action, old, kind, given, given_kind)[0]
         case "plus":
             return (F.coalesce(old, F.lit(0)) + given).cast(kind)
         case "minus":
             return (F.coalesce(old, F.lit(0)) - given).cast(kind)
         case "if_not_exists":
-            return F.coalesce(old, given.cast(kind))
+            return F.coalesce(old, fitted(given, given_kind, kind)[0])
         case "if_exists":
-            return F.when(old.isNotNull(), given.cast(kind))
+            return F.when(old.isNotNull(), fitted(given, given_kind, kind)[0])
         case "add" if numeric:
-            return (F.coalesce(old, F.lit(0)) + given).cast(kind)
+            return _total(action, old, kind, given, given_kind)[0]
+        case "add" if isinstance(kind, T.VariantType) and isinstance(given_kind, T.NumericType):
+            total = F.coalesce(old.try_cast("double"), F.lit(0.0)) + given
+            return F.when(old.isNull() | old.try_cast("double").isNotNull(), total.cast("variant")).otherwise(old)
         case "add":
             members, kind_of = _list_of(old, kind)
             added = given.try_cast("array<variant>") if isinstance(given_kind, T.VariantType) else given.cast(kind_of)
@@ -335,7 +446,7 @@ def new_value(action: Action, old: Column, old_kind: T.DataType | None, at: int,
         case "delete":
             left = F.array_except(old, given.cast(kind))
             return F.when(F.size(left) > 0, left)
-        case "list_append":
+        case "list_append" | "list_prepend":
             members, kind_of = _list_of(old, kind)
             if isinstance(given_kind, T.VariantType):
                 added = F.coalesce(given.try_cast("array<variant>"), F.array(given))
@@ -343,7 +454,8 @@ def new_value(action: Action, old: Column, old_kind: T.DataType | None, at: int,
                 added = given.cast(kind_of)
             else:
                 added = F.array(given.cast(kind_of.elementType))
-            return _back(F.concat(F.coalesce(members, _empty(kind_of)), added), kind)
+            own = F.coalesce(members, _empty(kind_of))
+            return _back(F.concat(added, own) if action.kind == "list_prepend" else F.concat(own, added), kind)
         case "index":
             members, kind_of = _list_of(old, kind)
             element, place = given.cast(kind_of.elementType), F.lit(action.index)
@@ -367,15 +479,24 @@ def new_value(action: Action, old: Column, old_kind: T.DataType | None, at: int,
     raise ValidationError(f"unknown action {action.kind!r}")
 
 
-def violation(action: Action, new: Column, old_kind: T.DataType | None, at: int, requests: T.StructType) -> Column | None:
-    """True where an action's result is refused: an infinite number, or an addend that is no number."""
-    kind = old_kind
-    if kind is None and payload_name(at) in requests.names:
-        kind = requests[payload_name(at)].dataType
+def violation(
+    action: Action, old: Column, new: Column, old_kind: T.DataType | None, at: int, requests: T.StructType
+) -> Column | None:
+    """True where an action's result is refused: an infinite number, no number, or one that its type does not hold."""
+    kind, given_kind = old_kind, None
+    if payload_name(at) in requests.names:
+        given_kind = requests[payload_name(at)].dataType
+    if kind is None:
+        kind, old = given_kind, F.lit(None).cast(given_kind or T.StringType())
+    if action.path:
+        return None
+    if action.kind in ("assign", "if_not_exists", "if_exists"):
+        bad = fitted(F.col(payload_name(at)), given_kind, loose(kind))[1]
+        return bad if bad is None or action.kind == "assign" else bad & (old.isNull() if action.kind == "if_not_exists" else old.isNotNull())
     if not isinstance(kind, T.NumericType):
         return None
     if action.kind in ("plus", "minus", "add"):
-        return F.coalesce(is_infinite(new), F.lit(True))
+        return _total(action, old, loose(kind), F.col(payload_name(at)), given_kind)[1]
     if action.kind == "expression":
         return F.coalesce(is_infinite(new), F.lit(False))
     return None
@@ -395,6 +516,7 @@ def fold_updates(
     so a key with very many requests is spread by its members.
     """
     aggregates, member_columns = [], []
+    kinds = {f.name: f.dataType for f in schema.fields}
     for at, action in enumerate(actions):
         name = payload_name(at)
         if action.kind == "remove":
@@ -407,14 +529,18 @@ def fold_updates(
         if is_set:
             member_columns.append(name)
         elif action.kind in ("plus", "minus", "add"):
-            text = isinstance(requests.schema[name].dataType, T.StringType)
-            addend = parse_number(F.col(name)) if text else F.col(name)
+            given, target = requests.schema[name].dataType, kinds.get(action.column)
+            if isinstance(target, (T.IntegralType, T.DecimalType)):
+                addend = exact_number(F.col(name), given)
+            else:
+                addend = parse_number(F.col(name)) if isinstance(given, T.StringType) else F.col(name)
             # one addend that is no number spoils the sum, which refuses the key
-            aggregates.append(F.when(F.count(addend) == F.count(F.lit(1)), F.sum(addend)).alias(name))
+            aggregates.append(F.when(F.count(addend) == F.count(F.lit(1)), F.try_sum(addend)).alias(name))
         elif action.kind == "remove_index":
             aggregates.append(F.sum(name).cast("int").alias(name))
         elif action.kind == "if_not_exists":
-            aggregates.append(F.min_by(name, seq).alias(name))
+            # a request without a value sets none: the first value counts
+            aggregates.append(F.min_by(name, F.when(F.col(name).isNotNull(), quoted(seq))).alias(name))
         elif action.kind == "list_append":
             # the appended elements are the new value of the attribute: they belong in one row
             element = F.col(name) if isinstance(requests.schema[name].dataType, T.ArrayType) else F.array(name)

@@ -190,7 +190,9 @@ def query_page(
     ascending: bool = False,
 ) -> Page:
     """A page of ``limit`` rows; one row beyond the page tells whether there is a next one."""
-    limit = limit or DEFAULT_LIMIT
+    limit = DEFAULT_LIMIT if limit is None else limit
+    if limit < 1:
+        raise ValidationError("a page has at least one row")
     skip = start_offset(start)
     view = table.index(index) if index else table
     common = dict(key_condition=key_condition, filter=filter, names=names, values=values, index=index)

@@ -31,20 +31,27 @@ def parameter(value: Any) -> Column:
 def select(catalog: Catalog, text: str, params: Sequence[Any] = (), limit: int | None = None) -> DataFrame:
     """Any SELECT over registered tables, with positional ``?`` values and an optional cap of the request."""
     rows = catalog.spark.sql(_table_names(catalog, text), args=[parameter(p) for p in params] or None)
-    return rows.limit(limit) if limit else rows
+    return rows if limit is None else rows.limit(limit)
 
 
 def _table_names(catalog: Catalog, text: str) -> str:
-    """Registered names in FROM position, quoted or with dashes, in the form of their views."""
-    return re.sub(
-        r"(?i)(\bFROM\s+)[\"`]?([\w-]+)[\"`]?",
-        lambda m: m.group(1) + m.group(2).replace("-", "_"),
-        text,
-    )
+    """Registered names in FROM position, quoted or with dashes, in the form of their views. Text literals stay as they are."""
+    shown = re.sub(r'"(?:[^"\\]|\\.)*"', lambda m: " " * len(m.group(0)), _outside_quotes(text))
+
+    def view(m: re.Match) -> str:
+        inside = not shown[m.start() : m.start() + 4].strip()
+        return m.group(0) if inside else m.group(1) + m.group(2).replace("-", "_")
+
+    return re.sub(r"(?i)(\b(?:FROM|JOIN)\s+)[\"`]?([\w-]+)[\"`]?", view, text)
+
 
+def insert_value(table: ItemTable, rows: DataFrame, literals: bool = False, on_conflict: str | None = None) -> WriteResult:
+    """INSERT INTO … VALUE for many rows; with ``literals`` every column is literal text cast by descriptor.
 
-def insert_value(table: ItemTable, rows: DataFrame, literals: bool = False) -> WriteResult:
-    """INSERT INTO … VALUE for many rows; with ``literals`` every column is literal text cast by descriptor."""
+    ``on_conflict="nothing"`` leaves an item that is there as it is and reports its key as a failed condition.
+    """
+    if on_conflict not in (None, "nothing"):
+        raise ValidationError(f"cannot do {on_conflict!r} on a conflict")
     if literals:
         typed = []
         for name in rows.columns:
@@ -52,7 +59,8 @@ def insert_value(table: ItemTable, rows: DataFrame, literals: bool = False) -> W
                 raise ValidationError(f"table {table.name!r} has no attribute {name!r}")
             typed.append(typed_literal(quoted(name), table.df.schema[name].dataType).alias(name))
         rows = rows.select(*typed)
-    return put_items(table, rows)
+    condition = f"attribute_not_exists({table.partition_key})" if on_conflict else None
+    return put_items(table, rows, condition=condition)
 
 
 def typed_literal(text: Column, kind: T.DataType) -> Column:
@@ -117,7 +125,7 @@ class StatementResult:
 
 
 _NAME = r"[\"`]?([\w-]+)[\"`]?"
-_INSERT = re.compile(rf"(?is)^\s*INSERT\s+INTO\s+{_NAME}\s+VALUE\s+(\{{.*\}})\s*(?:ON\s+CONFLICT\b.*)?;?\s*$")
+_INSERT = re.compile(rf"(?is)^\s*INSERT\s+INTO\s+{_NAME}\s+VALUE\s+(\{{.*\}})\s*(?:ON\s+CONFLICT\s+(.*?))?;?\s*$")
 _UPDATE = re.compile(rf"(?is)^\s*UPDATE\s+{_NAME}\s+SET\s+(.*)$")
 _DELETE = re.compile(rf"(?is)^\s*DELETE\s+FROM\s+{_NAME}(?:\s+WHERE\s+(.*?))?;?\s*$")
 
@@ -129,7 +137,11 @@ def execute_statement(catalog: Catalog, text: str, params: Sequence[Any] = (), l
         return StatementResult(rows=select(catalog, text, params, limit))
     if word == "INSERT" and (found := _INSERT.match(text)):
         table = catalog.table(found.group(1))
-        state = insert_value(table, _value_row(catalog, table, found.group(2), list(params))).state
+        conflict = found.group(3)
+        if conflict is not None and conflict.upper().split() != ["DO", "NOTHING"]:
+            raise ValidationError(f"cannot do {conflict!r} on a conflict")
+        rows = _value_row(catalog, table, found.group(2), list(params))
+        state = insert_value(table, rows, on_conflict="nothing" if conflict else None).state
     elif word == "UPDATE" and (found := _UPDATE.match(text)):
         table = catalog.table(found.group(1))
         body = found.group(2).rstrip().rstrip(";")

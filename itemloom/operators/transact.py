@@ -64,8 +64,8 @@ def condition_check(
     names: Mapping[str, str] | None = None,
     values: Mapping[str, Any] | None = None,
 ) -> DataFrame:
-    """``holds`` for every asked-for key; a missing item is checked as one without attributes."""
-    requests = keys.select(*[quoted(k).alias(_key(k)) for k in table.keys]).distinct()
+    """``holds`` for every asked-for whole key; a missing item is checked as one without attributes."""
+    requests = keys.where(table.has_key).select(*[quoted(k).alias(_key(k)) for k in table.keys]).distinct()
     rows = WriteResult(table, requests)._joined("right")
     holds = condition_column(condition, names, values, table.df.schema)
     return rows.select(*[quoted(_key(k)).alias(k) for k in table.keys], holds.alias("holds"))
@@ -88,9 +88,9 @@ def _planned(request: Request, table: ItemTable, checked: bool) -> WriteResult:
 def _request_failures(request: Request, table: ItemTable) -> DataFrame:
     if isinstance(request, Check):
         checked = condition_check(table, request.rows, request.condition, request.names, request.values)
-        return checked.where(~F.col("holds")).select(
-            *[quoted(k) for k in table.keys], F.lit(CONDITION_FAILED).alias("code")
-        )
+        failed = checked.where(~F.col("holds")).select(*[quoted(k) for k in table.keys], F.lit(CONDITION_FAILED).alias("code"))
+        partial = request.rows.where(~table.has_key).select(*[quoted(k) for k in table.keys], F.lit(VALIDATION).alias("code"))
+        return failed.unionByName(partial)
     return _planned(request, table, checked=False).failures
 
 
@@ -112,12 +112,11 @@ def transaction_failures(catalog: Catalog, requests: Sequence[Request]) -> DataF
         )
     for name in dict.fromkeys(catalog.table(r.table).name for r in requests):
         table = catalog.table(name)
-        writers = [r for r in requests if catalog.table(r.table).name == name and not isinstance(r, Check)]
+        writers = [(at, r) for at, r in enumerate(requests) if catalog.table(r.table).name == name and not isinstance(r, Check)]
         if len(writers) > 1:
             keys = [
                 r.rows.select(*[quoted(k) for k in table.keys], F.lit(at).alias("request")).distinct()
-                for at, r in enumerate(requests)
-                if r in writers
+                for at, r in writers
             ]
             twice = (
                 reduce(DataFrame.unionByName, keys)

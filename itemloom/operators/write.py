@@ -53,6 +53,42 @@ def unique_requests(table: ItemTable, requests: DataFrame) -> tuple[DataFrame, D
     return rows, bad
 
 
+BAD = "__bad"
+
+
+def typed_requests(table: ItemTable, requests: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Requests with these columns in the table's types, and ``__bad`` where one of them does not keep itself in its type.
+
+    A value that does not is null from here on. Types are settled before anything looks for repeats, so no two keys become one unseen.
+    """
+    kinds = {f.name: f.dataType for f in table.df.schema.fields}
+    columns, bad = [], F.lit(False)
+    for name in requests.columns:
+        value = quoted(name)
+        if name in names and name in kinds:
+            value, off = U.fitted(quoted(name), requests.schema[name].dataType, kinds[name])
+            if off is not None:
+                carried = F.array_contains(PRESENT, name) if PRESENT in requests.columns and name not in table.keys else F.lit(True)
+                bad, value = bad | (off & carried), F.when(~off, value)
+        columns.append(value.alias(name))
+    return requests.select(*columns, bad.alias(BAD))
+
+
+def fitting_keys(table: ItemTable, requests: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Requests with their keys in the table's types, and a failure row (without that key) for each key that does not fit."""
+    typed = typed_requests(table, requests, table.keys)
+    if all(requests.schema[k].dataType == table.df.schema[k].dataType for k in table.keys):
+        return requests, None
+    keys = [quoted(k) for k in table.keys]
+    return typed.where(~F.col(BAD)).drop(BAD), typed.where(F.col(BAD)).select(*keys, F.lit(VALIDATION).alias("code"))
+
+
+def _with(rejected: DataFrame | None, more: DataFrame | None) -> DataFrame | None:
+    if rejected is None or more is None:
+        return more if rejected is None else rejected
+    return rejected.unionByName(more)
+
+
 def _need_keys(table: ItemTable, requests: DataFrame) -> None:
     missing = [k for k in table.keys if k not in requests.columns]
     if missing:
@@ -247,6 +283,7 @@ def put_items(
     if mode not in ("merge", "replace"):
         raise ValidationError("mode is 'merge' or 'replace'")
     _need_keys(table, items)
+    items, off = fitting_keys(table, items)
     rejected = None
     if seq is not None:
         if condition is not None:
@@ -255,17 +292,22 @@ def put_items(
         items = last_write_wins(items.where(table.has_key), table.keys, seq)
     elif not unique:
         items, rejected = unique_requests(table, items)
+    rejected = _with(rejected, off)
     tracked = PRESENT in items.columns
     attributes = [c for c in items.columns if c not in (*table.keys, PRESENT)]
     kinds = {f.name: f.dataType for f in table.df.schema.fields}
-    payload = []
+    payload, misfits = [], []
     for name in attributes:
         value = quoted(name)
         if name in kinds and loose(kinds[name]) != loose(items.schema[name].dataType):
-            value = value.cast(loose(kinds[name]))
+            value, misfit = U.fitted(value, items.schema[name].dataType, kinds[name])
+            if misfit is not None:
+                misfits.append(misfit & F.array_contains(PRESENT, name) if tracked else misfit)
         payload.append(value.alias(_new(name)))
         if tracked:
             payload.append(F.array_contains(PRESENT, name).alias(_has(name)))
+    if misfits:
+        payload.append(reduce(lambda a, b: a | b, misfits).alias(BAD))
     requests = items.select(*[quoted(k).cast(kinds[k]).alias(_key(k)) for k in table.keys], *payload)
     changes = {}
     for name in attributes:
@@ -282,6 +324,7 @@ def put_items(
         requests,
         changes,
         condition_column(condition, names, values, table.df.schema) if condition else None,
+        refused=F.col(BAD) if misfits else None,
         rejected=rejected,
         added={a: items.schema[a].dataType for a in attributes if a not in kinds},
     )
@@ -317,8 +360,9 @@ def delete_items(
 ) -> WriteResult:
     """Remove the items with these keys; a key without an item is fine."""
     _need_keys(table, keys)
+    keys, off = fitting_keys(table, keys)
     key_columns = [quoted(k) for k in table.keys]
-    rejected = keys.where(~table.has_key).select(*key_columns, F.lit(VALIDATION).alias("code"))
+    rejected = _with(keys.where(~table.has_key).select(*key_columns, F.lit(VALIDATION).alias("code")), off)
     requests = keys.where(table.has_key).select(*[quoted(k).alias(_key(k)) for k in table.keys]).distinct()
     return WriteResult(
         table,
@@ -422,14 +466,15 @@ class BatchWriteResult:
 def batch_write(table: ItemTable, requests: DataFrame, op: str = "op", seq: str | None = None) -> BatchWriteResult:
     """Puts and deletes of one table: all puts first (in ``seq`` order), then all deletes.
 
-    Requests without a whole key or with another ``op`` come back as unprocessed.
+    Requests without a whole key, with another ``op`` or with a value that its attribute cannot hold come back as unprocessed.
     """
     _need_keys(table, requests)
-    fit = table.has_key & F.coalesce(F.lower(quoted(op)).isin("put", "delete"), F.lit(False))
+    fit = table.has_key & F.coalesce(F.lower(quoted(op)).isin("put", "delete"), F.lit(False)) & ~F.col(BAD)
     attributes = [c for c in requests.columns if c not in (*table.keys, op, seq, PRESENT)]
     unknown = [a for a in attributes if a not in table.df.columns]
     if unknown:
         raise ValidationError(f"table {table.name!r} has no attributes {', '.join(unknown)}")
+    requests = typed_requests(table, requests, [*table.keys, *attributes])
     good, bad = requests.where(fit), requests.where(~fit)
     turn = (F.lower(quoted(op)) == "delete").cast("int")
     order = F.struct(turn.alias("turn"), quoted(seq).alias("at")) if seq else turn
@@ -464,6 +509,7 @@ def update_items(
     one. ``seq`` orders several requests of one key, which are then folded into one.
     """
     _need_keys(table, requests)
+    requests, off = fitting_keys(table, requests)
     actions = U.actions_from_text(expression, names, values) if isinstance(expression, str) else list(expression)
     whole = [a.column for a in actions]
     if len(set(whole)) != len(whole):
@@ -488,6 +534,7 @@ def update_items(
         rejected = None
     else:
         asked, rejected = unique_requests(table, asked)
+    rejected = _with(rejected, off)
     rows = asked.select(
         *[quoted(k).cast(kinds[k]).alias(_key(k)) for k in table.keys],
         *[quoted(c) for c in asked.columns if c not in table.keys],
@@ -496,7 +543,7 @@ def update_items(
     for at, action in enumerate(actions):
         kind = kinds.get(action.column)
         new = U.new_value(action, quoted(action.column), kind, at, rows.schema)
-        broken = U.violation(action, new, kind, at, rows.schema)
+        broken = U.violation(action, quoted(action.column), new, kind, at, rows.schema)
         if broken is not None:
             violations.append(broken)
         if kind is None:

@@ -32,8 +32,7 @@ def change_feed(table: ItemTable, new: DataFrame, unchanged: bool = False) -> Da
         left = quoted(f"__o_{name}") if name in table.columns else F.lit(None)
         right = quoted(f"__n_{name}") if name in fresh else F.lit(None)
         kind = (table.df.schema if name in table.columns else new.schema)[name].dataType
-        if isinstance(kind, (T.VariantType, T.MapType)):
-            left, right = (_comparable(left, kind), _comparable(right, kind))
+        left, right = (_comparable(left, kind), _comparable(right, kind))
         differs = differs | ~left.eqNullSafe(right)
     event = (
         F.when(F.col("__old").isNull(), F.lit("INSERT"))
@@ -53,10 +52,30 @@ def change_feed(table: ItemTable, new: DataFrame, unchanged: bool = False) -> Da
     )
 
 
+def _holds_uncomparable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _holds_uncomparable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_holds_uncomparable(f.dataType) for f in kind.fields)
+    return isinstance(kind, (T.VariantType, T.MapType))
+
+
 def _comparable(col, kind: T.DataType):
+    """The value in a form that Spark compares, at every level: maps as sorted entries, documents as text."""
+    if not _holds_uncomparable(kind):
+        return col
+    if isinstance(kind, T.VariantType):
+        return F.to_json(col)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(col, lambda x: _comparable(x, kind.elementType))
     if isinstance(kind, T.MapType):
-        return F.array_sort(F.map_entries(col))
-    return F.to_json(col)
+        entries = F.transform(
+            F.map_entries(col),
+            lambda e: F.struct(e["key"].alias("key"), _comparable(e["value"], kind.valueType).alias("value")),
+        )
+        return F.array_sort(entries)
+    fields = [_comparable(col.getField(f.name), f.dataType).alias(f.name) for f in kind.fields]
+    return F.when(col.isNotNull(), F.struct(*fields))
 
 
 def stream_enabled(changes: DataFrame, config: DataFrame) -> DataFrame:

@@ -1,28 +1,38 @@
 """Write requests that arrive as a stream.
 
-Every micro-batch is folded to one row per key and kept as a change set named by its batch id, so its
-cost follows the size of the batch and not that of the table, and a re-delivered batch replaces its own
-change set. The current state is the last compacted one with the later change sets folded in.
+Every micro-batch is folded to one row per key and kept as a change set named by the run of the stream and
+its batch id, so its cost follows the size of the batch and not that of the table, and a re-delivered batch
+replaces its own change set. A stream that starts anew, with a new checkpoint, is a new run. The current state is the last compacted one with the later change sets folded in.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..errors import VALIDATION
-from ..operators.write import apply_requests, as_requests, fold_requests
+from ..functions.codec import PRESENT
+from ..operators.write import BAD, PUTS, RESET, apply_requests, as_requests, fold_requests, typed_requests
 from ..sources.snapshots import SnapshotStore
 from ..table import ItemTable, quoted
 
 
+#: run of change sets that are appended by hand
+DIRECT = "direct"
+
+
 @dataclass
 class MutationLog:
-    """A stored table plus the change sets that came after its last compaction."""
+    """A stored table plus the change sets that came after its last compaction.
+
+    A change set belongs to a run (one checkpoint of a stream) and to a batch of it. Runs are numbered in the order in which they
+    first append something; all change sets together are ordered by run and then by batch.
+    """
 
     store: SnapshotStore
     table: str
@@ -34,61 +44,108 @@ class MutationLog:
 
     @property
     def _note(self) -> str:
-        return f"{self.table}.batch"
+        return f"{self.table}.batches"
+
+    def _compacted(self) -> dict[str, int]:
+        return dict(self.store.manifest()["notes"].get(self._note, {}))
+
+    def _runs(self) -> list[str]:
+        """Numbered names of the runs, oldest first."""
+        folder, fs = self.store._path(self._changes), self.store._fs
+        names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+        return sorted(n.removeprefix("run=") for n in names if n.startswith("run="))
+
+    def _numbered(self, run: str) -> str:
+        known = self._runs()
+        return next((n for n in known if n.split("-", 1)[1] == run), f"{len(known):06d}-{run}")
 
-    def compacted_batch(self) -> int:
-        """Id of the last batch that the compacted state holds."""
-        return int(self.store.manifest()["notes"].get(self._note, -1))
+    def compacted_batch(self, run: str = DIRECT) -> int:
+        """Id of the last batch of a run that the compacted state holds."""
+        return int(self._compacted().get(self._numbered(run), -1))
 
     def base(self) -> ItemTable:
         keys = list(self.keys)
         return ItemTable(self.table, self.store.read(self.table), keys[0], keys[1] if len(keys) > 1 else None)
 
-    def append(self, batch: DataFrame, batch_id: int, op: str = "op", seq: str = "seq") -> None:
-        """Fold one batch and keep it. Requests that fit nothing go to ``unprocessed`` of the batch."""
-        if batch_id <= self.compacted_batch():
+    def _widened(self) -> ItemTable:
+        """The stored table with the attributes that change sets have added since."""
+        base, pending = self.base(), self._pending()
+        df = base.df
+        for field in pending.schema.fields if pending is not None else ():
+            if field.name not in (*df.columns, *_MARKS):
+                df = df.withColumn(field.name, F.lit(None).cast(field.dataType))
+        return base.with_df(df)
+
+    def append(self, batch: DataFrame, batch_id: int, op: str = "op", seq: str = "seq", run: str = DIRECT) -> None:
+        """Fold one batch and keep it. Requests that fit nothing go to ``unprocessed`` of the batch.
+
+        An attribute that the table does not have yet becomes one of its attributes, as in a put.
+        """
+        name = self._numbered(run)
+        if batch_id <= self._compacted().get(name, -1):
             return
-        base = self.base()
-        whole_key = base.has_key
-        fit = whole_key & F.coalesce(F.lower(quoted(op)).isin("put", "delete"), F.lit(False))
-        attributes = [a for a in base.attributes if a in batch.columns]
-        rows = as_requests(batch.where(fit), list(self.keys), op, seq, attributes)
+        table = self._widened()
+        attributes = [c for c in batch.columns if c not in (*self.keys, op, seq, PRESENT)]
+        typed = typed_requests(table, batch, [*self.keys, *attributes])
+        fit = table.has_key & F.coalesce(F.lower(quoted(op)).isin("put", "delete"), F.lit(False)) & ~F.col(BAD)
+        rows = as_requests(typed.where(fit), list(self.keys), op, seq, attributes)
         folded = fold_requests(rows, list(self.keys), attributes)
-        bad = batch.where(~fit).select(*[quoted(k) for k in self.keys], quoted(op), F.lit(VALIDATION).alias("code"))
+        bad = typed.where(~fit).select(*[quoted(k) for k in self.keys], quoted(op), F.lit(VALIDATION).alias("code"))
         # the change set comes last: a batch that has one is complete
-        bad.write.mode("overwrite").parquet(f"{self.store.root}/{self.table}/unprocessed/batch={batch_id}")
-        folded.write.mode("overwrite").parquet(f"{self._changes}/batch={batch_id}")
+        bad.write.mode("overwrite").parquet(f"{self.store.root}/{self.table}/unprocessed/run={name}/batch={batch_id}")
+        folded.write.mode("overwrite").parquet(f"{self._changes}/run={name}/batch={batch_id}")
 
     def _pending(self) -> DataFrame | None:
-        path = self.store._path(self._changes)
-        if not self.store._fs.exists(path):
+        if not self._runs():
             return None
-        changes = self.store.spark.read.option("basePath", self._changes).parquet(self._changes)
-        return changes.where(F.col("batch") > self.compacted_batch())
+        changes = self.store.spark.read.option("basePath", self._changes).option("mergeSchema", True).parquet(self._changes)
+        later = F.lit(True)
+        for run, batch in self._compacted().items():
+            later = later & ((F.col("run") != run) | (F.col("batch") > batch))
+        return changes.where(later)
 
     def state(self) -> DataFrame:
         """Current items."""
-        base, pending = self.base(), self._pending()
+        pending = self._pending()
         if pending is None:
-            return base.df
-        # a folded row already stands for its batch: across batches the batch id is the order
-        attributes = [a for a in base.attributes if a in pending.columns]
-        ordered = pending.drop("_at").withColumn("_at", F.col("batch").cast("long"))
-        return apply_requests(base, fold_requests(ordered, list(self.keys), attributes))
+            return self.base().df
+        table = self._widened()
+        # a folded row already stands for its batch: across batches run and batch are the order
+        order = F.struct(F.col("run").cast("string").alias("run"), F.col("batch").cast("long").alias("batch"))
+        attributes = [a for a in table.attributes if a in pending.columns]
+        ordered = pending.drop("_at").withColumn("_at", order)
+        # change sets of other columns carry nothing of this one
+        carried = F.coalesce(F.col(PRESENT), F.array().cast("array<string>"))
+        return apply_requests(table, fold_requests(ordered.withColumn(PRESENT, carried), list(self.keys), attributes))
 
     def unprocessed(self) -> DataFrame | None:
         path = f"{self.store.root}/{self.table}/unprocessed"
         if not self.store._fs.exists(self.store._path(path)):
             return None
-        return self.store.spark.read.option("basePath", path).parquet(path)
+        return self.store.spark.read.option("basePath", path).option("mergeSchema", True).parquet(path)
 
     def compact(self) -> int:
         """Write the current state out as a new snapshot that the change sets so far are part of."""
         pending = self._pending()
-        last = pending.agg(F.max("batch").alias("b")).first()["b"] if pending is not None else None
-        if last is None:
+        last = pending.groupBy("run").agg(F.max("batch").alias("b")).collect() if pending is not None else []
+        if not last:
             return self.store.manifest()["version"]
-        return self.store.commit({self.table: self.base().with_df(self.state())}, notes={self._note: int(last)})
+        notes = self._compacted() | {r["run"]: int(r["b"]) for r in last}
+        return self.store.commit({self.table: self.base().with_df(self.state())}, notes={self._note: notes})
+
+
+#: columns of a change set that are not attributes
+_MARKS = ("run", "batch", "_at", PRESENT, RESET, PUTS)
+
+
+def _run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a checkpoint: the same as long as the checkpoint lives, another for every new one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/metadata")
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["id"]
+    finally:
+        stream.close()
 
 
 def apply_mutation_stream(
@@ -108,7 +165,7 @@ def apply_mutation_stream(
     def keep(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            log.append(batch, batch_id, op, seq)
+            log.append(batch, batch_id, op, seq, run=_run_of(log.store.spark, checkpoint))
         finally:
             batch.unpersist()
         if compact_every and (batch_id + 1) % compact_every == 0:

@@ -101,7 +101,7 @@ class Catalog:
         clean = clean_name(name)
         if alias_of is not None:
             actual = self.table(alias_of)
-            self._aliases[clean] = clean_name(alias_of)
+            self._aliases[clean] = actual.name
             actual.df.createOrReplaceTempView(clean)
             return actual
         if df is None or partition_key is None:
