@@ -56,7 +56,7 @@ class Mix:
     def finish(self, epoch: int | Column) -> Column:
         """Virtual finish time of a copy: the words queued in its source up to and with it, over the source's target."""
         epoch = epoch if isinstance(epoch, Column) else F.lit(epoch)
-        return (epoch * F.col("_source_size") + F.col("_sum")) / F.col("_target")
+        return F.try_divide((epoch * F.col("_source_size") + F.col("_sum")).cast("double"), F.col("_target"))
 
     def range_of(self, finish: Column) -> Column:
         """The range of a finish time: even steps up to 2, even ratios beyond, so that no far range gathers many copies."""
@@ -67,7 +67,8 @@ class Mix:
         finish = self.finish(epoch)
         at, tied = self.range_of(finish), (finish == self.end_finish) & (F.col("_rank") <= self.end_rank)
         inside = (at < self.end_range) | ((at == self.end_range) & ((finish < self.end_finish) | tied))
-        return (F.col("_words") > 0) & inside
+        # a source without words has no target and no finish times
+        return F.coalesce((F.col("_words") > 0) & inside, F.lit(False))
 
     def copies(self) -> Column:
         """How many times the mix takes a document."""
