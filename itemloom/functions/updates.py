@@ -434,15 +434,19 @@ def new_value(action: Action, old: Column, old_kind: T.DataType | None, at: int,
             return F.when(old.isNotNull(), fitted(given, given_kind, kind)[0])
         case "add" if numeric:
             return _total(action, old, kind, given, given_kind)[0]
-        case "add" if isinstance(kind, T.VariantType) and isinstance(given_kind, T.NumericType):
-            total = F.coalesce(old.try_cast("double"), F.lit(0.0)) + given
-            return F.when(old.isNull() | old.try_cast("double").isNotNull(), total.cast("variant")).otherwise(old)
-        case "add":
+        case "add" if isinstance(kind, T.VariantType):
+            number, held = given.try_cast("double"), old.try_cast("double")
+            total = (F.coalesce(held, F.lit(0.0)) + number).cast("variant")
+            summed = F.when(old.isNull() | held.isNotNull(), total).otherwise(old)
+            if isinstance(given_kind, T.NumericType):
+                return summed
             members, kind_of = _list_of(old, kind)
             added = given.try_cast("array<variant>") if isinstance(given_kind, T.VariantType) else given.cast(kind_of)
-            if isinstance(kind, T.VariantType):
-                return _back(F.concat(F.coalesce(members, _empty(kind_of)), added), kind)
-            return F.array_union(F.coalesce(members, _empty(kind_of)), added)
+            grown = _back(F.concat(F.coalesce(members, _empty(kind_of)), added), kind)
+            return F.when(number.isNotNull(), summed).otherwise(grown) if isinstance(given_kind, T.VariantType) else grown
+        case "add":
+            members, kind_of = _list_of(old, kind)
+            return F.array_union(F.coalesce(members, _empty(kind_of)), given.cast(kind_of))
         case "delete":
             left = F.array_except(old, given.cast(kind))
             return F.when(F.size(left) > 0, left)

@@ -12,15 +12,16 @@ from itemloom import Catalog, Index, build_session  # noqa: E402
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
-EMPLOYEES = [
-    (1.0, "Shamli", 10.0, "Marc", "Richards", ["+1111111111", "+1222222222"], [b"SomeBytesData1", b"SomeBytesData2"], [1000.5, 2000.75]),
-    (2.0, "New York", 20.0, "Catalina", "Smith", ["+1333333333"], [b"SomeBytesData3"], [3000.0]),
-    (3.0, "Pune", 30.0, "Alice", "Trentor", ["+1444444444", "+1555555555"], [b"SomeBytesData4", b"SomeBytesData5"], [4000.25, 5000.5, 6000.75]),
-    (4.0, "Silicon Valley", 40.0, "Lea", "Martin", ["+1666666666"], [b"SomeBytesData6"], [7000.0, 8000.25]),
-    (5.0, "London", 50.0, "David", "Lomond", ["+1777777777", "+1888888888", "+1999999999"], [b"SomeBytesData7", b"SomeBytesData8"], [9000.5]),
+SHIPS = [
+    (301.0, "Bergen", 4100.0, "Aurora", "Holm Lines", ["LAXQ", "LAXR"], [b"hull no. 1"], [12.5, 90.25, 7.0]),
+    (302.0, "Gdansk", 880.0, "Wisla Star", "Baltic Freight", ["SPZB"], [b"crew a", b"crew b"], [45.0]),
+    (303.0, None, 15250.0, "Meridian", "Okeanos", ["SVTT", "SVTU", "SVTV"], [b"tank"], [310.75]),
+    (304.0, "Porto", 2300.0, "Andorinha", "Douro Mar", ["CSAA"], [b"deck", b"keel", b"mast"], [5.5, 6.5]),
+    (305.0, "Cork", 640.0, "Selkie", "Lee Trawlers", ["EIQQ"], [b"net"], [1.0, 2.0, 3.0]),
+    (306.0, "Bergen", 7700.0, "Nordlys", "Holm Lines", ["LBCD", "LBCE"], [b"hull no. 2"], [60.0]),
 ]
-EMPLOYEE_SCHEMA = """emp_id double, address string, age double, first_name string, last_name string,
-    phone_numbers array<string>, profile_pics array<binary>, salaries array<double>"""
+SHIP_SCHEMA = """ship_id double, harbour string, tonnage double, title string, owner string,
+    callsigns array<string>, papers array<binary>, dues array<double>"""
 
 
 @pytest.fixture(scope="session")
@@ -48,15 +49,15 @@ def sf():
 @pytest.fixture
 def catalog(spark):
     found = Catalog(spark)
-    found.register_table("employee", spark.createDataFrame(EMPLOYEES, EMPLOYEE_SCHEMA), "emp_id")
-    departments = [(100.0, "Engineering", "CSE, ECE, Civil"), (200.0, None, "BA"), (300.0, "Culture", "History")]
-    found.register_table("department", spark.createDataFrame(departments, "d_id double, d_name string, d_specialization string"), "d_id")
-    lists = [("rank1", '["John Doe","62536",true]'), ("rank2", '["string_value","12345",true,[1,2,3],"testing"]'), ("rank3", '["test","dummy_value","62536"]')]
-    listed = spark.createDataFrame(lists, "rank_list string, list_type string").withColumn("list_type", F.parse_json("list_type"))
-    found.register_table("test_table", listed, "rank_list")
-    address = '{"active":true,"details":{"inner":{"landmark":"old","number":7},"apartment":"4B"},"mobile":555}'
-    nested = spark.createDataFrame([("g1", address), ("g2", address)], "guid string, address string").withColumn("address", F.parse_json("address"))
-    found.register_table("places", nested, "guid")
+    found.register_table("ship", spark.createDataFrame(SHIPS, SHIP_SCHEMA), "ship_id")
+    harbours = [(11.0, "Bergen", "fish, timber"), (12.0, None, "coal"), (13.0, "Cork", "butter")]
+    found.register_table("harbour", spark.createDataFrame(harbours, "pier double, h_name string, trade string"), "pier")
+    boxes = [("b1", '["tea",840,false]'), ("b2", '["silk","jade",true,{"kg":3},[1]]'), ("b3", '["rope"]')]
+    boxed = spark.createDataFrame(boxes, "box string, goods string").withColumn("goods", F.parse_json("goods"))
+    found.register_table("box", boxed, "box")
+    layout = '{"open":false,"gate":{"lock":{"brand":"Abus","pins":9},"side":"north"},"bays":31}'
+    nested = spark.createDataFrame([("p1", layout), ("p2", layout)], "depot string, layout string")
+    found.register_table("depots", nested.withColumn("layout", F.parse_json("layout")), "depot")
     log = [("u1", i, f"e{i}", float(i % 3)) for i in range(10)] + [("u2", i, f"f{i}", 1.0) for i in range(3)] + [("u3", None, "lost", 0.0)]
     visits = spark.createDataFrame(log, "uid string, at int, what string, score double")
     found.register_table("visit-log", visits, "uid", "at", {"by_score": Index("score", "what"), "thin": Index("score", "at", include=())})

@@ -18,6 +18,7 @@ from itemloom import (
     register_from_metadata,
     read_items_json,
     read_items_tsv,
+    write_items_tsv,
     restore_columns,
     sanitize_columns,
     schema_diff,
@@ -39,18 +40,18 @@ def rows(df):
 
 
 def test_inferred_schema(spark, catalog):
-    items = encode_items(catalog.table("employee").df)
-    other = spark.createDataFrame([('{"emp_id":{"S":"x"},"extra":{"NULL":true},"map":{"M":{"a":{"S":"x"}}}}',)], "item string")
+    items = encode_items(catalog.table("ship").df)
+    other = spark.createDataFrame([('{"ship_id":{"S":"x"},"extra":{"NULL":true},"map":{"M":{"a":{"S":"x"}}}}',)], "item string")
     got = {r["attribute"]: (r["descriptor"], r["conflicts"], r["items"]) for r in infer_item_schema(items.union(other)).collect()}
-    assert got["emp_id"] == ("N", ["S"], 6) and got["extra"] == ("NULL", [], 1) and got["map"] == ("M", [], 1)
-    assert (got["phone_numbers"][0], got["profile_pics"][0], got["salaries"][0]) == ("SS", "BS", "NS")
+    assert got["ship_id"] == ("N", ["S"], 7) and got["extra"] == ("NULL", [], 1) and got["map"] == ("M", [], 1)
+    assert (got["callsigns"][0], got["papers"][0], got["dues"][0]) == ("SS", "BS", "NS")
     assert infer_item_schema(items, sample_n=1).count() == 8
 
 
 def test_metadata(catalog):
-    table = catalog.table("employee")
+    table = catalog.table("ship")
     found = {r["column"]: r.asDict() for r in table_metadata(table).collect()}
-    assert found["salaries"]["storedType"] == "ARRAY<FLOAT64>" and found["age"]["partitionKey"] == "emp_id"
+    assert found["dues"]["storedType"] == "ARRAY<FLOAT64>" and found["tonnage"]["partitionKey"] == "ship_id"
     assert {f.name: f.dataType for f in struct_from_metadata(table_metadata(table))} == {f.name: f.dataType for f in table.df.schema}
 
 
@@ -94,10 +95,10 @@ def test_stored_names(spark):
 
 
 def test_item_lines(spark, catalog, tmp_path):
-    df = catalog.table("department").df
+    df = catalog.table("harbour").df
     write_items_json(df, str(tmp_path / "items"))
-    got = read_items_json(spark, str(tmp_path / "items"), {"d_id": "N", "d_name": "S", "d_specialization": "S"})
-    assert rows(got.select("d_id", "d_name", "d_specialization")) == rows(df)
+    got = read_items_json(spark, str(tmp_path / "items"), {"pier": "N", "h_name": "S", "trade": "S"})
+    assert rows(got.select("pier", "h_name", "trade")) == rows(df)
     assert read_items_json(spark, str(tmp_path / "items")).columns == ["item"]
 
 
@@ -218,6 +219,46 @@ def test_stream_of_mutations(spark, tmp_path, compact_every):
     assert rows(log.state()) == sorted(FINAL, key=repr)
 
 
+def test_a_stream_that_starts_anew_loses_nothing(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    store.commit({"t": spark.createDataFrame([(0, "zero", 0.0)], "k int, s string, n double")})
+    log = MutationLog(store, "t", ["k"])
+    for run, key in enumerate((1, 2, 3)):
+        stream = stream_of(spark, str(tmp_path / f"in{run}"), [[(key, "put", key, f"s{key}", None, ["s"])]])
+        writer = apply_mutation_stream(stream, log, str(tmp_path / f"cp{run}"))
+        writer.trigger(availableNow=True).start().awaitTermination()
+        if run == 1:
+            log.compact()
+    assert rows(log.state()) == [(0, "zero", 0.0), (1, "s1", None), (2, "s2", None), (3, "s3", None)]
+
+
+def test_change_sets_of_different_columns(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    store.commit({"t": spark.createDataFrame([(0, "zero")], "k int, x string")})
+    log = MutationLog(store, "t", ["k"])
+    log.append(spark.createDataFrame([(1, "put", 1, "a")], "k int, op string, seq long, x string"), 0)
+    log.append(spark.createDataFrame([(1, "put", 2, "b", 5), (2, "put", 3, "c", 6)], "k int, op string, seq long, x string, y int"), 1)
+    log.append(spark.createDataFrame([("no", "put", 4, "c", "7"), ("3", "put", 5, "d", "8")], "k string, op string, seq long, x string, y string"), 2)
+    assert rows(log.state().select("k", "x", "y")) == [(0, "zero", None), (1, "b", 5), (2, "c", 6), (3, "d", 8)]
+    assert log.unprocessed().count() == 1
+    log.compact()
+    assert rows(store.read("t").select("k", "x", "y")) == [(0, "zero", None), (1, "b", 5), (2, "c", 6), (3, "d", 8)]
+
+
+def test_changes_of_nested_values(spark):
+    kinds = "named_struct('m', map('b', 1, 'a', {})) AS st, array(parse_json('{{\"p\":{}}}')) AS docs"
+    old = spark.sql("SELECT 1 AS id, " + kinds.format(2, 3) + " UNION ALL SELECT 2, " + kinds.format(2, 3))
+    new = spark.sql("SELECT 1 AS id, " + kinds.format(2, 3) + " UNION ALL SELECT 2, " + kinds.format(2, 4))
+    assert [(r["event_name"], r["keys"]) for r in change_feed(ItemTable("t", old, "id"), new).collect()] == [("MODIFY", '{"id":2}')]
+
+
+def test_tab_separated_round_trip(spark, tmp_path):
+    texts = [None, "", " edge ", "a\nb\tc", "\\n", "\\", '"q"', "\\e", "\0x", "ü\r\n"]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "k string, v string")
+    write_items_tsv(df, str(tmp_path / "t"))
+    assert rows(read_items_tsv(spark, str(tmp_path / "t"))) == rows(df)
+
+
 def test_lost_manifest_draft_is_no_version(spark, tmp_path):
     store = SnapshotStore(spark, str(tmp_path / "store"))
     store.commit({"a": spark.range(1)})

@@ -1,14 +1,16 @@
 """Update actions one by one, as text and in bulk."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
-from itemloom import ItemTable, ValidationError, update_items
+from itemloom import ItemTable, ValidationError, batch_write, put_items, update_items
 from itemloom.functions.updates import actions_from_text, clauses, list_append, set_path
 
 SCHEMA = """id string, n double, s string, tags array<string>, nums array<double>, bins array<binary>,
     list array<string>, m map<string,double>, st struct<a: struct<b: int, c: string>, d: int>"""
-ROW = ("1", 5.0, "x", ["old", "new"], [20.0, 10.0], [b"o", b"n"], ["John", "Doe"], {"k": 1.0}, ((1, "c"), 2))
+ROW = ("1", 5.0, "x", ["old", "new"], [20.0, 10.0], [b"o", b"n"], ["oak", "elm"], {"k": 1.0}, ((1, "c"), 2))
 EMPTY = ("1", None, None, None, None, None, None, None, None)
 
 
@@ -43,13 +45,13 @@ def after(spark, text, values=None, row=ROW, names=None):
         ("ADD bins :v", {":v": {"BS": [b"z"]}}, "bins", [b"o", b"n", b"z"], [b"z"]),
         ("DELETE bins :v", {":v": {"BS": [b"o"]}}, "bins", [b"n"], None),
         ("SET tags = :v", {":v": {"SS": ["b", "a", "b"]}}, "tags", ["b", "a"], ["b", "a"]),
-        ("SET list = list_append(list, :v)", {":v": ["Jim"]}, "list", ["John", "Doe", "Jim"], ["Jim"]),
-        ("SET list = list_append(list, :v)", {":v": "Jim"}, "list", ["John", "Doe", "Jim"], ["Jim"]),
-        ("SET list[1] = :v", {":v": "Jacob"}, "list", ["John", "Jacob"], None),
-        ("SET list[2] = :v", {":v": "tail"}, "list", ["John", "Doe", "tail"], None),
-        ("SET list[3] = :v", {":v": "far"}, "list", ["John", "Doe"], None),
-        ("REMOVE list[0]", {}, "list", ["Doe"], None),
-        ("REMOVE list[7]", {}, "list", ["John", "Doe"], None),
+        ("SET list = list_append(list, :v)", {":v": ["fir"]}, "list", ["oak", "elm", "fir"], ["fir"]),
+        ("SET list = list_append(list, :v)", {":v": "fir"}, "list", ["oak", "elm", "fir"], ["fir"]),
+        ("SET list[1] = :v", {":v": "ash"}, "list", ["oak", "ash"], None),
+        ("SET list[2] = :v", {":v": "tail"}, "list", ["oak", "elm", "tail"], None),
+        ("SET list[3] = :v", {":v": "far"}, "list", ["oak", "elm"], None),
+        ("REMOVE list[0]", {}, "list", ["elm"], None),
+        ("REMOVE list[7]", {}, "list", ["oak", "elm"], None),
         ("REMOVE n", {}, "n", None, None),
         ("SET m.k = :v", {":v": 7}, "m", {"k": 7.0}, None),
         ("SET m.other = :v", {":v": 7}, "m", {"k": 1.0, "other": 7.0}, None),
@@ -69,29 +71,92 @@ def test_action(spark, items, text, values, column, expected, of_empty):
 
 
 def test_document_attributes(spark, catalog):
-    table = catalog.table("places")
-    asked = spark.createDataFrame([("g1", "new"), ("g3", "x")], "guid string, v string")
+    table = catalog.table("depots")
+    asked = spark.createDataFrame([("p1", "Yale"), ("p3", "x")], "depot string, v string")
     text = "SET #a.#b.#c.#d = :v"
-    names = {"#a": "address", "#b": "details", "#c": "inner", "#d": "landmark"}
+    names = {"#a": "layout", "#b": "gate", "#c": "lock", "#d": "brand"}
     got = update_items(table, asked, text, names, {":v": F.col("v")}).state
-    rows = {r["guid"]: r["j"] for r in got.select("guid", F.to_json("address").alias("j")).collect()}
-    assert '"landmark":"new"' in rows["g1"] and '"number":7' in rows["g1"] and '"landmark":"old"' in rows["g2"]
-    assert rows["g3"] is None
-    broken = update_items(table, asked, [set_path("address", "details.nowhere.x", F.col("v"))]).state
-    assert '"landmark":"old"' in broken.where("guid = 'g1'").select(F.to_json("address")).first()[0]
+    rows = {r["depot"]: r["j"] for r in got.select("depot", F.to_json("layout").alias("j")).collect()}
+    assert '"brand":"Yale"' in rows["p1"] and '"pins":9' in rows["p1"] and '"brand":"Abus"' in rows["p2"]
+    assert rows["p3"] is None
+    broken = update_items(table, asked, [set_path("layout", "gate.nowhere.x", F.col("v"))]).state
+    assert '"brand":"Abus"' in broken.where("depot = 'p1'").select(F.to_json("layout")).first()[0]
+
+
+def test_targets_inside_documents(spark):
+    base = spark.createDataFrame([(1, '{"n":{"x":2,"y":"z"},"l":[1,2,3],"k":5}')], "id int, doc string").withColumn("doc", F.parse_json("doc"))
+    table, asked = ItemTable("t", base, "id"), spark.createDataFrame([(1,), (2,)], "id int")
+
+    def doc(text, values=None):
+        got = {r["id"]: r["j"] for r in update_items(table, asked, text, None, values).state.select("id", F.to_json("doc").alias("j")).collect()}
+        assert got[2] is None
+        return json.loads(got[1])
+
+    whole = {"n": {"x": 2, "y": "z"}, "l": [1, 2, 3], "k": 5}
+    assert doc("REMOVE doc.k") == {k: v for k, v in whole.items() if k != "k"}
+    assert doc("REMOVE doc.n.y") == whole | {"n": {"x": 2}} and doc("REMOVE doc.none.y") == whole
+    assert doc("SET doc.l[1] = :v", {":v": 9}) == whole | {"l": [1, 9, 3]}
+    assert doc("REMOVE doc.l[0]") == whole | {"l": [2, 3]}
+    assert doc("ADD doc.n.x :v", {":v": 3}) == whole | {"n": {"x": 5, "y": "z"}}
+    assert doc("ADD doc.n.y :v", {":v": 3}) == whole
+    structs = spark.sql("SELECT 1 AS id, named_struct('a', array('p', 'q'), 'b', 4) AS s, map('m', 1.5D) AS m")
+    got = update_items(ItemTable("t", structs, "id"), asked, "REMOVE s.b ADD m.m :v", None, {":v": 2}).state.where("id = 1").first()
+    assert got["s"]["b"] is None and got["s"]["a"] == ["p", "q"] and got["m"] == {"m": 3.5}
+    for text in ("ADD doc.l[0] :v", "SET doc.n.x = doc.n.x + :v"):
+        with pytest.raises(ValidationError):
+            update_items(table, asked, text, None, {":v": 1})
+
+
+def test_whole_numbers_stay_exact(spark):
+    top = 2**63 - 1
+    base = spark.createDataFrame([(1, 2**53 + 1), (2, top), (3, 5), (4, 5), (5, 5)], "id long, n long")
+    asked = spark.createDataFrame([(1, "1"), (2, "1"), (3, "0.5"), (4, "x"), (5, "-7")], "id long, d string")
+    for options in ({}, {"seq": "id"}):
+        got = update_items(ItemTable("t", base, "id"), asked, "ADD n :d", values={":d": F.col("d")}, **options)
+        assert dict(map(tuple, got.state.collect())) == {1: 2**53 + 2, 2: top, 3: 5, 4: 5, 5: -2}
+        assert sorted(r["id"] for r in got.failures.collect()) == [2, 3, 4]
+    got = update_items(ItemTable("t", base, "id"), asked.where("id = 3"), "SET n = :v", values={":v": 1.5})
+    assert got.state.where("id = 3").first()["n"] == 5 and got.failures.count() == 1
+
+
+def test_puts_that_do_not_fit(spark):
+    table = ItemTable("t", spark.createDataFrame([(1, 10)], "id long, n long"), "id")
+    puts = spark.createDataFrame([(1.7, 1.0), (1.2, 2.0), (2.0, 3.0), (3.0, 1.5), (None, 1.0)], "id double, n double")
+    got = put_items(table, puts)
+    assert sorted(map(tuple, got.state.collect())) == [(1, 10), (2, 3)]
+    assert sorted(got.failures.collect(), key=repr) == [(3, "ValidationException"), *[(None, "ValidationException")] * 3]
+    texts = spark.createDataFrame([("abc", "1"), ("7", "x"), ("8", "9")], "id string, n string")
+    got = put_items(table, texts)
+    assert sorted(map(tuple, got.state.collect())) == [(1, 10), (8, 9)] and got.failures.count() == 2
+    mixed = batch_write(table, texts.withColumn("op", F.lit("put")))
+    assert sorted(map(tuple, mixed.state.collect())) == [(1, 10), (8, 9)] and mixed.unprocessed.count() == 2
+    assert update_items(table, texts.select("id"), "SET n = :v", values={":v": 4}).failures.count() == 1
+
+
+def test_lists_grow_at_either_end(spark):
+    table = ItemTable("t", spark.createDataFrame([(1, ["b"]), (2, None)], "id int, l array<string>"), "id")
+    got = update_items(table, spark.createDataFrame([(1,), (2,)], "id int"), "SET l = list_append(:v, l)", values={":v": ["a"]}).state
+    assert dict(map(tuple, got.collect())) == {1: ["a", "b"], 2: ["a"]}
+
+
+def test_first_value_that_is_there_counts(spark):
+    table = ItemTable("t", spark.createDataFrame([(1, None)], "id int, s string"), "id")
+    asked = spark.createDataFrame([(1, 1, None), (1, 2, "second"), (1, 3, "third")], "id int, at int, v string")
+    got = update_items(table, asked, "SET s = if_not_exists(s, :v)", values={":v": F.col("v")}, seq="at").state
+    assert got.first()["s"] == "second"
 
 
 def test_document_lists(spark, catalog):
-    table = catalog.table("test_table")
-    asked = spark.createDataFrame([("rank1",)], "rank_list string")
+    table = catalog.table("box")
+    asked = spark.createDataFrame([("b1",)], "box string")
 
     def changed(text, values=None):
-        state = update_items(table, asked, text, {"#lt": "list_type"}, values).state
-        return state.where("rank_list = 'rank1'").select(F.to_json("list_type")).first()[0]
+        state = update_items(table, asked, text, {"#lt": "goods"}, values).state
+        return state.where("box = 'b1'").select(F.to_json("goods")).first()[0]
 
-    assert changed("SET #lt[1] = :v", {":v": "new"}) == '["John Doe","new",true]'
-    assert changed("SET #lt = list_append(#lt, :v)", {":v": ["a", 1]}) == '["John Doe","62536",true,"a",1]'
-    assert changed("REMOVE #lt[2]") == '["John Doe","62536"]'
+    assert changed("SET #lt[1] = :v", {":v": "new"}) == '["tea","new",false]'
+    assert changed("SET #lt = list_append(#lt, :v)", {":v": ["a", 1]}) == '["tea",840,false,"a",1]'
+    assert changed("REMOVE #lt[2]") == '["tea",840]'
     assert changed("SET #lt = :v", {":v": {"L": [{"S": "x"}, {"N": "2"}]}}) == '["x",2]'
 
 
@@ -112,8 +177,8 @@ def test_clauses_are_cut_outside_quotes():
 
 
 def test_refused_expressions(spark, catalog):
-    table, asked = catalog.table("employee"), spark.createDataFrame([(1.0,)], "emp_id double")
-    for text, values in [("SET age = :age", {}), ("SET emp_id = :v", {":v": 1}), ("SET age = :v ADD age :v", {":v": 1})]:
+    table, asked = catalog.table("ship"), spark.createDataFrame([(301.0,)], "ship_id double")
+    for text, values in [("SET title = :t", {}), ("SET ship_id = :v", {":v": 1}), ("SET tonnage = :v ADD tonnage :v", {":v": 1})]:
         with pytest.raises(ValidationError):
             update_items(table, asked, text, values=values)
 
@@ -127,19 +192,20 @@ def test_overflow_and_bad_addends_are_refused(spark):
 
 
 def test_condition_gates_the_update(spark, catalog):
-    table = catalog.table("employee")
-    asked = spark.createDataFrame([(1.0, 31), (9.0, 99)], "emp_id double, age int")
-    got = update_items(table, asked, "SET age = :a", values={":a": F.col("age"), ":min": 9}, condition="age > :min")
-    assert {r["emp_id"]: r["age"] for r in got.state.collect()} == {1.0: 31.0, 2.0: 20.0, 3.0: 30.0, 4.0: 40.0, 5.0: 50.0}
-    assert [tuple(r) for r in got.failures.collect()] == [(9.0, "ConditionalCheckFailedException")]
+    table = catalog.table("ship")
+    asked = spark.createDataFrame([(304.0, 2450), (309.0, 70)], "ship_id double, t int")
+    got = update_items(table, asked, "SET tonnage = :t", values={":t": F.col("t"), ":min": 2000}, condition="tonnage > :min")
+    after = {r["ship_id"]: r["tonnage"] for r in got.state.collect()}
+    assert after == {r["ship_id"]: r["tonnage"] for r in table.df.collect()} | {304.0: 2450.0}
+    assert [tuple(r) for r in got.failures.collect()] == [(309.0, "ConditionalCheckFailedException")]
 
 
 def test_missing_item_is_created_and_new_attributes_appear(spark, catalog, shuffled):
-    table = catalog.table("department")
-    asked = spark.createDataFrame([(400.0, "New"), (100.0, "Old")], "d_id double, note string")
+    table = catalog.table("harbour")
+    asked = spark.createDataFrame([(14.0, "dry dock"), (11.0, "deep")], "pier double, note string")
     got = update_items(table, asked, "SET note = :n", values={":n": F.col("note")}).state
-    rows = {r["d_id"]: (r["d_name"], r["note"]) for r in got.collect()}
-    assert rows == {100.0: ("Engineering", "Old"), 200.0: (None, None), 300.0: ("Culture", None), 400.0: (None, "New")}
+    rows = {r["pier"]: (r["h_name"], r["note"]) for r in got.collect()}
+    assert rows == {11.0: ("Bergen", "deep"), 12.0: (None, None), 13.0: ("Cork", None), 14.0: (None, "dry dock")}
 
 
 # -- several updates of one key ---------------------------------------------------------------
