@@ -538,8 +538,11 @@ def fold_updates(
                 addend = exact_number(F.col(name), given)
             else:
                 addend = parse_number(F.col(name)) if isinstance(given, T.StringType) else F.col(name)
+            # doubles end in infinity, other types in an error or, here, in no sum
+            floats = isinstance(given, (T.DoubleType, T.FloatType, T.StringType)) and not isinstance(target, (T.IntegralType, T.DecimalType))
+            total = F.sum if floats else F.try_sum
             # one addend that is no number spoils the sum, which refuses the key
-            aggregates.append(F.when(F.count(addend) == F.count(F.lit(1)), F.try_sum(addend)).alias(name))
+            aggregates.append(F.when(F.count(addend) == F.count(F.lit(1)), total(addend)).alias(name))
         elif action.kind == "remove_index":
             aggregates.append(F.sum(name).cast("int").alias(name))
         elif action.kind == "if_not_exists":
