@@ -103,6 +103,7 @@ def decode_items(
     ``_present`` names the attributes an item carries (a null marker counts), ``_errors`` those
     whose value does not fit the declared descriptor. ``keep`` columns pass through.
     """
+    documents.room_for(depth)
     declared = {name: _declared(kind) for name, kind in schema.items()}
     tags = T.StructType([T.StructField(n, _tag_type(d, k)) for n, (d, k) in declared.items()])
     parsed = df.select(
@@ -215,6 +216,7 @@ def item_json(
     depth: int = documents.DEFAULT_DEPTH,
 ) -> Column:
     """Tagged JSON text of the given columns (all by default), read under ``prefix`` + name."""
+    documents.room_for(depth)
     if nulls not in ("marker", "absent"):
         raise ValidationError("nulls is 'marker' or 'absent'")
     kinds = {f.name: f.dataType for f in df.schema.fields}
@@ -255,6 +257,7 @@ def encode_items(
 
 def nested_set_attributes(col: Column, depth: int = documents.DEFAULT_DEPTH) -> Column:
     """Names of attributes of an item text that hold a set inside a map or list."""
+    documents.room_for(depth)
     entries = F.map_entries(F.from_json(col, "map<string,variant>"))
     bad = F.filter(entries, lambda e: documents.has_nested_set(e["value"], depth))
     return F.transform(bad, lambda e: e["key"])

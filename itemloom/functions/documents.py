@@ -2,14 +2,15 @@
 
 A document is walked by nested higher-order functions to a stated depth. Each level
 handles objects and lists in one step, so the expression grows linearly with the depth.
-A document nested deeper than that fails the query rather than losing its tail.
+A document nested deeper than that fails the query rather than losing its tail; the depth is a parameter
+and may be raised (deeper walks take longer to plan, not to run).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from .types import SET_DESCRIPTORS
@@ -37,6 +38,16 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def room_for(depth: int) -> None:
+    """Lets Catalyst resolve nested functions of this depth: each level takes it a few rounds."""
+    session = SparkSession.getActiveSession()
+    if session is None or depth <= DEFAULT_DEPTH:
+        return
+    for setting in ("spark.sql.analyzer.maxIterations", "spark.sql.optimizer.maxIterations"):
+        if int(session.conf.get(setting)) < 60 * depth:
+            session.conf.set(setting, str(60 * depth))
+
+
 def _at(node: Column, path: str, kind: str) -> Column:
     return F.try_variant_get(node, path, kind)
 
@@ -127,12 +138,15 @@ def base64_text(node: Column, depth: int = DEFAULT_DEPTH) -> Column:
 
 def decode_list(col: Column, depth: int = DEFAULT_DEPTH) -> Column:
     """Elements of list JSON text, plain or tagged, as ``array<variant>``."""
+    room_for(depth)
     plain = bound(F.try_parse_json(col), lambda node: untag_text(node, depth))
     return F.parse_json(plain).try_cast(_ITEMS)
 
 
 def decode_map(col: Column, base64: bool = False, depth: int = DEFAULT_DEPTH) -> Column:
     """Map JSON text as a variant; with ``base64``, padded base64 texts inside are decoded."""
+    room_for(depth)
+
     def decoded(node: Column) -> Column:
         parsed = F.parse_json(base64_text(node, depth)) if base64 else node
         return F.when(F.schema_of_variant(node).startswith("OBJECT"), parsed)

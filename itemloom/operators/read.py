@@ -21,9 +21,14 @@ from .sizes import fits_broadcast
 #: rows of a page when the request states no limit
 DEFAULT_LIMIT = 5000
 
-#: parts that the rows of one partition key are spread over when they meet many asked keys
+#: least number of parts that the rows of one partition key are spread over when they meet many asked keys
 KEY_SLICES = 16
 
+
+def key_slices(df: DataFrame) -> int:
+    """A part for each shuffle partition, so a hot key uses the cluster it runs on."""
+    return max(KEY_SLICES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
 _UNHASHED = (T.MapType, T.VariantType, T.StructType, T.ArrayType)
 
 Names = Mapping[str, str] | None
@@ -279,8 +284,9 @@ def _rows_of_keys(rows: DataFrame, view: ItemTable, keys: DataFrame, ascending:
         asked = keys.select(partition.alias("__pk")).distinct()
     on = partition == F.col("__pk")
     if not fits_broadcast(asked):
-        asked = asked.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(KEY_SLICES - 1))))
-        rows = rows.withColumn("__slice", _content_slice(rows, KEY_SLICES))
+        slices = key_slices(rows)
+        asked = asked.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+        rows = rows.withColumn("__slice", _content_slice(rows, slices))
         on = on & (F.col("__slice") == F.col("__part"))
     if "after" in keys.columns:
         sort = quoted(view.sort_key)

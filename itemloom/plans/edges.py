@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions import codec
 from ..operators import statements as S
 from ..operators import transact as X
 from ..operators import write as W
@@ -24,6 +26,17 @@ def src4_texts(spark, sf):
     return files.read_items_tsv(spark, path)
 
 
+@registered("cod2_deep_round_trip", "SELECT event_id, repeat('[{\"k\":', 16) || event_id || repeat('}]', 16) AS doc FROM events")
+def cod2_deep(spark, sf):
+    """Documents nested 32 levels deep, tagged and back."""
+    text = F.concat(F.repeat(F.lit('[{"k":'), F.lit(16)), F.col("event_id").cast("string"), F.repeat(F.lit("}]"), F.lit(16)))
+    df = read(spark, sf, "events").select("event_id", F.parse_json(text).alias("doc"))
+    path = scratch_dir(spark, "deep-items")
+    files.write_items_json(df, path, depth=32)
+    back = codec.decode_items(spark.read.text(path), "value", {"event_id": T.LongType(), "doc": "L"}, depth=32)
+    return back.select("event_id", F.to_json("doc").alias("doc"))
+
+
 # -- targets inside documents -----------------------------------------------------------------
 
 

@@ -55,7 +55,8 @@ def src2(spark, sf):
               '' AS "sortKey", '' AS "indexName", 'customer' AS "actualTable", t AS "storedType"
        FROM (VALUES ('c_custkey', 'c_custkey', 'N', 'FLOAT64'), ('c_name', 'c_name', 'S', 'STRING(MAX)'),
              ('c_nationkey', 'c_nationkey', 'N', 'FLOAT64'), ('c_acct_bal', 'c_acct.bal', 'N', 'FLOAT64'),
-             ('c_mktsegment', 'c_mktsegment', 'S', 'STRING(MAX)')) AS v(c, o, d, t)""",
+             ('c_mktsegment', 'c_mktsegment', 'S', 'STRING(MAX)')) AS v(c, o, d, t)
+       WHERE o IN (SELECT unnest(json_keys(to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_nationkey': c_nationkey, 'c_acct.bal': c_acctbal, 'c_mktsegment': c_mktsegment}))) FROM customer)""",
 )
 def src6(spark, sf):
     """Metadata rows of the schema found in the customer items."""
@@ -71,7 +72,8 @@ def _newer_customers(spark, sf) -> DataFrame:
 
 @registered(
     "src7_schema_diff",
-    """SELECT 'c_tier' AS attribute, 'S' AS descriptor, 'add' AS change UNION ALL SELECT 'c_acctbal', 'N', 'drop'""",
+    """SELECT 'c_tier' AS attribute, 'S' AS descriptor, 'add' AS change WHERE (SELECT count(c_nationkey) FROM customer) > 0
+       UNION ALL SELECT 'c_acctbal', 'N', 'drop' WHERE (SELECT count(*) FROM customer) > 0""",
 )
 def src7(spark, sf):
     declared = schema.declared_schema(read(spark, sf, "customer"))
