@@ -61,8 +61,8 @@ def _entries(fields: Column, items: Column) -> Column:
     return F.coalesce(named, plain)
 
 
-def _rebuild(fields: Column, items: Column, visit: Callable[[Column], Column]) -> Column:
-    """JSON text of an object or list with every member rewritten."""
+def _rebuild(named: Column, fields: Column, items: Column, visit: Callable[[Column], Column]) -> Column:
+    """JSON text of an object (where ``named``) or list with every member rewritten."""
     body = F.array_join(
         F.transform(
             _entries(fields, items),
@@ -74,11 +74,12 @@ def _rebuild(fields: Column, items: Column, visit: Callable[[Column], Column]) -
         ",",
     )
     # the body stands in the expression once: a second mention would double it at every level
-    return F.concat(
-        F.when(fields.isNotNull(), F.lit("{")).otherwise(F.lit("[")),
-        body,
-        F.when(fields.isNotNull(), F.lit("}")).otherwise(F.lit("]")),
-    )
+    return F.concat(F.when(named, F.lit("{")).otherwise(F.lit("[")), body, F.when(named, F.lit("}")).otherwise(F.lit("]")))
+
+
+def _members(node: Column) -> Column:
+    """Fields and items of a node, for a walk to bind once."""
+    return F.struct(_at(node, "$", _FIELDS).alias("fields"), _at(node, "$", _ITEMS).alias("items"))
 
 
 def _too_deep() -> Column:
@@ -87,53 +88,66 @@ def _too_deep() -> Column:
 
 def tag_text(node: Column, depth: int = DEFAULT_DEPTH) -> Column:
     """Tagged JSON text of a plain document."""
-    kind = F.schema_of_variant(node)
-    fields, items = _at(node, "$", _FIELDS), _at(node, "$", _ITEMS)
-    nested = _too_deep() if depth == 0 else _rebuild(fields, items, lambda v: tag_text(v, depth - 1))
-    return (
-        F.when(
-            kind.startswith("OBJECT") | kind.startswith("ARRAY"),
-            F.concat(F.when(kind.startswith("OBJECT"), F.lit('{"M":')).otherwise(F.lit('{"L":')), nested, F.lit("}")),
-        )
-        .when(kind == "STRING", F.concat(F.lit('{"S":'), F.to_json(node), F.lit("}")))
-        .when(kind == "BOOLEAN", F.concat(F.lit('{"BOOL":'), F.to_json(node), F.lit("}")))
-        .when((kind == "VOID") | node.isNull(), F.lit('{"NULL":true}'))
-        .when(
-            kind.startswith("DECIMAL") | (kind == "BIGINT"),
-            F.concat(F.lit('{"N":"'), F.to_json(node), F.lit('"}')),
+
+    def scalar(kind: Column) -> Column:
+        return (
+            F.when(kind == "STRING", F.concat(F.lit('{"S":'), F.to_json(node), F.lit("}")))
+            .when(kind == "BOOLEAN", F.concat(F.lit('{"BOOL":'), F.to_json(node), F.lit("}")))
+            .when((kind == "VOID") | node.isNull(), F.lit('{"NULL":true}'))
+            .when(
+                kind.startswith("DECIMAL") | (kind == "BIGINT"),
+                F.concat(F.lit('{"N":"'), F.to_json(node), F.lit('"}')),
+            )
+            .otherwise(F.concat(F.lit('{"N":"'), format_number(_at(node, "$", "double")), F.lit('"}')))
         )
-        .otherwise(F.concat(F.lit('{"N":"'), format_number(_at(node, "$", "double")), F.lit('"}')))
-    )
+
+    def tagged(m: Column) -> Column:
+        named = m["fields"].isNotNull()
+        nested = _too_deep() if depth == 0 else _rebuild(named, m["fields"], m["items"], lambda v: tag_text(v, depth - 1))
+        opener = F.when(named, F.lit('{"M":')).otherwise(F.lit('{"L":'))
+        whole = F.concat(opener, nested, F.lit("}"))
+        # the kind of a value is asked for scalars only: of anything else it would take a look at all that is inside
+        return F.when(named | m["items"].isNotNull(), whole).otherwise(bound(F.schema_of_variant(node), scalar))
+
+    return bound(_members(node), tagged)
 
 
 def untag_text(node: Column, depth: int = DEFAULT_DEPTH) -> Column:
     """Plain JSON text of a tagged document; parts without a tag stay as they are."""
-    text, num = _at(node, "$.S", "string"), _at(node, "$.N", "string")
-    fields = _at(node, "$.M", _FIELDS)
-    items = F.coalesce(_at(node, "$.L", _ITEMS), _at(node, "$", _ITEMS))
-    nested = _too_deep() if depth == 0 else _rebuild(fields, items, lambda v: untag_text(v, depth - 1))
-    return (
-        F.when(text.isNotNull(), json_text(text))
-        .when(num.rlike(JSON_NUMBER), num)
-        .when(num.isNotNull(), F.coalesce(F.to_json(parse_number(num).cast("variant")), F.lit("null")))
-        .when(_at(node, "$.BOOL", "boolean").isNotNull(), _at(node, "$.BOOL", "string"))
-        .when(_at(node, "$.NULL", "boolean"), F.lit("null"))
-        .when(_at(node, "$.B", "string").isNotNull(), json_text(_at(node, "$.B", "string")))
-        .when(fields.isNotNull() | items.isNotNull(), nested)
-        .otherwise(F.coalesce(F.to_json(node), F.lit("null")))
-    )
+
+    def plain(m: Column) -> Column:
+        def member(tag: str, kind: str) -> Column:
+            return F.try_element_at(m["fields"], F.lit(tag)).try_cast(kind)
+
+        text, num, named = member("S", "string"), member("N", "string"), member("M", _FIELDS)
+        items = F.coalesce(member("L", _ITEMS), m["items"])
+        is_map = F.coalesce(F.map_contains_key(m["fields"], F.lit("M")), F.lit(False))
+        nested = _too_deep() if depth == 0 else _rebuild(is_map, named, items, lambda v: untag_text(v, depth - 1))
+        return (
+            F.when(text.isNotNull(), json_text(text))
+            .when(num.rlike(JSON_NUMBER), num)
+            .when(num.isNotNull(), F.coalesce(F.to_json(parse_number(num).cast("variant")), F.lit("null")))
+            .when(member("BOOL", "boolean").isNotNull(), member("BOOL", "string"))
+            .when(member("NULL", "boolean"), F.lit("null"))
+            .when(member("B", "string").isNotNull(), json_text(member("B", "string")))
+            .when((is_map & named.isNotNull()) | (~is_map & items.isNotNull()), nested)
+            .otherwise(F.coalesce(F.to_json(node), F.lit("null")))
+        )
+
+    return bound(_members(node), plain)
 
 
 def base64_text(node: Column, depth: int = DEFAULT_DEPTH) -> Column:
     """JSON text of a plain document with padded base64 texts inside decoded."""
-    kind = F.schema_of_variant(node)
-    fields, items = _at(node, "$", _FIELDS), _at(node, "$", _ITEMS)
-    nested = _too_deep() if depth == 0 else _rebuild(fields, items, lambda v: base64_text(v, depth - 1))
-    return (
-        F.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), nested)
-        .when(kind == "STRING", json_text(decode_string(_at(node, "$", "string"), base64=True)))
-        .otherwise(F.coalesce(F.to_json(node), F.lit("null")))
-    )
+
+    def decoded(m: Column) -> Column:
+        named = m["fields"].isNotNull()
+        nested = _too_deep() if depth == 0 else _rebuild(named, m["fields"], m["items"], lambda v: base64_text(v, depth - 1))
+        is_text = F.schema_of_variant(node) == "STRING"
+        scalar = F.when(is_text, json_text(decode_string(_at(node, "$", "string"), base64=True)))
+        return F.when(named | m["items"].isNotNull(), nested).otherwise(F.coalesce(scalar, F.to_json(node), F.lit("null")))
+
+    return bound(_members(node), decoded)
 
 
 def decode_list(col: Column, depth: int = DEFAULT_DEPTH) -> Column:
@@ -167,7 +181,7 @@ def decode_binary(col: Column) -> Column:
 
     def decoded(node: Column) -> Column:
         kind = F.schema_of_variant(node)
-        rebuilt = _rebuild(_at(node, "$", _FIELDS), F.lit(None).cast(_ITEMS), member)
+        rebuilt = _rebuild(F.lit(True), _at(node, "$", _FIELDS), F.lit(None).cast(_ITEMS), member)
         return (
             F.when(node.isNull(), col.cast("string").cast("variant"))
             .when(kind == "STRING", F.coalesce(F.parse_json(inner(_at(node, "$", "string"))), node))

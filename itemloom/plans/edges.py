@@ -26,14 +26,14 @@ def src4_texts(spark, sf):
     return files.read_items_tsv(spark, path)
 
 
-@registered("cod2_deep_round_trip", "SELECT event_id, repeat('[{\"k\":', 16) || event_id || repeat('}]', 16) AS doc FROM events")
+@registered("cod2_deep_round_trip", "SELECT event_id, repeat('[{\"k\":', 8) || event_id || repeat('}]', 8) AS doc FROM events")
 def cod2_deep(spark, sf):
-    """Documents nested 32 levels deep, tagged and back."""
-    text = F.concat(F.repeat(F.lit('[{"k":'), F.lit(16)), F.col("event_id").cast("string"), F.repeat(F.lit("}]"), F.lit(16)))
+    """Documents nested 16 levels deep, tagged and back."""
+    text = F.concat(F.repeat(F.lit('[{"k":'), F.lit(8)), F.col("event_id").cast("string"), F.repeat(F.lit("}]"), F.lit(8)))
     df = read(spark, sf, "events").select("event_id", F.parse_json(text).alias("doc"))
     path = scratch_dir(spark, "deep-items")
-    files.write_items_json(df, path, depth=32)
-    back = codec.decode_items(spark.read.text(path), "value", {"event_id": T.LongType(), "doc": "L"}, depth=32)
+    files.write_items_json(df, path, depth=16)
+    back = codec.decode_items(spark.read.text(path), "value", {"event_id": T.LongType(), "doc": "L"}, depth=16)
     return back.select("event_id", F.to_json("doc").alias("doc"))
 
 
