@@ -385,6 +385,15 @@ def test_notices_word_by_word():
     assert found("İ" * 3 + "\nReleased under the MIT License.\nLicensed under CC BY-SA 4.0.") == ["MIT", "CC-BY-SA-4.0"]
 
 
+@pytest.mark.parametrize("license,line", [(name, t) for name, texts in licenses.TEMPLATES.items() for t in texts])
+def test_notices_inside_long_texts(license, line):
+    scanner = licenses.Scanner()
+    for before, after in (("", "\nimport os\n" + "foo bar " * 60), ("some prose goes before it. ", " And more words follow. " * 20), ("a b. " * 90, "")):
+        n_blocks, found = scanner.scan(before + line + after)
+        assert [(n["license"], n["start"]) for n in found] == [(license, len(before))] and n_blocks
+        assert found[0]["reduction"] >= 0.5 and not found[0]["missing"] and not found[0]["extra"]
+
+
 # -- pipeline ---------------------------------------------------------------------------------
 
 
