@@ -394,6 +394,19 @@ def test_notices_inside_long_texts(license, line):
         assert found[0]["reduction"] >= 0.5 and not found[0]["missing"] and not found[0]["extra"]
 
 
+SCANNER = licenses.Scanner()
+
+
+@pytest.mark.parametrize("license,line", [(name, t) for name, texts in licenses.TEMPLATES.items() for t in texts])
+def test_notices_wrapped_anywhere(license, line):
+    words = line.split(" ")
+    for gap in ("\n", "\n * ", "\n" + " " * 90 + "// "):
+        for at in range(1, len(words)):
+            text = f"int x;\n/* {' '.join(words[:at])}{gap}{' '.join(words[at:])}\n */ more words"
+            found = SCANNER.scan(text)[1]
+            assert [(n["license"], n["start"]) for n in found] == [(license, 10)]
+
+
 # -- pipeline ---------------------------------------------------------------------------------
 
 
