@@ -1,9 +1,9 @@
 """Personal data in DataFrame functions only: fixed patterns, and terms that reveal what the patterns found.
 
-Patterns give the protected entities of a document. How strongly a term near an entity reveals it is estimated from the corpus: with
-``I(e) = -log2(n(e) / N)``, what an entity tells, and ``PMI(e; t)``, how much of that a term tells, a term discloses an entity when no
-more than ``residual`` bits stay hidden and at least half of the information is out. Such terms are spans of their own next to the
-entity they reveal; ``sanitised`` generalises or removes them together with the entities.
+Patterns give the protected entities of a document. How strongly a term in a document of an entity reveals it is estimated from the
+corpus: with ``I(e) = -log2(n(e) / N)``, what an entity tells, and ``PMI(e; t)``, how much of that a term tells, a term discloses an
+entity when no more than ``residual`` bits stay hidden and at least half of the information is out. All places of such terms in a
+document of the entity are spans of their own; ``sanitised`` generalises or removes them together with the entities.
 """
 
 from __future__ import annotations
@@ -71,8 +71,6 @@ KINDS = (
         lambda m: F.length(_digits(m)).between(10, 15),
     ),
 )
-#: what stands around an entity: so many characters on either side
-CONTEXT = 60
 TERM = r"[\p{L}\p{M}]{3,}"
 TERM_KIND = "term"
 NAMES = [*(k.name for k in KINDS), TERM_KIND]
@@ -85,32 +83,21 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def located(text: Column, pattern: str, context: int = CONTEXT) -> Column:
-    """All matches of a pattern, left to right: start and end (code points, end exclusive), value, and what stands before and after.
+def located(text: Column, pattern: str) -> Column:
+    """All matches of a pattern, left to right: start and end (code points, end exclusive), and value.
 
     The places follow from the lengths of the matches and of the pieces between them.
     """
     pieces, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
-    def joined(m: Column, s: Column) -> Column:
-        size = (F.length(s["before"]) + F.length(m)).cast("bigint")
-        return F.struct(m.alias("value"), s["before"].alias("before"), s["after"].alias("after"), size.alias("size"))
+    def joined(m: Column, p: Column) -> Column:
+        return F.struct(m.alias("value"), (F.length(p) + F.length(m)).cast("bigint").alias("size"))
 
     def zipped(p: Column) -> Column:
-        sides = F.zip_with(p, F.slice(p, 2, F.size(p)), lambda a, b: F.struct(a.alias("before"), b.alias("after")))
-        each = F.zip_with(matches, sides, joined)
-        return F.filter(each, lambda x: x["value"].isNotNull())
+        return F.filter(F.zip_with(matches, p, joined), lambda x: x["value"].isNotNull())
 
     def shaped(x: Column, end: Column) -> Column:
-        size = F.length(x["before"])
-        head = F.when(size > context, F.right(x["before"], F.lit(context))).otherwise(x["before"])
-        return F.struct(
-            (end - F.length(x["value"])).alias("start"),
-            end.alias("end"),
-            x["value"].alias("value"),
-            head.alias("head"),
-            F.left(x["after"], F.lit(context)).alias("tail"),
-        )
+        return F.struct((end - F.length(x["value"])).alias("start"), end.alias("end"), x["value"].alias("value"))
 
     def chunk_ends(before: Column, chunk: Column) -> Column:
         upto = lambda i: F.aggregate(F.slice(chunk, 1, i + 1), before, lambda a, x: a + x["size"])
@@ -133,54 +120,44 @@ def located(text: Column, pattern: str, context: int = CONTEXT) -> Column:
     return _let(_let(_let(pieces, zipped), chunked), placed)
 
 
-def base_spans(text: Column, context: int = CONTEXT) -> Column:
-    """The spans of all kinds, sorted by start and then by kind: ``start, kind`` (its place in ``NAMES``), ``end, value, head, tail``."""
+def base_spans(text: Column) -> Column:
+    """The spans of all kinds, sorted by start and then by kind: ``start, kind`` (its place in ``NAMES``), ``end, value``."""
 
     def of(number: int, kind: Kind) -> Column:
-        kept = F.filter(located(text, kind.pattern, context), lambda x: kind.valid(x["value"]))
+        kept = F.filter(located(text, kind.pattern), lambda x: kind.valid(x["value"]))
         shaped = F.transform(
-            kept,
-            lambda x: F.struct(
-                x["start"].alias("start"),
-                F.lit(number).alias("kind"),
-                x["end"].alias("end"),
-                x["value"].alias("value"),
-                x["head"].alias("head"),
-                x["tail"].alias("tail"),
-            ),
+            kept, lambda x: F.struct(x["start"].alias("start"), F.lit(number).alias("kind"), x["end"].alias("end"), x["value"].alias("value"))
         )
         return F.when(kind.guard(text), shaped).otherwise(F.array().cast(SPANS))
 
     return F.array_sort(F.concat(*(of(i, k) for i, k in enumerate(KINDS))))
 
 
-SPANS = "array<struct<start:bigint,kind:int,end:bigint,value:string,head:string,tail:string>>"
+SPANS = "array<struct<start:bigint,kind:int,end:bigint,value:string>>"
 
 
-def _terms(spans: Column, context: int) -> Column:
-    """The whole words next to each span: ``entity, term, start, end, cap, about`` (a digest of the surroundings)."""
+def blanked(text: Column, spans: Column) -> Column:
+    """The text with blanks in place of its spans, so that all other places stay."""
 
-    def words(side: Column, offset: Column, cut_left: Column, cut_right: Column, span: Column) -> Column:
-        whole = lambda x: ~(cut_left & (x["start"] == 0)) & ~(cut_right & (x["end"] == F.length(side)))
-        return F.transform(
-            F.filter(located(side, TERM, 0), whole),
-            lambda x: F.struct(
-                F.concat_ws(":", span["kind"].cast("string"), F.lower(span["value"])).alias("entity"),
-                F.lower(x["value"]).alias("term"),
-                (x["start"] + offset).alias("start"),
-                (x["end"] + offset).alias("end"),
-                F.xxhash64(span["head"], span["tail"]).alias("about"),
-            ),
-        )
+    def step(acc: Column, s: Column) -> Column:
+        between = F.substr(text, (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
+        blanks = F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(s["start"], acc["at"]), F.lit(0)).cast("int"))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], between, blanks).alias("out"))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+    return F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int"))))
+
+
+def _terms(text: Column, spans: Column) -> Column:
+    """All words outside of the spans of a text that has some: ``term, start, end``."""
+    words = F.transform(
+        located(blanked(text, spans), TERM), lambda x: F.struct(F.lower(x["value"]).alias("term"), x["start"].alias("start"), x["end"].alias("end"))
+    )
+    return F.when(F.size(spans) > 0, words)
 
-    def around(s: Column) -> Column:
-        no, full = F.lit(False), lambda c: F.length(c) >= context
-        left = words(s["head"], s["start"] - F.length(s["head"]), full(s["head"]), no, s)
-        return F.concat(left, words(s["tail"], s["end"], no, full(s["tail"]), s))
 
-    near = F.flatten(F.transform(spans, around))
-    clear = lambda t: ~F.exists(spans, lambda s: (t["start"] < s["end"]) & (s["start"] < t["end"]))
-    return F.when(F.size(spans) > 0, F.filter(near, clear))
+def _entities(spans: Column) -> Column:
+    return F.array_distinct(F.transform(spans, lambda s: F.concat_ws(":", s["kind"].cast("string"), F.lower(s["value"]))))
 
 
 def text_key(id_: Column, text: Column) -> list[Column]:
@@ -188,26 +165,37 @@ def text_key(id_: Column, text: Column) -> list[Column]:
     return [F.xxhash64(F.lit(1), id_, text).alias("_k1"), F.xxhash64(F.lit(2), text, id_).alias("_k2")]
 
 
-def disclosing(near: DataFrame, texts: DataFrame, residual: float, support: int) -> DataFrame:
-    """Pairs of ``entity`` and ``term`` whose term reveals the entity, by counts over the whole corpus.
+def disclosing(seen: DataFrame, texts: DataFrame, residual: float, support: int) -> DataFrame:
+    """``_k1, _k2, terms``: the sorted places of all terms that reveal an entity of their document, by counts over the whole corpus.
 
-    ``near`` has a row per document, entity and term next to it; ``texts`` has ``_text`` of every document. Documents of the same
-    surroundings are copies: at least ``support`` different surroundings must show the pair.
+    ``seen`` has ``entities`` and ``words`` of every document, ``texts`` its ``_text``. Copies of a text count as documents, but as
+    evidence they are one: at least ``support`` different texts must show the pair.
     """
-    documents = texts.count()
+    documents, each = texts.count(), ["_k1", "_k2"]
+    held = seen.select(*each, "_text_key", F.explode("entities").alias("entity")).groupBy(*each, "_text_key", "entity").agg(F.count(F.lit(1)).alias("n"))
+    known = held.groupBy("entity", "_text_key").agg(F.sum("n").alias("n")).groupBy("entity")
+    known = known.agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") >= support)
+    known = written(known.where(F.col("n_entity") < documents).select("entity", "n_entity"), "pii")
+    most = known.agg(F.max("n_entity")).first()[0] or 0
     words = F.array_distinct(F.split(F.lower("_text"), r"[^\p{L}\p{M}]+"))
     spread = texts.select(F.explode(words).alias("term")).where(F.length("term") >= 3)
-    each = ["_k1", "_k2"]
-    pairs = near.groupBy("entity", "term", "about", *each).agg(F.lit(1).alias("_one"))
-    joint = pairs.groupBy("entity", "term", "about").agg(F.count(F.lit(1)).alias("n"))
-    joint = joint.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_about"))
-    joint = joint.where(F.col("n_about") >= support)
-    entities = near.groupBy("entity", *each).agg(F.lit(1).alias("_one")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    counts = spread.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    known = joint.join(entities, "entity").join(counts, "term")
+    # n_both is at most n_entity, so a term of more than 2 ** residual times as many documents leaves too much hidden: exact, not a cut
+    times = 2.0**residual
+    counts = spread.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).where((F.col("n_term") >= support) & (F.col("n_term") <= most * times))
+    places = seen.select(*each, F.explode("words").alias("w")).select(*each, "w.*").join(counts, "term")
+    places = written(places.groupBy(*each, "term", "n_term").agg(F.collect_set(F.struct("start", "end")).alias("places")), "pii")
+    pairs = places.drop("places").join(held.join(known, "entity"), each).where(F.col("n_term") <= F.col("n_entity") * times)
+    pairs = written(pairs.select(*each, "_text_key", "entity", "term", "n", "n_entity", "n_term"), "pii")
+    joint = pairs.groupBy("entity", "term", "n_entity", "n_term", "_text_key").agg(F.sum("n").alias("n"))
+    joint = joint.groupBy("entity", "term", "n_entity", "n_term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_texts"))
     told = F.log2(F.lit(float(documents)) / F.col("n_entity"))
     shared = F.log2(F.col("n_both") * float(documents) / (F.col("n_entity") * F.col("n_term")))
-    return known.where((shared >= told - residual) & (shared >= told / 2) & (told > 0)).select("entity", "term")
+    enough = (F.col("n_texts") >= support) & (shared >= told - residual) & (shared >= told / 2)
+    reveal = joint.where(enough).select("entity", "term")
+    hidden = pairs.join(reveal, ["entity", "term"], "left_semi").select(*each, "term").distinct()
+    spans = places.join(hidden, [*each, "term"], "left_semi").select(*each, F.explode("places").alias("p"))
+    span = F.struct(F.col("p.start").alias("start"), F.lit(len(KINDS)).alias("kind"), F.col("p.end").alias("end"))
+    return spans.groupBy(*each).agg(F.array_sort(F.collect_set(span)).alias("terms"))
 
 
 def _joined(spans: Column) -> Column:
@@ -215,19 +203,15 @@ def _joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, named))
 
 
-def spans_found(
-    docs: DataFrame, id_: str = "doc_id", text: str = "text", context: int = CONTEXT, residual: float = 1.0, support: int = 2
-) -> DataFrame:
+def spans_found(docs: DataFrame, id_: str = "doc_id", text: str = "text", residual: float = 1.0, support: int = 2) -> DataFrame:
     """Narrow and written: ``_k1, _k2`` of id and text, ``id_``, and ``base`` and ``terms``, sorted arrays of spans."""
     own = docs.select(F.col(f"`{id_}`"), text_of(F.col(f"`{text}`")).alias("_text"))
-    keyed = own.select(f"`{id_}`", *text_key(F.col(f"`{id_}`"), F.col("_text")), base_spans(F.col("_text"), context).alias("_spans"))
+    keyed = own.select(f"`{id_}`", *text_key(F.col(f"`{id_}`"), F.col("_text")), "_text", base_spans(F.col("_text")).alias("_spans"))
     base = F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-    seen = written(keyed.select(f"`{id_}`", "_k1", "_k2", base.alias("base"), _terms(F.col("_spans"), context).alias("near")), "pii")
-    near = seen.where(F.size("near") > 0).select("_k1", "_k2", F.explode("near").alias("x")).select("_k1", "_k2", "x.*")
-    reveal = disclosing(near, own, residual, support)
-    span = F.struct(F.col("start"), F.lit(len(KINDS)).alias("kind"), F.col("end"))
-    marked = near.join(reveal, ["entity", "term"]).groupBy("_k1", "_k2").agg(F.array_sort(F.collect_set(span)).alias("terms"))
-    return seen.drop("near").join(marked, ["_k1", "_k2"], "left")
+    found = [base.alias("base"), _entities(F.col("_spans")).alias("entities"), _terms(F.col("_text"), F.col("_spans")).alias("words")]
+    seen = written(keyed.select(f"`{id_}`", "_k1", "_k2", F.xxhash64("_text").alias("_text_key"), *found), "pii")
+    marked = disclosing(seen.where(F.size("entities") > 0), own, residual, support)
+    return seen.select(f"`{id_}`", "_k1", "_k2", "base").join(marked, ["_k1", "_k2"], "left")
 
 
 def found(docs: DataFrame, id_: str = "doc_id", text: str = "text", **how) -> DataFrame:

@@ -175,6 +175,20 @@ def test_terms_that_reveal(spark):
     assert {r["n_term"] for r in privacy.found(copies).collect()} == {0}
 
 
+def test_terms_anywhere_in_the_document(spark):
+    filler = "call please now there later other words " * 10
+    texts = ["Smithers writes. " + filler + "Ask smithers or john@x.com", filler + "john@x.com " + filler + " Yours, Smithers", filler + "Smithers"]
+    texts += [filler] * 50
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"].split(",") for r in privacy.found(docs).collect()}
+    for i in (0, 1):
+        at = [m.span() for m in re.finditer("smithers", texts[i].lower())]
+        assert [s for s in got[i] if s.startswith("term")] == [f"term:{a}:{b}" for a, b in at]
+    assert got[2] == got[3] == [""]
+    clean = [r["text"] for r in privacy.sanitised(docs).where("doc_id < 2").collect()]
+    assert len(clean) == 2 and not any("smithers" in t.lower() or "@" in t for t in clean)
+
+
 # -- quality ----------------------------------------------------------------------------------
 
 
