@@ -189,6 +189,17 @@ def test_terms_anywhere_in_the_document(spark):
     assert len(clean) == 2 and not any("smithers" in t.lower() or "@" in t for t in clean)
 
 
+def test_terms_of_a_repeated_footer(spark):
+    footer = " With kind regards from all of us who are in the office today, Jane Smithers, jane@x.com, our office by the river in the old town, first floor, second door"
+    rows = [(i, f"text {'abcdefgh'[i]}{'xyz'[i % 3]}" * 3 + footer) for i in range(8)] + [(i, "other words in the text") for i in range(8, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in privacy.found(docs).collect()}
+    for i, text in rows[:8]:
+        at = text.index("Smithers")
+        assert f"term:{at}:{at + 8}" in got[i]
+    assert not any(got[i] for i in range(8, 60))
+
+
 # -- quality ----------------------------------------------------------------------------------
 
 
