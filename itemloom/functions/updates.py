@@ -355,7 +355,7 @@ def _changed_at(old: Column, kind: T.DataType, path: Sequence[str], change, drop
     return F.when(there, _back(F.map_concat(others, F.create_map(F.lit(head), new)), kind)).otherwise(old)
 
 
-#: whole numbers and fractions are added up in this type: 28 digits before the point
+#: sums on whole numbers are added up in this type: 28 digits before the point
 EXACT = "decimal(38,10)"
 
 
@@ -364,6 +364,56 @@ def exact_number(value: Column, kind: T.DataType) -> Column:
     return parse_number(value, EXACT) if isinstance(kind, T.StringType) else value.try_cast(EXACT)
 
 
+def _places(text: Column) -> Column:
+    """Digits after the point that the number of a text needs."""
+    mantissa = F.regexp_replace(text, "[eE].*|[^0-9.eE]", "")
+    digits = F.translate(mantissa, ".", "")
+    needed = F.length(F.regexp_extract(mantissa, r"\.([0-9]*)", 1)) - F.length(digits) + F.length(F.rtrim(digits, F.lit("0")))
+    exponent = F.coalesce(F.regexp_extract(text, "[eE]([+-]?[0-9]+)", 1).try_cast("int"), F.lit(0))
+    return F.when(F.rtrim(digits, F.lit("0")) == "", F.lit(0)).otherwise(needed - exponent)
+
+
+def kept_decimal(value: Column, kind: T.DataType, to: T.DecimalType) -> Column:
+    """The number, a text's too, in a decimal type; null if it is none or would change there."""
+    if isinstance(kind, T.StringType):
+        return F.when(_places(value) <= to.scale, parse_number(value, to.simpleString()))
+    new = value.try_cast(to)
+    if isinstance(kind, T.DecimalType) and kind.scale > to.scale:
+        part = value % F.lit(1).cast("decimal(1,0)")
+        return F.when(part.cast(f"decimal({min(to.scale + 1, 38)},{to.scale})") == part, new)
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.when(new.cast(kind) == value, new)
+    return new
+
+
+def summand(kind: T.DecimalType) -> T.DecimalType:
+    """The type in which numbers are added to a decimal attribute: its own scale, room for sums of many."""
+    return T.DecimalType(min(kind.precision + 10, 38), kind.scale)
+
+
+def decimal_sum(a: Column, b: Column, kind: T.DecimalType, minus: bool = False) -> Column:
+    """The exact sum (or difference) of two numbers of one decimal type, in a type of its scale; null beyond 38 digits.
+
+    Spark rounds the sum of two decimals of 38 digits, so there whole parts and fractions are added by themselves. It also rounds a
+    negated decimal to 34 digits, so nothing is negated.
+    """
+    add = F.try_subtract if minus else F.try_add
+    if kind.precision < 38 or kind.scale == 0:
+        return add(a, b)
+    if kind.scale > 36:
+        raise ValidationError(f"sums on {kind.simpleString()} are not supported")
+    one, whole = F.lit(1).cast("decimal(1,0)"), f"decimal({39 - kind.scale},0)"
+    cut = lambda x: F.when(x < 0, F.ceil(x)).otherwise(F.floor(x)).cast(whole)
+    fraction = add(a % one, b % one)
+    high, low = F.try_add(add(cut(a), cut(b)), cut(fraction)), fraction % one
+    # both parts with one sign
+    step = F.when((high > 0) & (low < 0), F.lit(1)).when((high < 0) & (low > 0), F.lit(-1)).otherwise(F.lit(0)).cast("decimal(1,0)")
+    high, low = high - step, low + step
+    sign = F.when((high < 0) | (low < 0), F.lit("-")).otherwise(F.lit(""))
+    digits = F.substring_index(F.format_number(low, kind.scale), ".", -1)
+    return F.concat(sign, F.translate(high.cast("string"), "-", ""), F.lit("."), digits).try_cast(kind)
+
+
 def fitted(value: Column, kind: T.DataType, to: T.DataType) -> tuple[Column, Column | None]:
     """The value as type ``to``, and where a value there is does not keep itself in it (None: it always does).
 
@@ -375,7 +425,10 @@ def fitted(value: Column, kind: T.DataType, to: T.DataType) -> tuple[Column, Col
         return (value if kind == to else value.cast(to)), None
     if isinstance(to, T.StringType):
         return value.cast(to), None
-    if isinstance(to, (T.IntegralType, T.DecimalType)):
+    if isinstance(to, T.DecimalType):
+        new = kept_decimal(value, kind, to)
+        return new, value.isNotNull() & new.isNull()
+    if isinstance(to, T.IntegralType):
         exact = exact_number(value, kind)
         new = exact.try_cast(to)
         return new, value.isNotNull() & ~F.coalesce(new.cast(EXACT) == exact, F.lit(False))
@@ -388,7 +441,12 @@ def fitted(value: Column, kind: T.DataType, to: T.DataType) -> tuple[Column, Col
 
 def _total(action: Action, old: Column, kind: T.DataType, given: Column, given_kind: T.DataType) -> tuple[Column, Column]:
     """Sum (or difference) in the attribute's type, and where it is refused: no number, infinite, or not in the type."""
-    if isinstance(kind, (T.IntegralType, T.DecimalType)):
+    if isinstance(kind, T.DecimalType):
+        wide = summand(kind)
+        addend = kept_decimal(given, given_kind, wide)
+        new = decimal_sum(F.coalesce(old.cast(wide), F.lit(0).cast(wide)), addend, wide, action.kind == "minus").try_cast(kind)
+        return new, new.isNull()
+    if isinstance(kind, T.IntegralType):
         addend = exact_number(given, given_kind)
         start = F.coalesce(old.cast(EXACT), F.lit(0).cast(EXACT))
         total = (F.try_subtract if action.kind == "minus" else F.try_add)(start, addend)
@@ -534,7 +592,9 @@ def fold_updates(
             member_columns.append(name)
         elif action.kind in ("plus", "minus", "add"):
             given, target = requests.schema[name].dataType, kinds.get(action.column)
-            if isinstance(target, (T.IntegralType, T.DecimalType)):
+            if isinstance(target, T.DecimalType):
+                addend = kept_decimal(F.col(name), given, summand(target))
+            elif isinstance(target, T.IntegralType):
                 addend = exact_number(F.col(name), given)
             else:
                 addend = parse_number(F.col(name)) if isinstance(given, T.StringType) else F.col(name)

@@ -273,3 +273,29 @@ def test_order_of_a_list_needs_seq(spark):
     asked = spark.createDataFrame([("a", 2, "2"), ("a", 1, "1")], "id string, at int, v string")
     got = update_items(ItemTable("t", base, "id"), asked, [list_append("l", F.col("v"))], seq="at").state
     assert got.first()["l"] == ["x", "1", "2"]
+
+
+@pytest.mark.parametrize("kind", ["decimal(38,18)", "decimal(38,10)", "decimal(38,2)", "decimal(30,18)", "decimal(20,12)"])
+def test_sums_on_decimals_are_exact(spark, kind):
+    from decimal import Context, Decimal
+
+    digits, scale = (int(x) for x in kind[8:-1].split(","))
+    exact, unit = Context(prec=80), Decimal(1).scaleb(-scale)
+    largest = exact.subtract(Decimal(1).scaleb(digits - scale), unit)
+    pairs = [(a, b) for a in (unit, -unit, largest, exact.minus(largest), None) for b in (unit, -unit, largest, exact.minus(largest), 3 * unit, Decimal(1) - unit, Decimal(-1))]
+    rows = [(i, a, b) for i, (a, b) in enumerate(pairs)]
+    items = spark.createDataFrame([r[:2] for r in rows], f"id int, total {kind}")
+    table = ItemTable("sums", items, "id")
+    for given in (kind, "string"):
+        requests = spark.createDataFrame([(r[0], str(r[2]) if given == "string" else r[2]) for r in rows], f"id int, d {given}")
+        for sign, text in ((1, "SET total = total + :d"), (-1, "SET total = total - :d")):
+            result = update_items(table, requests, text, {}, {":d": F.col("d")})
+            got = {r["id"]: r["total"] for r in result.state.collect()}
+            refused = {r["id"] for r in result.failures.collect()}
+            for i, a, b in rows:
+                want = exact.add(a or Decimal(0), b if sign > 0 else exact.minus(b))
+                assert (i in refused) == (want.copy_abs() > largest)
+                assert got[i] == (a if i in refused else want)
+    finer = spark.createDataFrame([(0, "1" + "0" * 3 + "e-" + str(scale + 4)), (1, "10e-" + str(scale + 1)), (2, "0." + "0" * scale + "1")], "id int, d string")
+    result = update_items(table, finer, "SET total = total + :d", {}, {":d": F.col("d")})
+    assert {r["id"] for r in result.failures.collect()} == {0, 2}
