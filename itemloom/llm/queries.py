@@ -151,3 +151,46 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scanned(tables(spark, sf_dir, "documents"), keep=["doc_id"])
     places = F.transform("notices", lambda n: F.concat_ws(":", n["license"], n["start"], n["end"]))
     return found.select("doc_id", "n_blocks", "n_licenses", F.concat_ws(",", "licenses").alias("licenses"), F.concat_ws(",", places).alias("notices"))
+
+
+@query(
+    "op11_hard_negatives",
+    """
+    WITH v AS (
+      SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS e
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+      SELECT a.id AS a, b.id AS b, a.label = b.label AS alike, list_inner_product(a.e, b.e)::BIGINT AS score
+      FROM v a JOIN v b ON a.id % 100 = 0 AND a.id <> b.id),
+    p AS (SELECT a, b, score FROM s WHERE alike QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5),
+    n AS (
+      SELECT p.a, p.b, s.b AS c, p.score AS ps, s.score AS ns,
+        row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) AS r
+      FROM p JOIN s ON s.a = p.a AND NOT s.alike AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+    SELECT a AS anchor_id, b AS positive_id, r::INT AS rank, c AS negative_id, ps AS positive_score, ns AS negative_score FROM n WHERE r <= 10
+    """,
+)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .negatives import mined
+
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return mined(tables(spark, sf_dir, "embeddings"), label=moved, anchor=F.col("vec_id") % 100 == 0)
+
+
+@query("op12_language_id")
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import fit, held_out, identified
+
+    docs = tables(spark, sf_dir, "documents")
+    found = identified(docs, fit(docs), keep=["doc_id"])
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "margin")
+
+
+@query("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .dialogue import audited
+
+    return audited(tables(spark, sf_dir, "conversations"))
