@@ -43,6 +43,7 @@ from .session import build_session, scratch_dir
 from .sources.files import read_items_json, read_items_tsv, write_items_json, write_items_tsv
 from .sources.schema import (
     evolve_schema,
+    index_metadata,
     infer_item_schema,
     register_from_metadata,
     restore_columns,
@@ -53,7 +54,7 @@ from .sources.schema import (
     table_metadata,
 )
 from .sources.snapshots import SnapshotStore, write_snapshot
-from .streaming.changes import change_feed, stream_enabled
+from .streaming.changes import change_feed, changes_between, sequenced, stream_enabled
 from .streaming.mutations import MutationLog, apply_mutation_stream
 from .table import Catalog, Index, ItemTable
 

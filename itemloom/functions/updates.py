@@ -233,8 +233,6 @@ def value_column(value: Any, target: T.DataType | None) -> Column:
         return F.parse_json(F.lit(json.dumps(native)))
     if isinstance(native, (list, tuple, set, frozenset)) and not native and isinstance(target, T.ArrayType):
         return F.array().cast(target)
-    if isinstance(target, T.ArrayType) and isinstance(native, (list, tuple, set, frozenset)):
-        return F.expr(sql_literal(native)).cast(target)
     return F.expr(sql_literal(native))
 
 
@@ -301,7 +299,12 @@ def _back(col: Column, kind: T.DataType) -> Column:
     return F.to_variant_object(col) if isinstance(kind, T.VariantType) else col
 
 
-def _with_path(old: Column, kind: T.DataType, path: Sequence[str], value: Column) -> Column:
+def _as_kind(value: Column, kind: T.DataType | None, to: T.DataType) -> Column:
+    """The value in a type; one that does not keep itself there is refused elsewhere and null here."""
+    return value.cast(to) if kind is None else fitted(value, kind, to)[0]
+
+
+def _with_path(old: Column, kind: T.DataType, path: Sequence[str], value: Column, given: T.DataType | None = None) -> Column:
     """``old`` with the field at ``path`` set; a path that leads nowhere leaves it unchanged."""
     head, rest = path[0], path[1:]
     if isinstance(kind, T.StructType):
@@ -310,7 +313,7 @@ def _with_path(old: Column, kind: T.DataType, path: Sequence[str], value: Column
                 return old
             return F.when(old.isNotNull(), old.withField(f"`{head}`", value)).otherwise(old)
         inner = kind[head].dataType
-        new = _with_path(old.getField(head), inner, rest, value) if rest else value.cast(inner)
+        new = _with_path(old.getField(head), inner, rest, value, given) if rest else _as_kind(value, given, inner)
         return F.when(old.isNotNull(), old.withField(f"`{head}`", new)).otherwise(old)
     variant = isinstance(kind, T.VariantType)
     if not variant and not isinstance(kind, T.MapType):
@@ -318,7 +321,7 @@ def _with_path(old: Column, kind: T.DataType, path: Sequence[str], value: Column
     inner = T.VariantType() if variant else kind.valueType
     fields = F.try_variant_get(old, "$", "map<string,variant>") if variant else old
     current = F.try_element_at(fields, F.lit(head))
-    new = _with_path(current, inner, rest, value) if rest else value.cast(inner)
+    new = _with_path(current, inner, rest, value, given) if rest else _as_kind(value, given, inner)
     others = F.map_filter(fields, lambda k, _: k != F.lit(head))
     changed = _back(F.map_concat(others, F.create_map(F.lit(head), new)), kind)
     reachable = fields.isNotNull() & (current.isNotNull() if rest else F.lit(True))
@@ -360,8 +363,8 @@ EXACT = "decimal(38,10)"
 
 
 def exact_number(value: Column, kind: T.DataType) -> Column:
-    """The number, a text's too, without rounding to a double; null if it is none or too long."""
-    return parse_number(value, EXACT) if isinstance(kind, T.StringType) else value.try_cast(EXACT)
+    """The number, a text's too, without rounding of any kind; null if it is none, too long, or needs more than ten digits after the point."""
+    return kept_decimal(value, kind, T.DecimalType(38, 10))
 
 
 def _places(text: Column) -> Column:
@@ -417,9 +420,14 @@ def decimal_sum(a: Column, b: Column, kind: T.DecimalType, minus: bool = False)
 def fitted(value: Column, kind: T.DataType, to: T.DataType) -> tuple[Column, Column | None]:
     """The value as type ``to``, and where a value there is does not keep itself in it (None: it always does).
 
-    Texts that are no numbers, fractions in whole-number types and numbers beyond a type's range do not.
+    Texts that are no numbers, fractions in whole-number types and numbers beyond a type's range do not. A list does if all its members do.
     """
     kind, to = loose(kind), loose(to)
+    if kind != to and isinstance(kind, T.ArrayType) and isinstance(to, T.ArrayType):
+        if fitted(F.lit(None), kind.elementType, to.elementType)[1] is None:
+            return value.cast(to), None
+        off = F.exists(value, lambda x: fitted(x, kind.elementType, to.elementType)[1])
+        return F.transform(value, lambda x: fitted(x, kind.elementType, to.elementType)[0]), F.coalesce(off, F.lit(False))
     scalar = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
     if kind == to or not isinstance(kind, scalar) or not isinstance(to, scalar):
         return (value if kind == to else value.cast(to)), None
@@ -479,7 +487,7 @@ def new_value(action: Action, old: Column, old_kind: T.DataType | None, at: int,
         case "assign":
             return fitted(given, given_kind, kind)[0]
         case "replace_set":
-            return F.array_distinct(given).cast(kind)
+            return _as_kind(F.array_distinct(given), given_kind, kind)
         case "plus" | "minus" if numeric:
             return _total(action, old, kind, given, given_kind)[0]
         case "plus":
@@ -504,23 +512,23 @@ def new_value(action: Action, old: Column, old_kind: T.DataType | None, at: int,
             return F.when(number.isNotNull(), summed).otherwise(grown) if isinstance(given_kind, T.VariantType) else grown
         case "add":
             members, kind_of = _list_of(old, kind)
-            return F.array_union(F.coalesce(members, _empty(kind_of)), given.cast(kind_of))
+            return F.array_union(F.coalesce(members, _empty(kind_of)), _as_kind(given, given_kind, kind_of))
         case "delete":
-            left = F.array_except(old, given.cast(kind))
+            left = F.array_except(old, _as_kind(given, given_kind, kind))
             return F.when(F.size(left) > 0, left)
         case "list_append" | "list_prepend":
             members, kind_of = _list_of(old, kind)
             if isinstance(given_kind, T.VariantType):
                 added = F.coalesce(given.try_cast("array<variant>"), F.array(given))
             elif isinstance(given_kind, T.ArrayType):
-                added = given.cast(kind_of)
+                added = _as_kind(given, given_kind, kind_of)
             else:
-                added = F.array(given.cast(kind_of.elementType))
+                added = F.array(_as_kind(given, given_kind, kind_of.elementType))
             own = F.coalesce(members, _empty(kind_of))
             return _back(F.concat(added, own) if action.kind == "list_prepend" else F.concat(own, added), kind)
         case "index":
             members, kind_of = _list_of(old, kind)
-            element, place = given.cast(kind_of.elementType), F.lit(action.index)
+            element, place = _as_kind(given, given_kind, kind_of.elementType), F.lit(action.index)
             changed = F.transform(members, lambda x, i: F.when(i == place, element).otherwise(x))
             longer = F.concat(members, F.array(element))
             fits = F.size(members) >= place
@@ -532,7 +540,7 @@ def new_value(action: Action, old: Column, old_kind: T.DataType | None, at: int,
             left = F.filter(members, lambda _, i: (i < first) | (i >= behind))
             return F.when(members.isNotNull(), _back(left, kind)).otherwise(old)
         case "path":
-            return _with_path(old, kind, action.path, given)
+            return _with_path(old, kind, action.path, given, given_kind)
         case "remove":
             return F.lit(None).cast(kind if kind is not None else T.StringType())
         case "expression":
@@ -551,7 +559,16 @@ def violation(
     if kind is None:
         kind, old = given_kind, F.lit(None).cast(given_kind or T.StringType())
     if action.path:
-        return None
+        inner = _kind_at(kind, action.path)
+        if inner is None or isinstance(inner, T.VariantType):
+            return None
+        if action.kind == "path":
+            return fitted(F.col(payload_name(at)), given_kind, loose(inner))[1]
+        current = _member_at(old, kind, action.path)
+        return violation(replace(action, path=()), current, new, inner, at, requests)
+    if isinstance(kind, T.ArrayType) and given_kind is not None and action.kind in _MEMBERS:
+        whole = isinstance(given_kind, T.ArrayType) and action.kind != "index"
+        return fitted(F.col(payload_name(at)), given_kind, loose(kind) if whole else loose(kind.elementType))[1]
     if action.kind in ("assign", "if_not_exists", "if_exists"):
         bad = fitted(F.col(payload_name(at)), given_kind, loose(kind))[1]
         return bad if bad is None or action.kind == "assign" else bad & (old.isNull() if action.kind == "if_not_exists" else old.isNotNull())
@@ -564,6 +581,20 @@ def violation(
     return None
 
 
+#: actions whose value becomes members of a list or set
+_MEMBERS = ("add", "delete", "replace_set", "list_append", "list_prepend", "index")
+
+
+def _member_at(old: Column, kind: T.DataType, path: Sequence[str]) -> Column:
+    """The member that a path of typed fields leads to."""
+    for name in path:
+        if isinstance(kind, T.StructType):
+            old, kind = old.getField(name), kind[name].dataType
+        else:
+            old, kind = F.try_element_at(old, F.lit(name)), kind.valueType
+    return old
+
+
 # -- several updates of one key ---------------------------------------------------------------
 
 _FOLDS_LAST = ("assign", "if_exists", "path", "index", "replace_set")

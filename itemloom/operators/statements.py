@@ -6,21 +6,22 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import ValidationError
+from ..errors import VALIDATION, ValidationError
 from ..functions.exprs import sql_literal
 from ..functions.tagged import untag
 from ..functions.types import descriptor_of
-from ..functions.updates import _outside_quotes, top_level_parts
-from ..functions.values import convert_literal, literal_error
+from ..functions.updates import _outside_quotes, fitted, top_level_parts
+from ..functions.values import convert_literal, is_infinite, literal_error
 from ..table import Catalog, ItemTable, quoted
-from .write import WriteResult, put_items
+from .write import BAD, WriteResult, _with, put_items
 
 
 def parameter(value: Any) -> Column:
@@ -42,7 +43,20 @@ def _table_names(catalog: Catalog, text: str) -> str:
         inside = not shown[m.start() : m.start() + 4].strip()
         return m.group(0) if inside else m.group(1) + m.group(2).replace("-", "_")
 
-    return re.sub(r"(?i)(\b(?:FROM|JOIN)\s+)[\"`]?([\w-]+)[\"`]?", view, text)
+    named = re.sub(r"(?i)(\b(?:FROM|JOIN)\s+)[\"`]?([\w-]+)[\"`]?", view, text)
+    known = set(catalog.names())
+    clauses = [m.span(1) for m in _FROM_CLAUSE.finditer(_outside_quotes(named))]
+
+    def listed(m: re.Match) -> str:
+        clean = m.group(2).replace("-", "_")
+        return m.group(1) + clean if clean in known and any(a <= m.start() < b for a, b in clauses) else m.group(0)
+
+    # further names of a comma list
+    return re.sub(r"(,\s*)[\"`]?([\w-]+)[\"`]?", listed, named)
+
+
+#: what follows FROM up to the next clause or the end of a subquery
+_FROM_CLAUSE = re.compile(r"(?is)\bFROM\b(.*?)(?=\b(?:WHERE|GROUP|HAVING|ORDER|LIMIT|OFFSET|UNION|EXCEPT|INTERSECT|SELECT)\b|[()]|\Z)")
 
 
 def insert_value(table: ItemTable, rows: DataFrame, literals: bool = False, on_conflict: str | None = None) -> WriteResult:
@@ -53,25 +67,50 @@ def insert_value(table: ItemTable, rows: DataFrame, literals: bool = False, on_c
     if on_conflict not in (None, "nothing"):
         raise ValidationError(f"cannot do {on_conflict!r} on a conflict")
     if literals:
-        typed = []
+        typed, bad = [], F.lit(False)
         for name in rows.columns:
             if name not in table.df.columns:
                 raise ValidationError(f"table {table.name!r} has no attribute {name!r}")
-            typed.append(typed_literal(quoted(name), table.df.schema[name].dataType).alias(name))
-        rows = rows.select(*typed)
+            kind = table.df.schema[name].dataType
+            value, off = typed_literal(quoted(name), kind)
+            value = value if off is None else F.when(~off, value)
+            typed.append(F.when(_no_literal(quoted(name), kind), _failed(quoted(name), kind)).otherwise(value).alias(name))
+            bad = bad if off is None else bad | off
+        rows = rows.select(*typed, bad.alias(BAD))
+    rejected = None
+    if BAD in rows.columns:
+        rejected = rows.where(F.col(BAD)).select(*[quoted(k) for k in table.keys], F.lit(VALIDATION).alias("code"))
+        rows = rows.where(~F.col(BAD)).drop(BAD)
     condition = f"attribute_not_exists({table.partition_key})" if on_conflict else None
-    return put_items(table, rows, condition=condition)
+    result = put_items(table, rows, condition=condition)
+    return result if rejected is None else replace(result, rejected=_with(result.rejected, rejected))
+
+
+_TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
+
 
+def _no_literal(text: Column, kind: T.DataType) -> Column:
+    """True where a text is no literal at all for the attribute: that is an error of the caller."""
+    if isinstance(kind, (T.VariantType, *_TIMES)):
+        return F.lit(False)
+    return literal_error(text, descriptor_of(kind))
 
-def typed_literal(text: Column, kind: T.DataType) -> Column:
-    """Literal text as a value of the attribute's type; text that does not fit fails the statement."""
+
+def _failed(text: Column, kind: T.DataType) -> Column:
+    return F.raise_error(F.concat(F.lit("literal does not fit: "), text)).cast(kind)
+
+
+def typed_literal(text: Column, kind: T.DataType) -> tuple[Column, Column | None]:
+    """Literal text as a value of the attribute's type, and where it does not keep itself there (a fraction in a whole number, say)."""
     if isinstance(kind, T.VariantType):
-        return F.parse_json(text)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return convert_literal(text, "S").cast(kind)
-    descriptor = descriptor_of(kind)
-    bad = F.raise_error(F.concat(F.lit("literal does not fit: "), text)).cast(kind)
-    return F.when(literal_error(text, descriptor), bad).otherwise(convert_literal(text, descriptor).cast(kind))
+        value = F.try_parse_json(text)
+    elif isinstance(kind, _TIMES):
+        value = convert_literal(text, "S").try_cast(kind)
+    elif isinstance(kind, T.NumericType):
+        return fitted(text, T.StringType(), kind)
+    else:
+        value = convert_literal(text, descriptor_of(kind)).try_cast(kind)
+    return value, text.isNotNull() & value.isNull()
 
 
 def _with_params(text: str, params: list[Any]) -> str:
@@ -87,24 +126,46 @@ def _with_params(text: str, params: list[Any]) -> str:
     return "".join(out)
 
 
-def update_where(
+@dataclass(frozen=True)
+class UpdateResult:
+    """The new state of a table, and the rows an UPDATE hit but left as they are, since a value does not fit: their key and a code."""
+
+    state: DataFrame
+    failures: DataFrame
+    #: the new values of the rows that were hit
+    values: DataFrame
+
+
+def update_rows(
     table: ItemTable, assignments: Mapping[str, str | Column], where: str | None = None, params: Sequence[Any] = ()
-) -> DataFrame:
-    """UPDATE … SET … WHERE …: new state; all right sides read the old row."""
+) -> UpdateResult:
+    """UPDATE … SET … WHERE …: all right sides read the old row. A row with a value that its attribute cannot hold is refused whole."""
     left = list(params)
-    new = {}
+    new, bad = {}, F.lit(False)
     for name, value in assignments.items():
         if name not in table.attributes:
             raise ValidationError(f"attribute {name!r} cannot be set")
         column = value if isinstance(value, Column) else F.expr(_with_params(value, left))
-        new[name] = column.cast(table.df.schema[name].dataType)
+        kind = table.df.select(column.alias("v")).schema["v"].dataType
+        new[name], off = fitted(column, kind, table.df.schema[name].dataType)
+        if isinstance(table.df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+            off = is_infinite(new[name]) if off is None else off | is_infinite(new[name])
+        bad = bad if off is None else bad | F.coalesce(off, F.lit(False))
     hit = F.coalesce(F.expr(_with_params(where, left)), F.lit(False)) if where else F.lit(True)
     if left:
         raise ValidationError("more parameters than ? marks")
     columns = [
-        F.when(hit, new[c]).otherwise(quoted(c)).alias(c) if c in new else quoted(c) for c in table.df.columns
+        F.when(hit & ~bad, new[c]).otherwise(quoted(c)).alias(c) if c in new else quoted(c) for c in table.df.columns
     ]
-    return table.df.select(*columns)
+    refused = table.df.where(hit & bad).select(*[quoted(k) for k in table.keys], F.lit(VALIDATION).alias("code"))
+    return UpdateResult(table.df.select(*columns), refused, table.df.where(hit).select(*[new[n].alias(n) for n in new], bad.alias(BAD)))
+
+
+def update_where(
+    table: ItemTable, assignments: Mapping[str, str | Column], where: str | None = None, params: Sequence[Any] = ()
+) -> DataFrame:
+    """The new state of ``update_rows``."""
+    return update_rows(table, assignments, where, params).state
 
 
 def delete_where(table: ItemTable, where: str | None = None, params: Sequence[Any] = ()) -> DataFrame:
@@ -118,10 +179,11 @@ def delete_where(table: ItemTable, where: str | None = None, params: Sequence[An
 
 @dataclass(frozen=True)
 class StatementResult:
-    """Rows of a SELECT, or the new state of the table a write statement named."""
+    """Rows of a SELECT, or the new state of the table a write statement named and what the statement refused (key and code)."""
 
     rows: DataFrame | None = None
     state: DataFrame | None = None
+    failures: DataFrame | None = None
 
 
 _NAME = r"[\"`]?([\w-]+)[\"`]?"
@@ -131,7 +193,11 @@ _DELETE = re.compile(rf"(?is)^\s*DELETE\s+FROM\s+{_NAME}(?:\s+WHERE\s+(.*?))?;?\
 
 
 def execute_statement(catalog: Catalog, text: str, params: Sequence[Any] = (), limit: int | None = None) -> StatementResult:
-    """SELECT, INSERT … VALUE, UPDATE or DELETE by the first word; writes become the table's new state."""
+    """SELECT, INSERT … VALUE, UPDATE or DELETE by the first word; writes become the table's new state.
+
+    What a write reads and sets is worked out once before the state is kept: a statement that fails there is an error and leaves the
+    table as it was, so none can spoil it for later ones. Values that do not fit are refused in ``failures``.
+    """
     word = (text.split() or [""])[0].upper()
     if word == "SELECT":
         return StatementResult(rows=select(catalog, text, params, limit))
@@ -141,21 +207,34 @@ def execute_statement(catalog: Catalog, text: str, params: Sequence[Any] = (), l
         if conflict is not None and conflict.upper().split() != ["DO", "NOTHING"]:
             raise ValidationError(f"cannot do {conflict!r} on a conflict")
         rows = _value_row(catalog, table, found.group(2), list(params))
-        state = insert_value(table, rows, on_conflict="nothing" if conflict else None).state
+        _settled(rows)
+        outcome = insert_value(table, rows, on_conflict="nothing" if conflict else None)
+        state, failures = outcome.state, outcome.failures
     elif word == "UPDATE" and (found := _UPDATE.match(text)):
         table = catalog.table(found.group(1))
         body = found.group(2).rstrip().rstrip(";")
         cut = re.search(r"(?i)\bWHERE\b", _outside_quotes(body))
         sets, where = (body[: cut.start()], body[cut.end() :]) if cut else (body, None)
         pairs = [part.partition("=") for part in top_level_parts(sets)]
-        state = update_where(table, {n.strip(" `\""): v for n, _, v in pairs}, where, params)
+        changed = update_rows(table, {n.strip(" `\""): v for n, _, v in pairs}, where, params)
+        _settled(changed.values)
+        state, failures = changed.state, changed.failures
     elif word == "DELETE" and (found := _DELETE.match(text)):
         table = catalog.table(found.group(1))
-        state = delete_where(table, found.group(2), params)
+        state, failures = delete_where(table, found.group(2), params), None
+        _settled(state.select(*[quoted(k) for k in table.keys]))
     else:
         raise ValidationError(f"cannot read statement {text!r}")
     catalog.replace(table.name, state)
-    return StatementResult(state=state)
+    return StatementResult(state=state, failures=failures)
+
+
+def _settled(rows: DataFrame) -> None:
+    """Works the rows out; what fails is an error of the statement."""
+    try:
+        rows.write.format("noop").mode("overwrite").save()
+    except PySparkException as error:
+        raise ValidationError(f"statement fails: {str(error).splitlines()[0]}") from error
 
 
 def _value_row(catalog: Catalog, table: ItemTable, literal: str, params: list[Any]) -> DataFrame:
@@ -171,10 +250,11 @@ def _value_row(catalog: Catalog, table: ItemTable, literal: str, params: list[An
     row = catalog.spark.range(1).select(
         F.from_json(text, declared, {"mode": "FAILFAST"}).alias("r"), F.map_keys(F.from_json(text, "map<string,string>")).alias("carried")
     )
-    columns = []
+    columns, bad = [], F.lit(False)
     for field in table.df.schema.fields:
         value = F.col("r").getField(field.name)
         if isinstance(declared[field.name].dataType, T.StringType):
-            value = typed_literal(value, field.dataType)
+            value, off = typed_literal(value, field.dataType)
+            bad, value = (bad, value) if off is None else (bad | off, F.when(~off, value))
         columns.append(value.alias(field.name))
-    return row.select(*columns, F.col("carried").alias("_present"))
+    return row.select(*columns, F.col("carried").alias("_present"), bad.alias(BAD))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 from ..errors import TableNotFound, ValidationError
 from ..functions.tagged import DESCRIPTORS
 from ..functions.types import STORED_TYPES, descriptor_of, spark_type, stored_type
-from ..table import Catalog, ItemTable, clean_name, quoted
+from ..table import Catalog, Index, ItemTable, clean_name, quoted
 
 # Columns of the metadata rows, in their order. A metadata table that names them otherwise
 # is read and written with a map from these names to its own (``columns``).
@@ -109,6 +110,15 @@ def table_metadata(table: ItemTable) -> DataFrame:
     )
 
 
+def index_metadata(table: ItemTable) -> DataFrame | None:
+    """Metadata rows of the indexes of a table, None without any: each is named as a table of its own over the actual one."""
+    parts = []
+    for name, index in table.indexes.items():
+        carried = declared_schema(table.index(name).df)
+        parts.append(schema_metadata(carried, name, index.partition_key, index.sort_key, index=name, actual_table=table.name))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
 def struct_from_metadata(rows: DataFrame) -> T.StructType:
     """Spark schema of metadata rows (one row per column of one table)."""
     pairs = sorted((r["column"], r["dataType"]) for r in rows.select("column", "dataType").collect())
@@ -123,17 +133,26 @@ def register_from_metadata(
 ) -> list[str]:
     """Register the tables that metadata rows describe (one row per column), over the given frames.
 
-    Columns are read under their original names, cast by descriptor and kept under their stored names; a row
-    whose actual table has another name makes an alias. Returns the registered names.
+    Columns are read under their original names, cast by descriptor and kept under their stored names. A name over an actual table
+    of another name is an index of that one where its rows call it so (``indexName`` is that name too), with their keys and columns;
+    else it is an alias. An index that only the rows of its table name has the table's own keys. Returns the registered names.
     """
     metadata = metadata.withColumnsRenamed({theirs: ours for ours, theirs in (columns or {}).items()})
     described: dict[str, list] = {}
     for row in metadata.select(*METADATA_COLUMNS).distinct().collect():
         described.setdefault(row["tableName"], []).append(row)
-    aliases = []
+    aliases, indexes = [], {}
+    for name, rows in described.items():
+        first = rows[0]
+        actual = clean_name(first["actualTable"] or name)
+        if actual != clean_name(name) and first["indexName"] == name:
+            indexes.setdefault(actual, {})[name] = rows
     for name, rows in sorted(described.items()):
         first = rows[0]
-        if clean_name(first["actualTable"] or name) != clean_name(name):
+        actual = clean_name(first["actualTable"] or name)
+        if name in indexes.get(actual, {}):
+            continue
+        if actual != clean_name(name):
             aliases.append((name, first["actualTable"]))
             continue
         if name not in frames:
@@ -145,12 +164,23 @@ def register_from_metadata(
         columns = [
             quoted(c).cast(spark_type(by_origin[c]["dataType"])).alias(by_origin[c]["column"]) for c in df.columns
         ]
-        catalog.register_table(name, df.select(*columns), first["partitionKey"], first["sortKey"] or None)
+        named = [n for n in (first["indexName"] or "").split(",") if n]
+        own = {n: Index(first["partitionKey"], first["sortKey"] or None) for n in named}
+        own |= {n: _index_of(found, by_origin) for n, found in indexes.get(clean_name(name), {}).items()}
+        catalog.register_table(name, df.select(*columns), first["partitionKey"], first["sortKey"] or None, own)
     for name, actual in aliases:
         catalog.register_table(name, alias_of=actual)
     return sorted(described)
 
 
+def _index_of(rows: Sequence, columns: Mapping) -> Index:
+    """The index that metadata rows describe; one that carries all columns of its table narrows nothing."""
+    carried = {r["column"] for r in rows}
+    keys = (rows[0]["partitionKey"], rows[0]["sortKey"] or None)
+    whole = carried >= {r["column"] for r in columns.values()}
+    return Index(*keys, include=None if whole else tuple(sorted(carried - set(keys))))
+
+
 def schema_diff(declared: DataFrame, actual: DataFrame, keep: Sequence[str] = ("commit_timestamp",)) -> DataFrame:
     """``attribute, descriptor, change``: ``add`` what items have and the table lacks, ``drop`` the reverse."""
     added = actual.join(declared, "attribute", "left_anti").select("attribute", "descriptor", F.lit("add").alias("change"))

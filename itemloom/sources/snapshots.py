@@ -3,18 +3,26 @@
 A commit writes every table to a directory of its own and then, as its last step, one small
 manifest that names them. Readers follow the newest manifest, so they see all tables of a commit or none,
 and a commit that dies half way leaves nothing visible behind.
+
+A table may be laid out in buckets by a hash of its key: the manifest then names one directory per bucket, with its rows. A change
+rewrites the buckets that its keys fall into and takes over the entries of the others; key lookups, counts and differences between
+versions open what they need. ``vacuum`` removes what no kept version names.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+import time
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..errors import TableNotFound, ValidationError
+from ..functions.updates import fitted
 from ..table import ItemTable, quoted
 
 
@@ -35,6 +43,10 @@ def write_snapshot(state: State, path: str) -> None:
     _writer(state).mode("errorifexists").parquet(path)
 
 
+#: column of a bucketed write that names the bucket; never part of an item
+BUCKET = "_bucket"
+
+
 @dataclass
 class SnapshotStore:
     """Table states below ``root``, a folder every executor can reach. One writer at a time."""
@@ -49,12 +61,12 @@ class SnapshotStore:
 
     # -- manifests ----------------------------------------------------------------------------
 
+    def _names(self, folder: str) -> list[str]:
+        path = self._path(f"{self.root}/{folder}")
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(path)) if self._fs.exists(path) else []
+
     def versions(self) -> list[int]:
-        folder = self._path(f"{self.root}/_manifests")
-        if not self._fs.exists(folder):
-            return []
-        names = [status.getPath().getName() for status in self._fs.listStatus(folder)]
-        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
+        return sorted(int(n.removesuffix(".json")) for n in self._names("_manifests") if n.endswith(".json"))
 
     def manifest(self, version: int | None = None) -> dict[str, Any]:
         known = self.versions()
@@ -73,28 +85,177 @@ class SnapshotStore:
         final = self._path(f"{self.root}/_manifests/{version:09d}.json")
         draft = self._path(f"{self.root}/_manifests/.{version:09d}.draft")
         out = self._fs.create(draft, True)
-        out.write(bytearray(json.dumps(manifest).encode()))
+        out.write(bytearray(json.dumps(manifest | {"time": int(time.time() * 1000)}).encode()))
         out.close()
         if self._fs.exists(final) or not self._fs.rename(draft, final):
             raise ValidationError(f"version {version} of {self.root} was committed by another writer")
 
+    def _commit(self, tables: Mapping[str, Any], notes: Mapping[str, Any] | None) -> int:
+        current = self.manifest()
+        version = current["version"] + 1
+        merged = {**current["notes"], **(notes or {})}
+        self._publish({"version": version, "tables": {**current["tables"], **tables}, "notes": merged})
+        return version
+
+    def note(self, notes: Mapping[str, Any]) -> int:
+        """A version with other notes and the same tables."""
+        return self._commit({}, notes)
+
+    def _entry(self, table: str, version: int | None = None) -> str | dict[str, Any]:
+        tables = self.manifest(version)["tables"]
+        if table not in tables:
+            raise TableNotFound(table)
+        return tables[table]
+
+    def _bucketed(self, table: str, version: int | None = None) -> dict[str, Any]:
+        entry = self._entry(table, version)
+        if isinstance(entry, str):
+            raise ValidationError(f"table {table!r} is not stored in buckets")
+        return entry
+
     # -- states -------------------------------------------------------------------------------
 
-    def commit(self, states: Mapping[str, State], notes: Mapping[str, Any] | None = None) -> int:
-        """Write the new states of some tables together; the other tables keep theirs."""
+    def commit(self, states: Mapping[str, State], notes: Mapping[str, Any] | None = None, buckets: int | None = None) -> int:
+        """Write the new states of some tables together; the other tables keep theirs.
+
+        With ``buckets``, and where the stored table has buckets already, an ``ItemTable`` is laid out by a hash of its key.
+        """
         current = self.manifest()
         version = current["version"] + 1
-        tables = dict(current["tables"])
+        tables = {}
         for name, state in states.items():
+            old = current["tables"].get(name)
+            count = buckets or (old["buckets"] if isinstance(old, dict) else None)
+            if count and isinstance(state, ItemTable):
+                tables[name] = self._laid_out(name, state, count, version)
+                continue
             path = f"{name}/v={version:09d}"
             # what an earlier attempt at this version left behind was never visible
             _writer(state).mode("overwrite").parquet(f"{self.root}/{path}")
             tables[name] = path
-        self._publish({"version": version, "tables": tables, "notes": {**current["notes"], **(notes or {})}})
-        return version
+        return self._commit(tables, notes)
 
     def read(self, table: str, version: int | None = None) -> DataFrame:
-        tables = self.manifest(version)["tables"]
-        if table not in tables:
-            raise TableNotFound(table)
-        return self.spark.read.parquet(f"{self.root}/{tables[table]}")
+        entry = self._entry(table, version)
+        if isinstance(entry, str):
+            return self.spark.read.parquet(f"{self.root}/{entry}")
+        return self._opened(entry, entry["parts"])
+
+    # -- buckets ------------------------------------------------------------------------------
+
+    def _opened(self, entry: Mapping[str, Any], buckets: Iterable[str | int]) -> DataFrame:
+        schema = T.StructType.fromJson(entry["schema"])
+        paths = [f"{self.root}/{entry['parts'][str(b)]['path']}" for b in buckets if str(b) in entry["parts"]]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def _laid_out(self, name: str, state: ItemTable, count: int, version: int, tasks: int | None = None) -> dict[str, Any]:
+        """Writes rows in their buckets, sorted by key, and gives the manifest entry of these buckets. Rows without a whole key are in the first."""
+        path = f"{name}/v={version:09d}"
+        bucket = F.coalesce(bucket_of([quoted(k) for k in state.keys], count), F.lit(0))
+        rows = state.df.withColumn(BUCKET, bucket).repartition(tasks or count, BUCKET)
+        rows = rows.sortWithinPartitions(BUCKET, *[quoted(k) for k in state.keys])
+        writer = rows.write.option(f"parquet.bloom.filter.enabled#{state.partition_key}", "true").partitionBy(BUCKET)
+        writer.mode("overwrite").parquet(f"{self.root}/{path}")
+        found: dict[str, Any] = {}
+        if any(n.startswith(f"{BUCKET}=") for n in self._names(path)):
+            # footers only: no column is read
+            counts = self.spark.read.parquet(f"{self.root}/{path}").groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()
+            found = {str(r[BUCKET]): {"path": f"{path}/{BUCKET}={r[BUCKET]}", "rows": r["n"]} for r in counts}
+        return {"keys": state.keys, "buckets": count, "schema": state.df.schema.jsonValue(), "parts": found}
+
+    def touched(self, table: str, keys: DataFrame, version: int | None = None) -> list[int]:
+        """Buckets that the keys fall into: at most as many numbers as the table has buckets."""
+        entry = self._bucketed(table, version)
+        kinds = {f.name: f.dataType for f in T.StructType.fromJson(entry["schema"]).fields}
+        typed = [fitted(quoted(k), keys.schema[k].dataType, kinds[k])[0] for k in entry["keys"]]
+        found = keys.select(bucket_of(typed, entry["buckets"]).alias(BUCKET)).where(F.col(BUCKET).isNotNull()).distinct()
+        return sorted(r[BUCKET] for r in found.collect())
+
+    def item_table(self, table: str, version: int | None = None, buckets: Iterable[int] | None = None) -> ItemTable:
+        """A bucketed table, or those of its buckets."""
+        entry = self._bucketed(table, version)
+        keys = entry["keys"]
+        df = self._opened(entry, entry["parts"] if buckets is None else buckets)
+        return ItemTable(table, df, keys[0], keys[1] if len(keys) > 1 else None)
+
+    def lookup(self, table: str, keys: DataFrame, version: int | None = None) -> ItemTable:
+        """The buckets that may hold the keys, as a table for point reads and batch gets."""
+        return self.item_table(table, version, self.touched(table, keys, version))
+
+    def change(
+        self, table: str, keys: DataFrame, change: Callable[[ItemTable], DataFrame], notes: Mapping[str, Any] | None = None
+    ) -> int:
+        """Commit a change of the items with these keys, and rewrite no bucket without one of them.
+
+        ``change`` gets the table with the buckets of the keys and gives its new state; it may put, update or delete items of the keys
+        and adds attributes only if it carries them for all of its items. Keys that no item of the table could have change nothing.
+        """
+        entry = self._bucketed(table)
+        buckets = self.touched(table, keys)
+        if not buckets:
+            return self._commit({}, notes)
+        part = self.item_table(table, buckets=buckets)
+        state = part.with_df(change(part))
+        new = self._laid_out(table, state, entry["buckets"], self.manifest()["version"] + 1, min(2 * len(buckets), entry["buckets"]))
+        strayed = [b for b in new["parts"] if int(b) not in buckets]
+        if strayed:
+            raise ValidationError(f"the change of {table!r} reaches items of other keys")
+        kept = {b: p for b, p in entry["parts"].items() if int(b) not in buckets}
+        # files without an attribute read it as null
+        return self._commit({table: new | {"parts": kept | new["parts"]}}, notes)
+
+    def count(self, table: str, version: int | None = None) -> int:
+        """Items of a table; of a bucketed one the manifest knows it."""
+        entry = self._entry(table, version)
+        return self.read(table, version).count() if isinstance(entry, str) else sum(p["rows"] for p in entry["parts"].values())
+
+    def changed_buckets(self, table: str, old: int, new: int) -> list[int]:
+        """Buckets that are not the same files in two versions of a table with one layout."""
+        before, after = self._bucketed(table, old), self._bucketed(table, new)
+        if before["buckets"] != after["buckets"] or before["keys"] != after["keys"]:
+            raise ValidationError(f"table {table!r} was laid out anew between versions {old} and {new}")
+        either = before["parts"].keys() | after["parts"].keys()
+        return sorted(int(b) for b in either if before["parts"].get(b, {}).get("path") != after["parts"].get(b, {}).get("path"))
+
+    # -- room ---------------------------------------------------------------------------------
+
+    def vacuum(self, keep: int = 1) -> list[str]:
+        """Remove the data of tables that none of the last ``keep`` versions names, and the manifests before those.
+
+        Readers of older versions have to be done. Gives the removed directories.
+        """
+        if keep < 1:
+            raise ValidationError("at least the newest version is kept")
+        known = self.versions()
+        named: dict[str, set[str]] = {}
+        for version in known[-keep:]:
+            for name, entry in self.manifest(version)["tables"].items():
+                paths = [entry] if isinstance(entry, str) else [p["path"] for p in entry["parts"].values()]
+                named.setdefault(name, set()).update(paths)
+        removed = []
+        for name, paths in named.items():
+            for found in self._names(name):
+                if not found.startswith("v=") or f"{name}/{found}" in paths:
+                    continue
+                inside = [f"{name}/{found}/{n}" for n in self._names(f"{name}/{found}") if n.startswith(f"{BUCKET}=")]
+                gone = [p for p in inside if p not in paths]
+                removed += [f"{name}/{found}"] if len(gone) == len(inside) else gone
+        for path in removed:
+            self._remove(path)
+        for version in known[:-keep]:
+            self._remove(f"_manifests/{version:09d}.json")
+        return removed
+
+    def _remove(self, path: str) -> None:
+        self._fs.delete(self._path(f"{self.root}/{path}"), True)
+
+
+def bucket_of(keys: Iterable[Column], count: int) -> Column:
+    """Bucket of a key in its stored types; null for a key with a null in it."""
+    keys = list(keys)
+    whole = keys[0].isNotNull()
+    for k in keys[1:]:
+        whole = whole & k.isNotNull()
+    return F.when(whole, F.pmod(F.xxhash64(*keys), F.lit(count))).cast("int")

@@ -1,4 +1,4 @@
-"""Change records: what happened to each item between two states of a table."""
+"""Change records: what happened to each item between two states of a table, and in which order records are told."""
 
 from __future__ import annotations
 
@@ -7,8 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions.codec import item_json
+from ..sources.snapshots import SnapshotStore
 from ..table import ItemTable, quoted
 
 
@@ -87,3 +89,40 @@ def stream_enabled(changes: DataFrame, config: DataFrame) -> DataFrame:
     enabled = config.where(F.trim(F.col("enabledStream").cast("string")) == "1")
     names = sorted(r["tableName"] for r in enabled.select("tableName").distinct().collect())
     return changes.where(F.col("table").isin(names))
+
+
+def sequenced(feed: DataFrame, version: int, at_millis: int, first: int = 1, ranges: int = 256) -> DataFrame:
+    """Change records with ``sequence``, ``event_id``, ``version`` and ``created_at``.
+
+    ``sequence`` counts the records of all tables from ``first`` without a gap, by table and by the digest of their keys: the same
+    records always get the same numbers. Counts per range of the digest are summed up first, so only the records of one of the
+    ``ranges`` (a power of two) are sorted together. ``event_id`` is a digest of table, version, event and keys, ``created_at`` the
+    time of the version in milliseconds.
+    """
+    digest = F.md5(F.concat_ws("\x1f", "table", "keys"))
+    bits = (ranges - 1).bit_length()
+    at = F.shiftright(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), 32 - bits)
+    marked = feed.withColumn("__digest", digest).withColumn("__range", at)
+    counts = marked.groupBy("table", "__range").agg(F.count(F.lit(1)).alias("__n"))
+    # at most a row per table and range
+    before = Window.orderBy("table", "__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        F.col("table").alias("__t"), F.col("__range").alias("__r"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")
+    )
+    place = F.row_number().over(Window.partitionBy("table", "__range").orderBy("__digest", "keys"))
+    numbered = marked.withColumn("__place", place).join(offsets, (F.col("table") == F.col("__t")) & (F.col("__range") == F.col("__r")))
+    event = F.md5(F.concat_ws("\x1f", "table", F.lit(str(version)), "event_name", "keys"))
+    return numbered.select(
+        *[quoted(c) for c in feed.columns],
+        (F.col("__before") + F.col("__place") + F.lit(first - 1)).cast("long").alias("sequence"),
+        event.alias("event_id"),
+        F.lit(version).cast("long").alias("version"),
+        F.lit(at_millis).cast("long").alias("created_at"),
+    )
+
+
+def changes_between(store: SnapshotStore, table: str, old: int, new: int, first: int = 1) -> DataFrame:
+    """Numbered change records of a bucketed table between two of its versions; buckets that are the same files are not opened."""
+    buckets = store.changed_buckets(table, old, new)
+    before, after = (store.item_table(table, version, buckets) for version in (old, new))
+    return sequenced(change_feed(before, after.df), new, int(store.manifest(new).get("time", 0)), first)
