@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..errors import ValidationError
 from ..table import quoted
-from . import documents
+from . import documents, walks
 from .types import SET_DESCRIPTORS, descriptor_of, spark_type
 from .values import format_number, parse_number
 
@@ -33,6 +33,15 @@ def _declared(kind: FieldType) -> tuple[str, T.DataType]:
 # -- decoding ---------------------------------------------------------------------------------
 
 
+def _is_document(kind: T.DataType) -> bool:
+    """Values of undeclared shape, and lists and maps of nothing else."""
+    if isinstance(kind, T.ArrayType):
+        return _is_document(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return isinstance(kind.keyType, T.StringType) and _is_document(kind.valueType)
+    return isinstance(kind, T.VariantType)
+
+
 def _tag_type(descriptor: str, kind: T.DataType) -> T.StructType:
     """Shape of ``{"<descriptor>": value}`` (or the null marker) for ``from_json``."""
     if descriptor == "BOOL":
@@ -41,19 +50,19 @@ def _tag_type(descriptor: str, kind: T.DataType) -> T.StructType:
         inner = T.ArrayType(T.StringType())
     elif isinstance(kind, T.StructType):
         inner = T.StructType([T.StructField(f.name, _tag_type(descriptor_of(f.dataType), f.dataType)) for f in kind])
+    elif _is_document(kind):
+        inner = T.VariantType()
     elif isinstance(kind, T.MapType):
         inner = T.MapType(T.StringType(), _tag_type(descriptor_of(kind.valueType), kind.valueType))
     elif isinstance(kind, T.ArrayType):
         inner = T.ArrayType(_tag_type(descriptor_of(kind.elementType), kind.elementType))
-    elif isinstance(kind, T.VariantType):
-        inner = T.VariantType()
     else:
         inner = T.StringType()
     fields = [] if descriptor == "NULL" else [T.StructField(descriptor, inner)]
     return T.StructType([*fields, T.StructField("NULL", T.BooleanType())])
 
 
-def _value(tag: Column, descriptor: str, kind: T.DataType, number_type: str, depth: int) -> Column:
+def _value(tag: Column, descriptor: str, kind: T.DataType, number_type: str, depth: int | None) -> Column:
     if descriptor == "NULL":
         return F.lit(None).cast(kind)
     raw = tag[descriptor]
@@ -76,18 +85,25 @@ def _value(tag: Column, descriptor: str, kind: T.DataType, number_type: str, dep
         return F.transform(F.array_distinct(raw), lambda x: F.try_to_binary(x, F.lit("base64")))
 
     def below(node: Column, inner: T.DataType) -> Column:
-        return _value(node, descriptor_of(inner), inner, number_type, depth)
+        # walks through whole documents do not go into lambda functions
+        return _value(node, descriptor_of(inner), inner, number_type, documents.DEFAULT_DEPTH if depth is None else depth)
 
     if isinstance(kind, T.StructType):
-        fields = F.struct(*[below(raw[f.name], f.dataType).alias(f.name) for f in kind])
+        fields = F.struct(*[_value(raw[f.name], descriptor_of(f.dataType), f.dataType, number_type, depth).alias(f.name) for f in kind])
         return F.when(raw.isNotNull(), fields)
+    if _is_document(kind):
+        # of undeclared shape: the members carry tags, the value itself is bare
+        wrapped = F.concat(F.lit('{"' + descriptor + '":'), F.to_json(raw), F.lit("}"))
+        if depth is None:
+            found = F.parse_json(walks.untag_text(wrapped))
+        else:
+            found = F.parse_json(documents.bound(F.parse_json(wrapped), lambda v: documents.untag_text(v, depth)))
+        return F.when(raw.isNotNull(), found if isinstance(kind, T.VariantType) else found.try_cast(kind))
     if isinstance(kind, T.MapType):
         return F.transform_values(raw, lambda _, v: below(v, kind.valueType))
     if isinstance(kind, T.ArrayType):
         return F.transform(raw, lambda v: below(v, kind.elementType))
-    # a document of undeclared shape: the members carry tags, the value itself is bare
-    wrapped = F.concat(F.lit('{"' + descriptor + '":'), F.to_json(raw), F.lit("}"))
-    return F.when(raw.isNotNull(), F.parse_json(documents.bound(F.parse_json(wrapped), lambda v: documents.untag_text(v, depth))))
+    raise ValidationError(f"{kind.simpleString()} cannot be read with descriptor {descriptor}")
 
 
 def decode_items(
@@ -95,7 +111,7 @@ def decode_items(
     col: str,
     schema: Mapping[str, FieldType],
     number_type: str = "double",
-    depth: int = documents.DEFAULT_DEPTH,
+    depth: int | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Typed columns of items in column ``col``.
@@ -103,7 +119,7 @@ def decode_items(
     ``_present`` names the attributes an item carries (a null marker counts), ``_errors`` those
     whose value does not fit the declared descriptor. ``keep`` columns pass through.
     """
-    documents.room_for(depth)
+    documents.room_for(depth or 0)
     declared = {name: _declared(kind) for name, kind in schema.items()}
     tags = T.StructType([T.StructField(n, _tag_type(d, k)) for n, (d, k) in declared.items()])
     parsed = df.select(
@@ -133,7 +149,7 @@ def decode_columns(df: DataFrame, schema: Mapping[str, FieldType], **options) ->
             descriptor, kind = _declared(schema[name])
             tag = F.from_json(quoted(name), _tag_type(descriptor, kind))
             value = _value(
-                tag, descriptor, kind, options.get("number_type", "double"), options.get("depth", documents.DEFAULT_DEPTH)
+                tag, descriptor, kind, options.get("number_type", "double"), options.get("depth")
             )
             out.append(value.alias(name))
         else:
@@ -144,11 +160,15 @@ def decode_columns(df: DataFrame, schema: Mapping[str, FieldType], **options) ->
 # -- encoding ---------------------------------------------------------------------------------
 
 
-def _tagged(col: Column, descriptor: str, kind: T.DataType, markers: bool, depth: int) -> Column:
+def _tagged(col: Column, descriptor: str, kind: T.DataType, markers: bool, depth: int | None) -> Column:
     """Struct or variant that ``to_json`` prints as the tagged value."""
     null_tag = F.when(col.isNull(), F.lit(True)).alias("NULL")
-    if isinstance(kind, T.VariantType):
-        text = F.parse_json(documents.bound(col, lambda v: documents.tag_text(v, depth)))
+    if _is_document(kind):
+        node = col if isinstance(kind, T.VariantType) else F.to_variant_object(col)
+        if depth is None:
+            text = F.coalesce(F.parse_json(walks.tag_text(F.to_json(node))), F.parse_json(F.lit('{"NULL":true}')))
+        else:
+            text = F.parse_json(documents.bound(node, lambda v: documents.tag_text(v, depth)))
         return text if markers else F.when(col.isNotNull(), text)
     if descriptor in SET_DESCRIPTORS:
         # an empty set is an absent attribute
@@ -171,7 +191,7 @@ def _set_texts(col: Column, descriptor: str, kind: T.DataType) -> Column:
     return F.array_compact(col)
 
 
-def _body(col: Column, descriptor: str, kind: T.DataType, depth: int) -> Column:
+def _body(col: Column, descriptor: str, kind: T.DataType, depth: int | None) -> Column:
     if descriptor == "N":
         return format_number(col, kind)
     if descriptor == "B":
@@ -184,12 +204,15 @@ def _body(col: Column, descriptor: str, kind: T.DataType, depth: int) -> Column:
     def below(node: Column, inner: T.DataType) -> Column:
         nested = descriptor_of(inner)
         # a list of scalars inside a document is a list: documents hold no sets
-        return _tagged(node, "L" if nested in SET_DESCRIPTORS else nested, inner, True, depth)
+        return _tagged(node, "L" if nested in SET_DESCRIPTORS else nested, inner, True, within)
 
+    within = depth
     if isinstance(kind, T.StructType):
         return F.when(
             col.isNotNull(), F.struct(*[below(col.getField(f.name), f.dataType).alias(f.name) for f in kind])
         )
+    # walks through whole documents do not go into lambda functions
+    within = documents.DEFAULT_DEPTH if depth is None else depth
     if isinstance(kind, T.MapType):
         return F.transform_values(col, lambda _, v: below(v, kind.valueType))
     if isinstance(kind, T.ArrayType):
@@ -202,7 +225,7 @@ def tagged_column(
     kind: T.DataType,
     descriptor: str | None = None,
     markers: bool = True,
-    depth: int = documents.DEFAULT_DEPTH,
+    depth: int | None = None,
 ) -> Column:
     return _tagged(col, descriptor or descriptor_of(kind), kind, markers, depth)
 
@@ -213,10 +236,10 @@ def item_json(
     descriptors: Mapping[str, str] | None = None,
     nulls: str = "marker",
     prefix: str = "",
-    depth: int = documents.DEFAULT_DEPTH,
+    depth: int | None = None,
 ) -> Column:
     """Tagged JSON text of the given columns (all by default), read under ``prefix`` + name."""
-    documents.room_for(depth)
+    documents.room_for(depth or 0)
     if nulls not in ("marker", "absent"):
         raise ValidationError("nulls is 'marker' or 'absent'")
     kinds = {f.name: f.dataType for f in df.schema.fields}
@@ -237,7 +260,7 @@ def encode_items(
     nulls: str = "marker",
     keep: Sequence[str] = (),
     output: str = "item",
-    depth: int = documents.DEFAULT_DEPTH,
+    depth: int | None = None,
 ) -> DataFrame:
     """One tagged JSON text per row, next to the ``keep`` columns.
 
@@ -255,15 +278,17 @@ def encode_items(
 # -- checks -----------------------------------------------------------------------------------
 
 
-def nested_set_attributes(col: Column, depth: int = documents.DEFAULT_DEPTH) -> Column:
+def nested_set_attributes(col: Column, depth: int | None = None) -> Column:
     """Names of attributes of an item text that hold a set inside a map or list."""
+    if depth is None:
+        return walks.nested_set_names(F.to_json(F.from_json(col, "map<string,variant>")))
     documents.room_for(depth)
     entries = F.map_entries(F.from_json(col, "map<string,variant>"))
     bad = F.filter(entries, lambda e: documents.has_nested_set(e["value"], depth))
     return F.transform(bad, lambda e: e["key"])
 
 
-def validate_nested_sets(df: DataFrame, col: str, depth: int = documents.DEFAULT_DEPTH) -> DataFrame:
+def validate_nested_sets(df: DataFrame, col: str, depth: int | None = None) -> DataFrame:
     """Rows whose item breaks the rule, with the attributes that do in ``bad_attributes``."""
     checked = df.withColumn("bad_attributes", nested_set_attributes(quoted(col), depth))
     return checked.where(F.size("bad_attributes") > 0)

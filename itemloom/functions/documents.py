@@ -1,9 +1,8 @@
-"""Nested documents as variants: tagging, untagging and checks, level by level.
+"""Nested documents as variants: tagging, untagging and checks.
 
-A document is walked by nested higher-order functions to a stated depth. Each level
-handles objects and lists in one step, so the expression grows linearly with the depth.
-A document nested deeper than that fails the query rather than losing its tail; the depth is a parameter
-and may be raised (deeper walks take longer to plan, not to run).
+Values of columns are walked whole, at any depth (``walks``). With a stated depth, and inside lambda functions, a document is walked
+level by level by nested higher-order functions: each level handles objects and lists in one step, so the expression grows linearly
+with the depth, and a document nested deeper than that fails the query rather than losing its tail.
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from . import walks
 from .types import SET_DESCRIPTORS
 from .values import decode_string, decoded_base64, format_number, parse_number, strict_json
 
@@ -150,16 +150,22 @@ def base64_text(node: Column, depth: int = DEFAULT_DEPTH) -> Column:
     return bound(_members(node), decoded)
 
 
-def decode_list(col: Column, depth: int = DEFAULT_DEPTH) -> Column:
+def decode_list(col: Column, depth: int | None = None) -> Column:
     """Elements of list JSON text, plain or tagged, as ``array<variant>``."""
-    room_for(depth)
-    plain = bound(F.try_parse_json(col), lambda node: untag_text(node, depth))
+    if depth is None:
+        plain = walks.untag_text(F.to_json(F.try_parse_json(col)))
+    else:
+        room_for(depth)
+        plain = bound(F.try_parse_json(col), lambda node: untag_text(node, depth))
     return F.parse_json(plain).try_cast(_ITEMS)
 
 
-def decode_map(col: Column, base64: bool = False, depth: int = DEFAULT_DEPTH) -> Column:
+def decode_map(col: Column, base64: bool = False, depth: int | None = None) -> Column:
     """Map JSON text as a variant; with ``base64``, padded base64 texts inside are decoded."""
-    room_for(depth)
+    if base64 and depth is None:
+        node = F.try_parse_json(col)
+        return F.when(F.schema_of_variant(node).startswith("OBJECT"), F.parse_json(walks.unpack_text(F.to_json(node))))
+    room_for(depth or 0)
 
     def decoded(node: Column) -> Column:
         parsed = F.parse_json(base64_text(node, depth)) if base64 else node

@@ -32,8 +32,8 @@ def cod2_deep(spark, sf):
     text = F.concat(F.repeat(F.lit('[{"k":'), F.lit(8)), F.col("event_id").cast("string"), F.repeat(F.lit("}]"), F.lit(8)))
     df = read(spark, sf, "events").select("event_id", F.parse_json(text).alias("doc"))
     path = scratch_dir(spark, "deep-items")
-    files.write_items_json(df, path, depth=16)
-    back = codec.decode_items(spark.read.text(path), "value", {"event_id": T.LongType(), "doc": "L"}, depth=16)
+    files.write_items_json(df, path)
+    back = codec.decode_items(spark.read.text(path), "value", {"event_id": T.LongType(), "doc": "L"})
     return back.select("event_id", F.to_json("doc").alias("doc"))
 
 

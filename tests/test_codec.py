@@ -2,9 +2,11 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from itemloom import ValidationError, decode_columns, decode_items, encode_items, read_row_types, validate_nested_sets
 from itemloom.functions import documents, values
+from itemloom.functions.codec import nested_set_attributes, tagged_column
 from itemloom.functions.tagged import untag
 from itemloom.functions.types import descriptor_of, spark_type, stored_type
 
@@ -183,3 +185,55 @@ def test_type_map():
     kinds = ["STRING(MAX)", "FLOAT64", "BOOL", "BYTES(MAX)", "ARRAY<STRING(MAX)>", "ARRAY<FLOAT64>", "ARRAY<BYTES(MAX)>", "JSON", "JSON", "STRING(MAX)"]
     assert [stored_type(d) for d in ["S", "N", "BOOL", "B", "SS", "NS", "BS", "L", "M", "??"]] == kinds
     assert all(descriptor_of(spark_type(d)) == d for d in ["S", "N", "BOOL", "B", "SS", "NS", "BS", "M"])
+
+
+# -- documents of any depth ---------------------------------------------------------------------
+
+
+def nest(levels):
+    text = "7"
+    for k in range(levels):
+        text = f'{{"k":{text},"n":null}}' if k % 2 else f"[{text},true]"
+    return text
+
+
+def test_depth_64_round_trip(spark):
+    texts = [nest(k) for k in (1, 8, 9, 64, 200)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(F.parse_json("t").alias("doc"))
+    items = encode_items(df)
+    back = decode_items(items, "item", {"doc": "L"}).select(F.to_json("doc").alias("doc"), "_errors").collect()
+    maps = decode_items(items, "item", {"doc": "M"}).select(F.to_json("doc").alias("doc")).collect()
+    assert [r["doc"] or m["doc"] for r, m in zip(back, maps, strict=True)] == texts
+    lists = [t if t.startswith("[") else f"[{t}]" for t in texts]
+    assert column(spark, lists, "string", lambda c: F.to_json(documents.decode_list(c))) == lists
+    assert column(spark, lists, "string", lambda c: F.to_json(F.try_parse_json(c))) == lists
+
+
+def test_nested_sets_at_any_depth(spark):
+    deep = '{"SS":["a"]}'
+    for _ in range(64):
+        deep = f'{{"M":{{"k":{{"L":[{{"N":"1"}},{deep}]}}}}}}'
+    items = [f'{{"fine":{{"SS":["x"]}},"bad":{deep}}}', '{"fine":{"L":[{"M":{"SS":{"S":"a"}}}]}}', "[]", None]
+    got = column(spark, items, "string", lambda c: F.array_join(nested_set_attributes(c), ","))
+    assert got[:2] == ["bad", ""] and got[3] is None
+
+
+def test_walks_agree_with_expressions(spark):
+    """Whole walks give what the expressions of a stated depth give."""
+    texts = [
+        '[{"S":"a"},{"N":"1.50"},{"N":".5"},{"N":"1e400"},{"N":"x"},{"N":7},{"S":5},{"BOOL":true},{"NULL":true},{"NULL":false}]',
+        '[{"B":"aGk="},{"M":{"S":{"S":"deep"},"M":{"M":{}}}},{"L":[{"L":[]},1,null]},{"M":5},{"x":{"S":"kept"}},{"S":null,"N":"3"}]',
+        '[1.0,0.1,-0.0,1e22,12345678.9,3000.0,123456789012345678901234567890,"q\\"uote\\n",true,null,{},[]]',
+        '[{"N":"12345678.5e0"},{"N":"+5"},{"N":"5."},{"N":"0.0001"},{"N":"00012"},{"S":{"a":[1]}},{"S":"\\u00e9 \\u0001"}]',
+        '{"S":"no list"}',
+        "not json",
+        None,
+    ]
+    whole = column(spark, texts, "string", lambda c: F.to_json(documents.decode_list(c)))
+    assert whole == column(spark, texts, "string", lambda c: F.to_json(documents.decode_list(c, depth=8)))
+    maps = ['{"a":"aGk=","b":["aGk","w7w=",{"c":"/w=="}],"n":1.50,"t":null}', "[]", None]
+    whole = column(spark, maps, "string", lambda c: F.to_json(documents.decode_map(c, base64=True)))
+    assert whole == column(spark, maps, "string", lambda c: F.to_json(documents.decode_map(c, base64=True, depth=8)))
+    docs = [t for t in texts[:4]]
+    tag = lambda depth: column(spark, docs, "string", lambda c: F.to_json(tagged_column(F.parse_json(c), T.VariantType(), depth=depth)))
+    assert tag(None) == tag(8)
