@@ -37,6 +37,25 @@ def written(df: DataFrame, label: str = "llm") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: the caller's columns, all of them, next to columns of an operator's own
+ROW = "_row"
+
+
+def carried(df: DataFrame, **own: Column) -> DataFrame:
+    """The rows as one struct, so that no column of theirs can clash with an operator's own ones, which are given."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias(ROW), *(c.alias(n) for n, c in own.items()))
+
+
+def field(name: str) -> Column:
+    """A column of carried rows."""
+    return F.col(ROW).getField(name)
+
+
+def restored(df: DataFrame, columns: Sequence[str], **changed: Column) -> DataFrame:
+    """Carried rows with their columns as they were, but for the changed ones."""
+    return df.select(*((changed[c] if c in changed else field(c)).alias(c) for c in columns))
+
+
 def without(df: DataFrame, names: Sequence[str]) -> list[str]:
     """The columns of ``df`` that clash with none of ``names`` (letter case does not count, as in Spark)."""
     taken = {n.lower() for n in names}

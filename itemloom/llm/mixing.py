@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import bin_sums, bins_for, running, text_of, written
+from .common import bin_sums, bins_for, carried, restored, running, text_of, written
 
 #: a word: what stands between blanks
 WORD = r"[^\x20\x09-\x0D]+"
@@ -47,6 +47,7 @@ class Mix:
     """A queue of documents and where the budget ends in it."""
 
     queue: DataFrame
+    lanes: Lanes
     most: int
     bins: int
     end_range: int
@@ -76,31 +77,45 @@ class Mix:
         return sum(taken[1:], taken[0])
 
 
-def queued(docs: DataFrame, weights: Sequence[int], most: int, id_: str, source: str, text: str, seed: str) -> tuple[DataFrame, int, int]:
-    """Each row with ``_words``, its source's ``_rank``, ``_source_size`` and ``_target``, and ``_sum``, the words of its source up to it.
+def sized(id_: Column, source: Column, text: Column, seed: str) -> dict[str, Column]:
+    """What a document queues by: ``_id``, ``_name`` of its source, ``_words``, and ``_key``, a digest of its id."""
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_.cast("string"), F.lit(""))))
+    return {"_id": id_, "_name": source.cast("string"), "_words": n_words(text), "_key": F.substring(key, 1, 16)}
 
-    Documents of a source queue in the order of a keyed digest of their id. The running sum goes over bins of that digest.
-    """
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(f"`{id_}`").cast("string"), F.lit(""))))
-    bins = bins_for(docs.count())
-    keyed = docs.withColumns(
-        {"_name": F.col(f"`{source}`").cast("string"), "_words": n_words(F.col(f"`{text}`")), "_key": F.substring(key, 1, 16)}
-    )
-    binned = keyed.withColumn("_bin", F.floor(F.conv(F.substring("_key", 1, 8), 16, 10).cast("long") * bins / 2**32))
-    sums = written(binned.groupBy(F.col("_name").alias("_source"), "_bin").agg(F.sum("_words").alias("_size")), "mix")
-    aims = targets(sums.groupBy("_source").agg(F.sum("_size").alias("_source_size")), weights, most)
-    ranked = sums.join(aims.select(F.col("_source").alias("_of"), "_rank"), F.col("_source").eqNullSafe(F.col("_of")))
-    queue = running(
-        binned.join(aims, F.col("_name").eqNullSafe(F.col("_source"))).drop("_name", "_source"),
-        bin_sums(ranked, ["_rank"], "_bin", F.col("_size")),
-        ["_rank"],
-        "_bin",
-        [F.col("_key"), F.col(f"`{id_}`"), F.col("_words")],
-        F.col("_words"),
-        "_sum",
-    )
-    budget = sums.agg(F.coalesce(F.sum("_size"), F.lit(0))).first()[0]
-    return queue.drop("_bin", "_key"), bins, budget
+
+@dataclass
+class Lanes:
+    """Sizes of all sources and of the bins of their queues, from which running sums go over any rows of the same documents."""
+
+    bins: int
+    #: per source: ``_source``, ``_rank``, ``_source_size``, ``_target``
+    aims: DataFrame
+    #: per rank and bin: words in it and before it
+    sums: DataFrame
+    budget: int
+
+    def bin_of(self) -> Column:
+        return F.floor(F.conv(F.substring("_key", 1, 8), 16, 10).cast("long") * self.bins / 2**32)
+
+    def queued(self, rows: DataFrame) -> DataFrame:
+        """Rows with ``sized`` columns, and ``_rank``, ``_source_size``, ``_target``, and ``_sum``, the words of the source up to the row.
+
+        Documents of a source queue in the order of a keyed digest of their id. The running sum goes over bins of that digest.
+        """
+        ranked = rows.withColumn("_bin", self.bin_of()).join(self.aims, F.col("_name").eqNullSafe(F.col("_source"))).drop("_name", "_source")
+        order = [F.col("_key"), F.col("_id"), F.col("_words")]
+        return running(ranked, self.sums, ["_rank"], "_bin", order, F.col("_words"), "_sum").drop("_bin", "_key")
+
+
+def lanes(sizes: DataFrame, weights: Sequence[int], most: int) -> Lanes:
+    """Lanes of documents with their ``sized`` columns."""
+    found = Lanes(bins_for(sizes.count()), sizes, sizes, 0)
+    sums = written(sizes.groupBy(F.col("_name").alias("_source"), found.bin_of().alias("_bin")).agg(F.sum("_words").alias("_size")), "mix")
+    found.aims = targets(sums.groupBy("_source").agg(F.sum("_size").alias("_source_size")), weights, most)
+    ranked = sums.join(found.aims.select(F.col("_source").alias("_of"), "_rank"), F.col("_source").eqNullSafe(F.col("_of")))
+    found.sums = bin_sums(ranked, ["_rank"], "_bin", F.col("_size"))
+    found.budget = sums.agg(F.coalesce(F.sum("_size"), F.lit(0))).first()[0]
+    return found
 
 
 def mix(
@@ -119,10 +134,13 @@ def mix(
     Null and empty texts have no words and are never taken. A null source is a source of its own; repeated rows queue one by one and
     take turns by id and size, so reruns agree. An empty table gives an empty mix.
     """
-    narrow = docs.select(id_, source, text)
-    queue, bins, budget = queued(narrow, weights, most, id_, source, text, seed)
+    # texts are read once: what a document queues by is written
+    own = sized(F.col(f"`{id_}`"), F.col(f"`{source}`"), F.col(f"`{text}`"), seed)
+    sizes = written(docs.select(*(c.alias(n) for n, c in own.items())), "mix")
+    lane = lanes(sizes, weights, most)
+    queue, bins, budget = lane.queued(sizes), lane.bins, lane.budget
     light = written(queue.where("_words > 0").select("_words", "_rank", "_source_size", "_target", "_sum"), "mix")
-    found = Mix(queue, most, bins, -1, -1.0, -1)
+    found = Mix(queue, lane, most, bins, -1, -1.0, -1)
     each = light.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.lit(most - 1))))
     ranged = each.withColumn("_finish", found.finish(F.col("_epoch"))).withColumn("_range", found.range_of(F.col("_finish")))
     sums = bin_sums(ranged.withColumn("_mix", F.lit(0)), ["_mix"], "_range", F.col("_words"))
@@ -142,7 +160,7 @@ def taken_words(docs: DataFrame, id_: str = "doc_id", **how) -> DataFrame:
     """Per document: its id, ``size``, ``source_size``, ``target`` of its source, and ``taken``, the words the mix takes of it."""
     found = mix(docs, id_=id_, **how)
     return found.queue.select(
-        F.col(f"`{id_}`"),
+        F.col("_id").alias(id_),
         F.col("_words").alias("size"),
         F.col("_source_size").alias("source_size"),
         F.col("_target").alias("target"),
@@ -151,11 +169,15 @@ def taken_words(docs: DataFrame, id_: str = "doc_id", **how) -> DataFrame:
 
 
 def mixed(docs: DataFrame, id_: str = "doc_id", source: str = "source", text: str = "text", ordered: bool = False, **how) -> DataFrame:
-    """The rows of ``docs`` as the mix takes them, each once per copy; ``ordered`` sorts them by finish time over all partitions."""
+    """The rows of ``docs`` as the mix takes them, each once per copy; ``ordered`` sorts them by finish time over all partitions.
+
+    Rows keep their columns, whatever they are called. Rows without words (null, empty and blank texts) are never taken, a null source
+    is a source of its own, long texts count whole; rows of one id and size take turns, repeated rows too. An empty table gives no rows.
+    """
     plan = mix(docs, id_=id_, source=source, text=text, **how)
-    weights, seed = how.get("weights", (5, 2, 1)), how.get("seed", "mix")
-    plan.queue, _, _ = queued(docs, weights, plan.most, id_, source, text, seed)
-    each = plan.queue.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.lit(plan.most - 1)))).where(plan.taken(F.col("_epoch")))
+    own = sized(F.col(f"`{id_}`"), F.col(f"`{source}`"), F.col(f"`{text}`"), how.get("seed", "mix"))
+    queue = plan.lanes.queued(carried(docs, **own))
+    each = queue.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.lit(plan.most - 1)))).where(plan.taken(F.col("_epoch")))
     if ordered:
         each = each.withColumn("_finish", plan.finish(F.col("_epoch"))).orderBy("_finish", "_rank")
-    return each.select(*(f"`{c}`" for c in docs.columns))
+    return restored(each, docs.columns)

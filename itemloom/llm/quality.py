@@ -134,10 +134,17 @@ def judged(
 
 
 def kept_only(docs: DataFrame, model: Forest, text: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their own columns and in one pass."""
+    """The rows of ``docs`` that are kept, with their own columns and in one pass.
+
+    Null, empty and short texts are rejected, repeated rows are each judged, long texts whole; an empty table gives no rows. The columns
+    of ``docs`` come back as they are, whatever they are called.
+    """
     least, most, threshold = how.get("least_words", 50), how.get("most_repeated", 0.5), how.get("threshold", 0.5)
     judge = _judge(model, least, most, threshold)
-    return batchwise(docs, [text], "`_kept_` boolean", lambda: lambda texts: [judge(texts)[-1]], only="_kept_")
+    mark = "_kept_"
+    while mark.lower() in {c.lower() for c in docs.columns}:
+        mark += "_"
+    return batchwise(docs, [text], f"`{mark}` boolean", lambda: lambda texts: [judge(texts)[-1]], only=mark)
 
 
 def _judge(model: Forest, least_words: int, most_repeated: float, threshold: float):

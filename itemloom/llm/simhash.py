@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batchwise, written
+from .common import batchwise, carried, restored, written
 from .components import components
 
 #: shingles whose bits are counted at once
@@ -23,25 +23,38 @@ CHUNK = 65_536
 SMALL = 16
 
 
-def fingerprint(text: str, shingle: int = 4, seed: int = 42) -> int:
-    """Bit by bit, whether more than half of the shingles' XXH64 values have it; no words give 0."""
+def shingle_hashes(text: str, shingle: int = 4, seed: int = 42) -> np.ndarray:
+    """XXH64 of all shingles in order, repeats included; none without words."""
     from xxhash import xxh64_intdigest
 
     words = text.encode().lower().split()  # bytes lower only A to Z and split at space and 9 to 13
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = [0, *(ends[:-1] + 1).tolist()]
     ends = ends.tolist()
     last = max(len(words) - shingle + 1, 1)
-    ones = np.zeros(64, np.int64)
+    out = np.empty(last, np.uint64)
     for at in range(0, last, CHUNK):
         to = min(at + CHUNK, last)
         pairs = zip(starts[at:to], ends[at + shingle - 1 : to + shingle - 1] or ends[-1:], strict=True)
-        hashes = np.array([xxh64_intdigest(joined[a:b], seed) for a, b in pairs], "<u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > last, bitorder="little").view("<u8")[0])
+        out[at:to] = [xxh64_intdigest(joined[a:b], seed) for a, b in pairs]
+    return out
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """Bit by bit, whether more than half of the hashes have it; no hashes give 0."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), CHUNK):
+        part = hashes[at : at + CHUNK].astype("<u8")
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def fingerprint(text: str, shingle: int = 4, seed: int = 42) -> int:
+    """Bit by bit, whether more than half of the shingles' XXH64 values have it; no words give 0."""
+    return fingerprint_of(shingle_hashes(text, shingle, seed))
 
 
 def fingerprints(docs: DataFrame, text: str = "text", keep: Sequence[str] | None = None, shingle: int = 4, seed: int = 42) -> DataFrame:
@@ -177,14 +190,30 @@ def grouped(docs: DataFrame, id_: str = "doc_id", text: str = "text", bits: int
     return found.select(f"`{id_}`", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def deduplicated(docs: DataFrame, id_: str = "doc_id", text: str = "text", bits: int = 4, shingle: int = 4, seed: int = 42) -> DataFrame:
-    """One row of ``docs`` for each component: the one with the smallest id, of several such rows one."""
-    found = _grouped(docs, id_, text, bits, shingle, seed)
-    first = F.min(F.struct(F.col(f"`{id_}`").isNull().alias("none"), F.col(f"`{id_}`").alias("id"), F.col("_t").alias("t"))).alias("m")
+def one_of_each(docs: DataFrame, found: DataFrame, id_: str, text: str) -> DataFrame:
+    """One row of ``docs`` for each root: the one with the smallest id, then the least digest of its text; of such rows one.
+
+    ``found`` has ``_id``, ``_t`` (the digest) and ``_root`` of every row.
+    """
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_t").alias("t"))).alias("m")
     kept = written(found.groupBy("_root").agg(first).select(F.col("m.id").alias("_kept"), F.col("m.t").alias("_kept_t")), "kept")
-    same = F.col(f"`{id_}`").eqNullSafe(F.col("_kept")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_kept_t"))
-    rows = docs.join(kept, same, "left_semi")
-    ids = found.groupBy(F.col(f"`{id_}`"), "_t").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    if ids.join(kept, F.col(f"`{id_}`").eqNullSafe(F.col("_kept")) & (F.col("_t") == F.col("_kept_t")), "left_semi").isEmpty():
-        return rows
-    return rows.withColumn("_t", F.xxhash64(F.col(f"`{text}`"))).dropDuplicates([id_, "_t"]).drop("_t")
+    same = F.col("_id").eqNullSafe(F.col("_kept")) & (F.col("_t") == F.col("_kept_t"))
+    rows = carried(docs, _id=F.col(f"`{id_}`"), _t=text_digest(F.col(f"`{text}`"))).join(kept, same, "left_semi")
+    twice = found.groupBy("_id", "_t").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not twice.join(kept, same, "left_semi").isEmpty():
+        rows = rows.dropDuplicates(["_id", "_t"])
+    return restored(rows, docs.columns)
+
+
+def text_digest(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
+def deduplicated(docs: DataFrame, id_: str = "doc_id", text: str = "text", bits: int = 4, shingle: int = 4, seed: int = 42) -> DataFrame:
+    """One row of ``docs`` for each component: the one with the smallest id, of several such rows one.
+
+    Texts without words (null, empty, blank) are one component, a null id is the last to be kept, copies and repeated rows are one, long
+    texts count whole. Rows keep their columns, whatever they are called; an empty table gives no rows.
+    """
+    found = _grouped(docs, id_, text, bits, shingle, seed).select(F.col(f"`{id_}`").alias("_id"), "_t", "_root")
+    return one_of_each(docs, found, id_, text)

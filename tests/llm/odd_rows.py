@@ -21,4 +21,5 @@ def clashing(docs):
     from pyspark.sql import functions as F
 
     names = "Score kept n_words SIZE _fp _id _text spans n_tokens licenses shard _bin_x features _label _source_x".split()
+    names += "_words _sum _epoch _rank _target _source _source_size _key _name _bin _within _k1 _m1 _spans _kept _kept_t _t _kept_ _row _root _one".split()
     return docs.withColumns({n: F.lit("extra") for n in names})
