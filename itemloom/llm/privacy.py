@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import carried, field, restored, text_of, written
 
 
 @dataclass(frozen=True)
@@ -74,8 +74,10 @@ KINDS = (
 TERM = r"[\p{L}\p{M}]{3,}"
 TERM_KIND = "term"
 NAMES = [*(k.name for k in KINDS), TERM_KIND]
-#: matches whose places are added up together
-BLOCK = 128
+#: matches whose places are added up together, and code points that are rewritten together
+BLOCK, CHUNK = 64, 2048
+#: rounds that Catalyst may take to resolve a query
+ROUNDS = 400
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -136,16 +138,53 @@ def base_spans(text: Column) -> Column:
 SPANS = "array<struct<start:bigint,kind:int,end:bigint,value:string>>"
 
 
-def blanked(text: Column, spans: Column) -> Column:
-    """The text with blanks in place of its spans, so that all other places stay."""
+def chunked(text: Column) -> Column:
+    """The text in pieces of ``CHUNK`` code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+
+def in_blocks(spans: Column) -> Column:
+    """Sorted spans in blocks of ``BLOCK``."""
+    starts = F.when(F.size(spans) > 0, F.sequence(F.lit(1), F.size(spans), F.lit(BLOCK))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda at: F.slice(spans, at, BLOCK))
+
+
+def rewritten(text: Column, spans: Column, shown: Callable[..., Column]) -> Column:
+    """The text with sorted spans replaced, in time that grows with the text.
+
+    It is rewritten piece by piece, and a piece looks at the blocks of spans that reach it. ``shown`` gives what stands for the part of
+    a span in a piece that no span before has covered: of the piece, the span, the part's start and end in the piece, and whether the
+    span starts there. Of a covered part nothing stands.
+    """
+
+    def bounded(b: Column) -> Column:
+        most = F.array_max(F.transform(b, lambda s: s["end"]))
+        return F.struct(b[0]["start"].alias("low"), most.alias("high"), b.alias("spans"))
+
+    def piece(chunk: Column, number: Column, blocks: Column) -> Column:
+        low, size = number.cast("bigint") * CHUNK, F.length(chunk).cast("bigint")
+        near = F.filter(blocks, lambda b: (b["low"] < low + size) & (b["high"] > low))
+        own = F.filter(F.flatten(F.transform(near, lambda b: b["spans"])), lambda s: (s["start"] < low + size) & (s["end"] > low))
+
+        def step(acc: Column, s: Column) -> Column:
+            start, end = F.greatest(s["start"] - low, acc["at"]), F.least(s["end"] - low, size)
+            between = F.substr(chunk, (acc["at"] + 1).cast("int"), (start - acc["at"]).cast("int"))
+            part = F.when(end > start, F.concat(between, shown(chunk, s, start, end, s["start"] - low >= acc["at"]))).otherwise("")
+            return F.struct(F.greatest(acc["at"], end).alias("at"), F.concat(acc["out"], part).alias("out"))
 
-    def step(acc: Column, s: Column) -> Column:
-        between = F.substr(text, (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
-        blanks = F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(s["start"], acc["at"]), F.lit(0)).cast("int"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], between, blanks).alias("out"))
+        begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+        done = lambda acc: F.concat(acc["out"], F.substr(chunk, (acc["at"] + 1).cast("int")))
+        return F.when(F.size(near) > 0, F.aggregate(own, begin, step, done)).otherwise(chunk)
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    return F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int"))))
+    def whole(blocks: Column) -> Column:
+        return F.array_join(F.transform(chunked(text), lambda chunk, number: piece(chunk, number, blocks)), "")
+
+    return F.when(F.size(spans) > 0, _let(F.transform(in_blocks(spans), bounded), whole)).otherwise(text)
+
+
+def blanked(text: Column, spans: Column) -> Column:
+    """The text with blanks in place of its spans, so that all other places stay."""
+    return rewritten(text, spans, lambda chunk, s, start, end, first: F.repeat(F.lit(" "), (end - start).cast("int")))
 
 
 def _terms(text: Column, spans: Column) -> Column:
@@ -203,8 +242,16 @@ def _joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, named))
 
 
+def _room(docs: DataFrame) -> None:
+    """Lets Catalyst resolve functions inside of functions to the depth that they have here: each level takes it a few rounds."""
+    conf, setting = docs.sparkSession.conf, "spark.sql.analyzer.maxIterations"
+    if int(conf.get(setting, "100")) < ROUNDS:
+        conf.set(setting, str(ROUNDS))
+
+
 def spans_found(docs: DataFrame, id_: str = "doc_id", text: str = "text", residual: float = 1.0, support: int = 2) -> DataFrame:
     """Narrow and written: ``_k1, _k2`` of id and text, ``id_``, and ``base`` and ``terms``, sorted arrays of spans."""
+    _room(docs)
     own = docs.select(F.col(f"`{id_}`"), text_of(F.col(f"`{text}`")).alias("_text"))
     keyed = own.select(f"`{id_}`", *text_key(F.col(f"`{id_}`"), F.col("_text")), "_text", base_spans(F.col("_text")).alias("_spans"))
     base = F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
@@ -239,32 +286,28 @@ def masked(text: Column, spans: Column) -> Column:
     Of overlapping spans the first names the whole.
     """
 
-    def step(acc: Column, s: Column) -> Column:
-        value = F.substr(text, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
-        general = F.when(F.rlike(value, F.lit(r"\A\p{Lu}")), F.lit("[NAME]")).otherwise(F.lit(""))
+    def shown(chunk: Column, s: Column, start: Column, end: Column, first: Column) -> Column:
+        initial = F.substr(chunk, (start + 1).cast("int"), F.lit(1))
+        general = F.when(F.rlike(initial, F.lit(r"\A\p{Lu}")), F.lit("[NAME]")).otherwise(F.lit(""))
         names = F.array(*(F.lit(f"[{k.name.upper()}]") for k in KINDS))
-        shown = F.when(s["kind"] < len(KINDS), F.get(names, s["kind"])).otherwise(general)
-        between = F.substr(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        apart = s["start"] >= acc["at"]
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(apart, F.concat(acc["out"], between, shown)).otherwise(acc["out"]).alias("out"),
-        )
+        # a span is named where it starts, unless one before covers that
+        return F.when(~first, F.lit("")).when(s["kind"] < len(KINDS), F.get(names, s["kind"])).otherwise(general)
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    rest = lambda acc: F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int")))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
+    return rewritten(text, spans, shown)
 
 
 def sanitised(docs: DataFrame, id_: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """``docs`` with its own columns, the text without what ``found`` reports. Rows keep their number; a null text stays null."""
+    """``docs`` with its own columns, the text without what ``found`` reports. Rows keep their number; a null text stays null.
+
+    Empty texts stay empty, rows of one id and text come out alike, long texts are read whole, an empty table gives no rows. Columns
+    keep their values, whatever they are called.
+    """
     seen = spans_found(docs, id_, text, **how)
     spans = F.when(F.col("terms").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "terms")))
     # rows of one key have one text, so any of their spans will do; rows without spans need no partner
     marked = seen.select(F.col("_k1").alias("_m1"), F.col("_k2").alias("_m2"), spans.alias("_spans")).where(F.size("_spans") > 0)
     marked = marked.groupBy("_m1", "_m2").agg(F.first("_spans").alias("_spans"))
-    keys = text_key(F.col(f"`{id_}`"), text_of(F.col(f"`{text}`")))
-    joined = docs.select(*(F.col(f"`{c}`") for c in docs.columns), *keys)
-    joined = joined.join(marked, (F.col("_k1") == F.col("_m1")) & (F.col("_k2") == F.col("_m2")), "left")
-    clean = F.when(F.col("_spans").isNull(), F.col(f"`{text}`")).otherwise(masked(F.col(f"`{text}`"), F.col("_spans")))
-    return joined.select(*(clean.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns))
+    first, second = text_key(F.col(f"`{id_}`"), text_of(F.col(f"`{text}`")))
+    joined = carried(docs, _k1=first, _k2=second).join(marked, (F.col("_k1") == F.col("_m1")) & (F.col("_k2") == F.col("_m2")), "left")
+    clean = F.when(F.col("_spans").isNull(), field(text)).otherwise(masked(field(text), F.col("_spans")))
+    return restored(joined, docs.columns, **{text: clean})
