@@ -4,20 +4,22 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batchwise
+from .common import batchwise, written
 
 SHAPES, META = 1024, 256
 #: content statistics, each in so many steps
 STEPS = 12
-#: labelled documents, and unlabelled ones of the pool, that models are fitted on at most
-FIT_ROWS, POOL_ROWS = 4_000, 4_000
+#: labelled documents that models are fitted on at most, and pseudo-labelled ones that a view takes of either kind in a round
+FIT_ROWS, TAUGHT = 4_000, 500
+#: steps of the histogram of scores from which the surest share is read
+BINS = 4_096
 #: what a byte counts as in a text's shape: a kind of letter, a digit, a blank, or itself
 _CLASS = np.arange(256, dtype=np.int64)
 _CLASS[65:91], _CLASS[97:123], _CLASS[128:], _CLASS[48:58], _CLASS[9:14] = 65, 97, 97, 48, 32
@@ -103,41 +105,47 @@ def calibrated(line: Line, x: np.ndarray, y: np.ndarray) -> Line:
     return line
 
 
-def teach(
-    text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_meta: np.ndarray, rounds: int = 4, share: float = 0.05, sure: float = 0.9
-) -> Views:
+#: what one view hands to the other: ids, rows of the text's and of the page's view, and labels
+Taught = tuple[list, np.ndarray, np.ndarray, np.ndarray]
+
+
+def teach(text: np.ndarray, meta: np.ndarray, y: np.ndarray, surest: Callable[[Line, Line], tuple[Taught, Taught]] | None, rounds: int = 4) -> Views:
     """Two classifiers that exchange pseudo-labels.
 
-    In each round every view labels the pool; the ``share`` it is most sure of in either direction, if it is ``sure`` of them, goes to the
-    other view with that label, and both are fitted again. A fifth of the labelled rows is kept aside for the calibration of both views
-    and for the weights with which they are put together.
+    In each round ``surest`` gives the unlabelled documents that each of the two calibrated views is most sure of, with its label; they
+    go to the other view, which keeps the first label it was given for a document, and both are fitted again. A fifth of the labelled
+    rows is kept aside for the calibration of both views and for the weights with which they are put together.
     """
     aside = np.arange(len(y)) % 5 == 0
-    views = [(text, pool_text), (meta, pool_meta)]
-    given: list[dict[int, float]] = [{}, {}]
+    own = (text, meta)
+    given: list[dict] = [{}, {}]
     lines: list[Line | None] = [None, None]
     for turn in range(rounds + 1):
-        for k, (x, pool) in enumerate(views):
-            own = sorted(given[k])
-            lines[k] = logistic(np.concatenate([x[~aside], pool[own]]), np.r_[y[~aside], [given[k][i] for i in own]], start=lines[k])
-        if turn == rounds or not len(pool_text):
+        for k, x in enumerate(own):
+            more = [given[k][i] for i in sorted(given[k])]
+            rows = np.stack([r for r, _ in more]) if more else x[:0]
+            lines[k] = logistic(np.concatenate([x[~aside], rows]), np.r_[y[~aside], [label for _, label in more]], start=lines[k])
+        if turn == rounds or surest is None:
             break
-        for k, (x, pool) in enumerate(views):
-            p = sigmoid(calibrated(Line(lines[k].weights, lines[k].bias), x[aside], y[aside]).margin(pool))
-            most = max(1, int(share * len(p)))
-            order = np.argsort(p, kind="stable")
-            for i in order[::-1][:most].tolist():
-                if p[i] >= sure:
-                    given[1 - k].setdefault(i, 1.0)
-            for i in order[:most].tolist():
-                if p[i] <= 1 - sure:
-                    given[1 - k].setdefault(i, 0.0)
-    a, b = (calibrated(line, x[aside], y[aside]) for line, (x, _) in zip(lines, views, strict=True))
+        views = [calibrated(Line(line.weights, line.bias), x[aside], y[aside]) for line, x in zip(lines, own, strict=True)]
+        for k, (ids, *rows, labels) in enumerate(surest(*views)):
+            for i, row, label in zip(ids, rows[1 - k], labels.tolist(), strict=True):
+                given[1 - k].setdefault(i, (row, label))
+    a, b = (calibrated(line, x[aside], y[aside]) for line, x in zip(lines, own, strict=True))
     both = logistic(np.stack([a.margin(text[aside]), b.margin(meta[aside])], axis=1), y[aside], ridge=1e-3)
     both.weights = np.maximum(both.weights, 0)  # a view may count for nothing, but never against itself
     return Views(a, b, both)
 
 
+def cuts(counts: np.ndarray, share: float, sure: float) -> tuple[int, int]:
+    """From a histogram of scores: the bin from which on a document is among the surest ``share``, and the one up to which it is among the
+    least sure; never below ``sure`` or above the rest of it."""
+    most = max(1, int(share * counts.sum()))
+    high = int(np.searchsorted(-np.cumsum(counts[::-1])[::-1], -most, side="right")) - 1
+    low = int(np.searchsorted(np.cumsum(counts), most))
+    return max(high, int(np.ceil(sure * BINS))), min(low, int(np.floor((1 - sure) * BINS)) - 1)
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -148,30 +156,65 @@ def fit(
     size: str = "n_chars",
     label: str = "quality",
     rows: int = FIT_ROWS,
-    pool: int = POOL_ROWS,
+    share: float = 0.05,
+    sure: float = 0.9,
+    taught: int = TAUGHT,
     **how,
 ) -> Views:
-    """Views fitted on at most ``rows`` labelled documents and a pool of at most ``pool`` others, those whose id hashes lowest.
+    """Views fitted on at most ``rows`` labelled documents, those whose id hashes lowest, and taught by all others.
 
-    Rows without an id do not count; of several labels or documents of one id the smallest counts. Without labels of both kinds all
-    documents get the same score.
+    In every round both views score every document without a label, wherever it is stored; the surest ``share`` in either direction
+    follows from a histogram of all scores. Only the rows that are handed on are bounded: ``taught`` of either kind a view and round,
+    the surest first. Rows without an id do not count; of several labels or documents of one id the smallest counts. Without labels of
+    both kinds all documents get the same score.
     """
     own = docs.where(F.col(id_).isNotNull())
     known = labels.where(F.col(label).isNotNull() & F.col(id_).isNotNull())
     known = known.groupBy(F.col(id_).alias("_id")).agg(F.min(F.col(label).cast("int")).alias("_label"))
     sample = known.orderBy(F.xxhash64("_id"), "_id").limit(rows)
-    free = own.select(F.col(id_).alias("_id")).distinct().join(known, "_id", "left_anti").orderBy(F.xxhash64("_id"), "_id").limit(pool)
-    chosen = F.broadcast(sample.unionByName(free.withColumn("_label", F.lit(None).cast("int"))))
     fields = {"_doc": id_, "_text": text, "_source": source, "_lang": lang, "_size": size}
-    joined = own.select(*(F.col(f"`{c}`").alias(n) for n, c in fields.items())).join(chosen, F.col("_doc") == F.col("_id"))
+    whole = own.select(*(F.col(f"`{c}`").alias(n) for n, c in fields.items()))
+    a, b, found = _features(whole.join(F.broadcast(sample), F.col("_doc") == F.col("_id")))
+    y = np.array(found.column("_label").to_pylist(), float)
+    free = whole.join(known.select("_id"), F.col("_doc") == F.col("_id"), "left_anti")
+
+    def surest(first: Line, second: Line) -> tuple[Taught, Taught]:
+        scores = written(_scores(free, first, second), "cotraining")
+        parts = []
+        for name in ("_p", "_q"):
+            place = F.least(F.floor(F.col(name) * BINS), F.lit(BINS - 1)).cast("int")
+            counts = np.zeros(BINS, np.int64)
+            for r in scores.groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect():
+                counts[r["bin"]] = r["n"]
+            high, low = cuts(counts, share, sure)
+            keyed = scores.select(F.col("_doc").alias("_id"), F.col(name).alias("_score"))
+            good = keyed.where(place >= high).orderBy(F.desc("_score"), F.xxhash64("_id"), "_id").limit(taught)
+            bad = keyed.where(place <= low).orderBy("_score", F.xxhash64("_id"), "_id").limit(taught)
+            chosen = good.select("_id", F.lit(1).alias("_label")).unionByName(bad.select("_id", F.lit(0).alias("_label")))
+            x, z, got = _features(whole.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")))
+            parts.append((got.column("_id").to_pylist(), x, z, np.array(got.column("_label").to_pylist(), float)))
+        return parts[0], parts[1]
+
+    return teach(a, b, y, surest if len(y) and y.min() != y.max() else None, **how)
+
+
+def _features(joined: DataFrame):
+    """Rows of both views and the table of ``_id, _label``, by id; of several documents of one id the least counts."""
     seen = both_views(joined, "_text", "_source", "_lang", "_size", ["_id", "_label"])
     one = seen.groupBy("_id").agg(F.min(F.struct("_label", "_content", "_meta")).alias("_one")).select("_id", "_one.*")
     got = one.toArrow().sort_by("_id")
-    y = np.array([np.nan if v is None else v for v in got.column("_label").to_pylist()], float)
-    a = _matrix(got.column("_content"), SHAPES + 3 * STEPS)
-    b = _matrix(got.column("_meta"), META)
-    has = ~np.isnan(y)
-    return teach(a[has], b[has], y[has], a[~has], b[~has], **how)
+    return _matrix(got.column("_content"), SHAPES + 3 * STEPS), _matrix(got.column("_meta"), META), got
+
+
+def _scores(df: DataFrame, first: Line, second: Line) -> DataFrame:
+    """``_p`` and ``_q``: what the two views think of every document."""
+
+    def run(texts, sources, langs, sizes):
+        p = sigmoid(first.margin(np.stack([content(t or "") for t in texts]))).astype(float)
+        q = sigmoid(second.margin(np.stack([metadata(*m) for m in zip(sources, langs, sizes, strict=True)]))).astype(float)
+        return [p, q]
+
+    return batchwise(df, ["_text", "_source", "_lang", "_size"], "`_p` double, `_q` double", lambda: run, ["_doc"])
 
 
 def _matrix(column, width: int) -> np.ndarray:
