@@ -1,4 +1,9 @@
-"""License notices: windows of a template's length are compressed with it as a dictionary, and winners are confirmed word by word."""
+"""License notices by conditional compression.
+
+Every notice holds a cue, and so does its template. Around a cue in a text, the windows of a template's length in which one of the
+template's cues falls on it are compressed with the template as a raw dictionary. The sizes this saves rank all templates and windows;
+from the largest on they are compared word by word, and the first one whose differences are allowed is found there.
+"""
 
 from __future__ import annotations
 
@@ -94,20 +99,18 @@ class Template:
     raw: bytes
     #: words that may be missing, and words that may be extra
     most: int
-    #: pieces of the words with their places, one of which is whole wherever the template is confirmed
-    seeds: tuple[tuple[int, str], ...]
+    #: places of the words in which a cue begins
+    cues: tuple[int, ...]
 
 
 def templates(table: dict[str, Sequence[str]] = TEMPLATES, slack: float = 0.1) -> list[Template]:
     out = []
     for name, texts in table.items():
         for text in texts:
-            words = tuple(TOKEN.findall(text.lower()))
-            most = int(slack * len(words))
-            # a missing or an extra word spoils one piece, so of more pieces than such words one stays whole
-            edges = [len(words) * i // (2 * most + 1) for i in range(2 * most + 2)]
-            seeds = tuple((a, f" {' '.join(words[a:b])} ") for a, b in zip(edges, edges[1:], strict=False) if a < b)
-            out.append(Template(name, words, " ".join(words).encode(), most, seeds))
+            tokens = list(TOKEN.finditer(text.lower()))
+            words = tuple(t.group() for t in tokens)
+            cues = {sum(t.end() <= cue.start() for t in tokens) for cue in CUE.finditer(text.lower())}
+            out.append(Template(name, words, " ".join(words).encode(), int(slack * len(words)), tuple(sorted(cues))))
     return out
 
 
@@ -139,46 +142,41 @@ class Scanner:
         missing = [w for i, w in enumerate(template.words) if i not in theirs]
         return first, last, missing, extra
 
-    def windows(self, words: Sequence[str], template: Template) -> list[int]:
-        """Where the template would start by each of its pieces that the words have."""
-        joined = f" {' '.join(words)} "
-        found = set()
-        for offset, seed in template.seeds:
-            at = joined.find(seed)
-            while at >= 0:
-                found.add(joined.count(" ", 0, at) - offset)
-                at = joined.find(seed, at + 1)
-        return sorted(found)
-
-    def reduction(self, at: int, words: Sequence[str]) -> float:
+    def saved(self, at: int, words: Sequence[str]) -> tuple[int, float]:
+        """Bytes that a template saves as a dictionary, and their share."""
         part = " ".join(words).encode()
-        return 1 - len(self.given[at].compress(part)) / len(self.plain.compress(part))
-
-    def best(self, words: Sequence[str]) -> tuple | None:
-        """The confirmed winner for a block's words: template, reduction, first and last word, and what differs.
+        plain = len(self.plain.compress(part))
+        saved = plain - len(self.given[at].compress(part))
+        return saved, saved / plain
 
-        A block may hold several notices: the earliest comes first, and of those at one place the longest.
-        """
-        found, least = None, None
+    def ranked(self, words: Sequence[str], cue: int) -> list[tuple[int, int, int]]:
+        """Windows that a template saves at least ``ratio`` of, by what it saves, most first: ``-bytes``, template and first word."""
+        out = []
         for at, template in enumerate(self.templates):
-            for start in self.windows(words, template):
-                low = max(0, start - template.most)
-                differs = self.differences(words[low : start + len(template.words) + template.most], template)
-                if not differs or not self.confirmed(template, *differs[2:]):
-                    continue
+            for place in template.cues:
+                start = max(0, cue - place)
+                saved, share = self.saved(at, words[start : start + len(template.words)])
+                if share >= self.ratio:
+                    out.append((-saved, at, start))
+        return sorted(out)
+
+    def best(self, words: Sequence[str], cue: int) -> tuple | None:
+        """The confirmed winner around a cue (the place of its word): template, reduction, first and last word, and what differs."""
+        for _, at, start in self.ranked(words, cue):
+            template = self.templates[at]
+            low = max(0, start - template.most)
+            differs = self.differences(words[low : start + len(template.words) + template.most], template)
+            if differs and self.confirmed(template, *differs[2:]):
                 first, last = low + differs[0], low + differs[1]
-                reduction = self.reduction(at, words[first:last])
-                rank = (first, -len(template.words), -reduction)
-                if reduction >= self.ratio and (least is None or rank < least):
-                    found, least = (template, reduction, first, last, *differs[2:]), rank
-        return found
+                return template, self.saved(at, words[first:last])[1], first, last, *differs[2:]
+        return None
 
     def confirmed(self, template: Template, missing: list[str], extra: list[str]) -> bool:
         most = template.most
         return len(missing) <= most and len(extra) <= most and not any(w in TELLING or w.isdigit() for w in (*missing, *extra))
 
-    def block(self, folded: str, cue: int, floor: int) -> list[tuple[str, int, int]]:
-        """Words with their places, from a template's length before the cue, but not before ``floor``, to one after it."""
+    def block(self, folded: str, cue: int, floor: int) -> tuple[list[tuple[str, int, int]], int]:
+        """Words with their places, from a template's length before the cue, but not before ``floor``, to one after it; and which is the cue."""
         while cue > floor and TOKEN.match(folded[cue - 1]):
             cue -= 1
         before: list[re.Match] = []
@@ -191,7 +189,8 @@ class Scanner:
             before = before[1:]  # the first one may be the end of a longer word
             size *= 2
         after = islice(TOKEN.finditer(folded, cue), self.reach)
-        return [(m.group(), m.start(), m.end()) for m in (*before[-self.reach :], *after)]
+        before = before[-self.reach :]
+        return [(m.group(), m.start(), m.end()) for m in (*before, *after)], len(before)
 
     def scan(self, text: str) -> tuple[int, list[dict]]:
         """Candidate blocks looked at, and the confirmed notices with their places (characters, end exclusive)."""
@@ -203,8 +202,8 @@ class Scanner:
             if cue.start() < upto:
                 continue
             blocks += 1
-            tokens = self.block(folded, cue.start(), upto)
-            found = self.best([t[0] for t in tokens])
+            tokens, place = self.block(folded, cue.start(), upto)
+            found = self.best([t[0] for t in tokens], place)
             if found is None:
                 continue
             template, reduction, first, last, missing, extra = found
