@@ -11,6 +11,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from near import brute_pairs
 from oracle import compare, connect
 from pyspark.sql import functions as F
 
@@ -448,8 +449,7 @@ def test_pipeline_step_by_step(spark, codec):
     bad = {r["doc_id"] for r in table(spark, "labels", "sf0.001").where("quality = 0").collect()}
     assert kept <= passed and len(passed - bad - kept) <= 0.02 * len(passed) and len(kept & bad) <= 0.2 * len(bad)
     one = stages["SimHash near-dedup"](spark, good, sf)
-    fps = {i: brute_fingerprint(rows[i]["text"]) for i in kept}
-    want = roots(sorted(kept), [(a, b) for a in kept for b in kept if a < b and (fps[a] ^ fps[b]).bit_count() <= 4])
+    want = roots(sorted(kept), brute_pairs({i: rows[i]["text"] for i in kept}))
     left = {r["doc_id"] for r in one.collect()}
     assert left == set(want.values())
     clean = stages["PII"](spark, one, sf)
