@@ -176,6 +176,18 @@ class Page:
 
     items: DataFrame
     last_key: DataFrame
+    #: the rows of the page and the first one of the next, in order
+    top: DataFrame
+    keys: tuple[str, ...]
+    limit: int
+    skip: int
+
+    def fetch(self) -> tuple[list[Row], dict[str, Any] | None]:
+        """Items and the key to go on from, by one sorted read."""
+        rows = self.top.collect()
+        if len(rows) <= self.limit:
+            return rows, None
+        return rows[: self.limit], {k: rows[self.limit - 1][k] for k in self.keys} | {"offset": self.skip + self.limit}
 
     @property
     def count(self) -> DataFrame:
@@ -202,16 +214,18 @@ def query_page(
     view = table.index(index) if index else table
     common = dict(key_condition=key_condition, filter=filter, names=names, values=values, index=index)
     items = query(table, **common, project=project, limit=limit, start=skip, ascending=ascending)
+    top = query(table, **common, project=project, limit=limit + 1, start=skip, ascending=ascending)
     keys = list(dict.fromkeys([*view.keys, *view.base_keys]))
-    tail = query(table, **common, project=",".join(keys), limit=2, start=skip + limit - 1, ascending=ascending)
-    # two rows at most: the last of the page and the first of the next one
+    tail = query(table, **common, project=",".join(keys), limit=limit + 1, start=skip, ascending=ascending)
+    # no more rows than a page and one
     position = Window.orderBy(*sort_order(view, ascending))
     last_key = (
-        tail.withColumn("__more", F.lead(F.lit(True)).over(position))
-        .where("__more")
+        tail.withColumn("__at", F.row_number().over(position))
+        .withColumn("__more", F.lead(F.lit(True)).over(position))
+        .where((F.col("__at") == limit) & F.col("__more"))
         .select(*[quoted(k) for k in keys], F.lit(skip + limit).cast("long").alias("offset"))
     )
-    return Page(items, last_key)
+    return Page(items, last_key, top, tuple(keys), limit, skip)
 
 
 def _content_slice(df: DataFrame, slices: int) -> Column:

@@ -112,6 +112,8 @@ class WriteResult:
     deletes: bool = False
     #: columns a request adds to the table
     added: Mapping[str, T.DataType] = field(default_factory=dict)
+    #: true for the requests that remove their item, where others do not
+    drops: Column | None = None
 
     # -- joining ------------------------------------------------------------------------------
 
@@ -176,6 +178,8 @@ class WriteResult:
             on = self._on if self.condition is None else self._on & self.condition
             return table.df.join(self.requests, on, "left_anti")
         joined = self._joined("full")
+        if self.drops is not None:
+            joined = joined.where(F.col("__asked").isNull() | ~self.drops)
         hit = F.col("__asked").isNotNull() & F.coalesce(self._ok, F.lit(False))
         free = self.condition is None and self.refused is None
         if free:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import codec
 from ..operators import statements as S
 from ..operators import write as W
-from ..operators.read import query_index
+from ..operators.read import batch_get_many, query_index
 from ..session import scratch_dir
 from ..sources import schema
 from ..sources.snapshots import SnapshotStore
@@ -71,6 +71,42 @@ def joi2_stored(spark, sf):
     return part.df.join(asked.select(F.col("o_orderkey").cast("long").alias("k")), F.col("o_orderkey") == F.col("k"), "left_semi")
 
 
+@registered(
+    "joi4_pinned",
+    """SELECT o_orderkey, o_totalprice, c_name FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_custkey % 50 = 7""",
+)
+def joi4_pinned(spark, sf):
+    """Two tables of one version, read after a later commit has changed both."""
+    store = SnapshotStore(spark, scratch_dir(spark, "pinned"))
+    orders = ItemTable("orders", read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), "o_orderkey")
+    customer = ItemTable("customer", read(spark, sf, "customer").select("c_custkey", "c_name"), "c_custkey")
+    first = store.commit({"orders": orders, "customer": customer}, buckets=4)
+    asked = orders.df.where("o_custkey % 50 = 7")
+    store.change("orders", asked, lambda part: W.delete_items(part, asked.select("o_orderkey")).state)
+    store.commit({"customer": customer.with_df(customer.df.withColumn("c_name", F.lit("gone")))})
+    pinned = store.catalog(first)
+    keys = asked.select("o_orderkey", "o_custkey")
+    found = batch_get_many(pinned, {"orders": keys.select("o_orderkey"), "customer": keys.select(F.col("o_custkey").alias("c_custkey"))})
+    return found["orders"].join(found["customer"], F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "o_totalprice", "c_name")
+
+
+@registered(
+    "src8_readded",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 3 THEN 'new' END AS o_orderstatus, o_totalprice FROM orders""",
+)
+def src8_readded(spark, sf):
+    """An attribute dropped from a stored table and added again: old values stay away, and only a later change writes files."""
+    store = SnapshotStore(spark, scratch_dir(spark, "evolved"))
+    table = ItemTable("orders", read(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), "o_orderkey")
+    store.commit({"orders": table}, buckets=4)
+    diff = lambda change: spark.createDataFrame([("o_orderstatus", "S", change)], "attribute string, descriptor string, change string")
+    store.evolve("orders", diff("drop"))
+    store.evolve("orders", diff("add"))
+    asked = table.df.where("o_orderkey % 10 = 3").select("o_orderkey")
+    store.change("orders", asked, lambda part: W.update_items(part, asked, "SET o_orderstatus = :v", values={":v": "new"}).state)
+    return store.read("orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
 # -- change sets --------------------------------------------------------------------------------
 
 BATCHES = 20

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import TableNotFound, ValidationError
+from ..functions.types import spark_type
 from ..functions.updates import fitted
-from ..table import ItemTable, quoted
+from ..table import Catalog, ItemTable, quoted
 
 
 State = DataFrame | ItemTable
@@ -144,18 +145,29 @@ class SnapshotStore:
     # -- buckets ------------------------------------------------------------------------------
 
     def _opened(self, entry: Mapping[str, Any], buckets: Iterable[str | int]) -> DataFrame:
-        schema = T.StructType.fromJson(entry["schema"])
+        schema, physical = T.StructType.fromJson(entry["schema"]), entry.get("physical", {})
         paths = [f"{self.root}/{entry['parts'][str(b)]['path']}" for b in buckets if str(b) in entry["parts"]]
         if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        stored = T.StructType([T.StructField(physical.get(f.name, f.name), f.dataType) for f in schema.fields])
+        rows = self.spark.read.schema(stored).parquet(*paths)
+        return rows if not physical else rows.select(*[quoted(physical.get(f.name, f.name)).alias(f.name) for f in schema.fields])
 
-    def _laid_out(self, name: str, state: ItemTable, count: int, version: int, tasks: int | None = None) -> dict[str, Any]:
+    def _laid_out(
+        self, name: str, state: ItemTable, count: int, version: int, tasks: int | None = None, names: Mapping[str, Any] | None = None
+    ) -> dict[str, Any]:
         """Writes rows in their buckets, sorted by key, and gives the manifest entry of these buckets. Rows without a whole key are in the first."""
         path = f"{name}/v={version:09d}"
         bucket = F.coalesce(bucket_of([quoted(k) for k in state.keys], count), F.lit(0))
         rows = state.df.withColumn(BUCKET, bucket).repartition(tasks or count, BUCKET)
         rows = rows.sortWithinPartitions(BUCKET, *[quoted(k) for k in state.keys])
+        # attributes go by the names that they have in files; a new one must not take the name of one that was dropped
+        names = {k: (names or {}).get(k, []) for k in ("physical", "retired")}
+        physical = dict(names["physical"] or {})
+        for column in state.df.columns:
+            if column in names["retired"] and column not in physical:
+                physical[column] = _unused(column, names)
+        rows = rows.withColumnsRenamed({c: p for c, p in physical.items() if c in state.df.columns})
         writer = rows.write.option(f"parquet.bloom.filter.enabled#{state.partition_key}", "true").partitionBy(BUCKET)
         writer.mode("overwrite").parquet(f"{self.root}/{path}")
         found: dict[str, Any] = {}
@@ -163,7 +175,8 @@ class SnapshotStore:
             # footers only: no column is read
             counts = self.spark.read.parquet(f"{self.root}/{path}").groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()
             found = {str(r[BUCKET]): {"path": f"{path}/{BUCKET}={r[BUCKET]}", "rows": r["n"]} for r in counts}
-        return {"keys": state.keys, "buckets": count, "schema": state.df.schema.jsonValue(), "parts": found}
+        entry = {"keys": state.keys, "buckets": count, "schema": state.df.schema.jsonValue(), "parts": found}
+        return entry | {"physical": physical, "retired": list(names["retired"])}
 
     def touched(self, table: str, keys: DataFrame, version: int | None = None) -> list[int]:
         """Buckets that the keys fall into: at most as many numbers as the table has buckets."""
@@ -198,7 +211,7 @@ class SnapshotStore:
             return self._commit({}, notes)
         part = self.item_table(table, buckets=buckets)
         state = part.with_df(change(part))
-        new = self._laid_out(table, state, entry["buckets"], self.manifest()["version"] + 1, min(2 * len(buckets), entry["buckets"]))
+        new = self._laid_out(table, state, entry["buckets"], self.manifest()["version"] + 1, min(2 * len(buckets), entry["buckets"]), entry)
         strayed = [b for b in new["parts"] if int(b) not in buckets]
         if strayed:
             raise ValidationError(f"the change of {table!r} reaches items of other keys")
@@ -219,6 +232,50 @@ class SnapshotStore:
         either = before["parts"].keys() | after["parts"].keys()
         return sorted(int(b) for b in either if before["parts"].get(b, {}).get("path") != after["parts"].get(b, {}).get("path"))
 
+    # -- schemas ------------------------------------------------------------------------------
+
+    def evolve(self, table: str, diff: DataFrame, notes: Mapping[str, Any] | None = None) -> int:
+        """Apply a schema diff to a bucketed table: a new manifest entry, and no file is written.
+
+        Added attributes are null for the items there are. A dropped one is gone also when another of its name is added later: that
+        one has a name of its own in files.
+        """
+        entry = self._bucketed(table)
+        changes = sorted((r["change"], r["attribute"], r["descriptor"]) for r in diff.collect())
+        fields = list(T.StructType.fromJson(entry["schema"]).fields)
+        names = {"physical": dict(entry.get("physical", {})), "retired": list(entry.get("retired", []))}
+        for change, name, _ in changes:
+            if change == "drop" and name in [f.name for f in fields]:
+                if name in entry["keys"]:
+                    raise ValidationError(f"key attribute {name!r} cannot be dropped")
+                fields = [f for f in fields if f.name != name]
+                names["retired"].append(names["physical"].pop(name, name))
+        for change, name, descriptor in changes:
+            if change == "add" and name not in [f.name for f in fields]:
+                fields.append(T.StructField(name, spark_type(descriptor)))
+                if name in names["retired"]:
+                    names["physical"][name] = _unused(name, names)
+        return self._commit({table: entry | names | {"schema": T.StructType(fields).jsonValue()}}, notes)
+
+    # -- versions -----------------------------------------------------------------------------
+
+    def version_at(self, millis: int) -> int:
+        """The newest version that was committed at or before a time in milliseconds."""
+        found = [v for v in self.versions() if self.manifest(v).get("time", 0) <= millis]
+        if not found:
+            raise ValidationError(f"{self.root} has no version as old as {millis}")
+        return found[-1]
+
+    def catalog(self, version: int | None = None, keys: Mapping[str, Sequence[str]] | None = None) -> Catalog:
+        """All tables of one version, whatever is committed later. ``keys`` names those of tables that are not stored in buckets."""
+        manifest = self.manifest(version)
+        found = Catalog(self.spark)
+        for name, entry in manifest["tables"].items():
+            own = (keys or {}).get(name) if isinstance(entry, str) else entry["keys"]
+            if own:
+                found.register_table(name, self.read(name, manifest["version"]), own[0], own[1] if len(own) > 1 else None)
+        return found
+
     # -- room ---------------------------------------------------------------------------------
 
     def vacuum(self, keep: int = 1) -> list[str]:
@@ -252,6 +309,12 @@ class SnapshotStore:
         self._fs.delete(self._path(f"{self.root}/{path}"), True)
 
 
+def _unused(name: str, names: Mapping[str, Any]) -> str:
+    """A name for files that no attribute has or had."""
+    taken = {*names["retired"], *names["physical"].values()}
+    return next(n for k in range(2, len(taken) + 3) if (n := f"{name}__{k}") not in taken)
+
+
 def bucket_of(keys: Iterable[Column], count: int) -> Column:
     """Bucket of a key in its stored types; null for a key with a null in it."""
     keys = list(keys)

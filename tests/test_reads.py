@@ -310,3 +310,18 @@ def test_many_keys_meet_a_hot_partition_in_slices(spark, shuffled):
 def test_timestamps_bind(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 2),)], "ts timestamp")
     assert df.where(F.expr(bind("ts = :t", values={":t": dt.datetime(2024, 1, 2)}))).count() == 1
+
+
+def test_a_page_by_one_sorted_read(spark, catalog):
+    table, start, seen = catalog.table("visit-log"), None, []
+    while True:
+        page = query_page(table, "uid = :u", values={":u": "u1"}, limit=4, start=start, project="what")
+        items, start = page.fetch()
+        assert [tuple(r) for r in items] == [tuple(r) for r in page.items.collect()]
+        assert [start] == [r.asDict() for r in page.last_key.collect()] or (start is None and page.last_key.isEmpty())
+        seen += [r["at"] for r in items]
+        if start is None:
+            break
+    assert seen == list(range(9, -1, -1))
+    plan = page.top._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("TakeOrderedAndProject") + plan.count("Sort ") == 1

@@ -108,6 +108,47 @@ def test_vacuum_keeps_what_versions_name(spark, store, table, tmp_path):
         store.vacuum(0)
 
 
+def test_dropped_attributes_stay_gone(spark, store, table, tmp_path):
+    store.commit({"t": table}, buckets=4)
+    diff = lambda *rows: spark.createDataFrame(list(rows), "attribute string, descriptor string, change string")
+    store.evolve("t", diff(("v", "N", "drop")))
+    assert store.read("t").columns == ["k", "s"] and not (tmp_path / "store/t/v=000000002").exists()
+    store.evolve("t", diff(("v", "N", "add"), ("tags", "SS", "add")))
+    assert rows(store.read("t").select("v", "tags").distinct()) == [(None, None)] and store.read("t").count() == 201
+    asked = spark.createDataFrame([(7, 1, 5.0, ["x"])], "k long, s long, v double, tags array<string>")
+    store.change("t", asked, lambda part: put_items(part, asked).state)
+    assert rows(store.read("t").where("v is not null").select("k", "s", "v", "tags")) == [(7, 1, 5.0, ["x"])]
+    # dropped and added once more: neither the first values nor the second ones come back
+    store.evolve("t", diff(("v", "N", "drop"), ("nothing", "S", "drop")))
+    store.evolve("t", diff(("v", "S", "add")))
+    assert rows(store.read("t").select("v").distinct()) == [(None,)] and store.read("t", 2).columns == ["k", "s"]
+    third = spark.createDataFrame([(8, 2, "third")], "k long, s long, v string")
+    store.change("t", third, lambda part: put_items(part, third).state)
+    assert rows(store.read("t").where("v is not null").select("k", "v")) == [(8, "third")]
+    assert rows(store.read("t", 1)) == rows(table.df) and rows(store.read("t", 4).where("v is not null").select("k", "v")) == [(7, 5.0)]
+    with pytest.raises(ValidationError):
+        store.evolve("t", diff(("k", "N", "drop")))
+    # an attribute that a put brings back after a drop starts anew too
+    store.evolve("t", diff(("tags", "SS", "drop")))
+    again = spark.createDataFrame([(9, 0, "plain")], "k long, s long, tags string")
+    store.change("t", again, lambda part: put_items(part, again).state)
+    assert rows(store.read("t").where("tags is not null").select("k", "tags")) == [(9, "plain")]
+
+
+def test_versions_by_time_and_pinned_catalogs(spark, store, table):
+    store.commit({"t": table, "flat": table.df}, buckets=4)
+    store.commit({"flat": table.df.limit(0)})
+    times = [store.manifest(v)["time"] for v in store.versions()]
+    assert times[0] <= times[1] and store.version_at(times[1] + 1) == 2
+    assert store.version_at(times[0]) in (1, 2)
+    with pytest.raises(ValidationError):
+        store.version_at(times[0] - 1)
+    pinned = store.catalog(1, keys={"flat": ["k", "s"]})
+    store.commit({"t": table.with_df(table.df.limit(0))})
+    assert pinned.table("t").df.count() == 201 == pinned.table("flat").df.count() and pinned.table("t").keys == ["k", "s"]
+    assert store.catalog().names() == ["t"] and store.read("t").count() == 0
+
+
 # -- change sets --------------------------------------------------------------------------------
 
 REQUEST = "k int, op string, seq long, s string, n double, _present array<string>"

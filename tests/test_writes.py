@@ -25,7 +25,9 @@ from itemloom import (
     transact_write,
     update_where,
 )
+from itemloom import Catalog
 from itemloom.operators import write
+from itemloom.operators.transact import transaction_failures
 from itemloom.operators.write import apply_requests, as_requests, fold_requests
 
 
@@ -290,3 +292,33 @@ def test_insert_literals_that_do_not_fit_fail(spark, catalog):
     literals = spark.createDataFrame([("9", "'Gull'", "x1")], "ship_id string, title string, tonnage string")
     with pytest.raises(Exception, match="literal does not fit"):
         insert_value(catalog.table("ship"), literals, literals=True).state.collect()
+
+
+def test_three_conditions_in_one_join(spark, catalog, shuffled):
+    """Failures of three conditional requests on one table shuffle it once."""
+    rows = lambda *ids: spark.createDataFrame([(float(i), 1.0) for i in ids], "ship_id double, tonnage double")
+    requests = [
+        Put("ship", rows(301), "attribute_exists(title)"),
+        Put("ship", rows(302, 999), "tonnage < :t", values={":t": 5000.0}),
+        Check("ship", rows(303).select("ship_id"), "harbour = :h", values={":h": "Bergen"}),
+        Delete("ship", rows(304).select("ship_id"), "attribute_exists(title)"),
+    ]
+    found = transaction_failures(catalog, requests)
+    assert sorted((r["request"], r["key"]) for r in found.collect()) == [(1, '{"ship_id":999.0}'), (2, '{"ship_id":303.0}')]
+    writes = [Put("ship", rows(301)), Update("ship", rows(302).select("ship_id"), "SET tonnage = :v, crew = :c", values={":v": 7.0, ":c": 4}), Delete("ship", rows(303, 998).select("ship_id"))]
+    got = transact_write(catalog, writes)
+    state = {r["ship_id"]: (r["tonnage"], r["crew"]) for r in got.states["ship"].select("ship_id", "tonnage", "crew").collect()}
+    assert got.committed and state == {301.0: (1.0, None), 302.0: (7.0, 4), 304.0: (2300.0, None), 305.0: (640.0, None), 306.0: (7700.0, None)}
+
+
+def test_transactions_shuffle_the_table_once(spark, sf, shuffled):
+    found = Catalog(spark)
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    found.register_table("orders", orders, "o_orderkey")
+    part = lambda k: orders.where(F.col("o_orderkey") % 50 == k).select("o_orderkey", "o_totalprice")
+    requests = [Put("orders", part(k), "o_totalprice > :p", values={":p": 1.0}) for k in range(3)]
+    plan = transaction_failures(found, requests)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and plan.count("RightOuter") == 1
+    state = transact_write(found, [Put("orders", part(k)) for k in range(3)]).states["orders"]
+    plan = state._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FullOuter") == 1 and plan.count("SortMergeJoin") == 1
