@@ -39,7 +39,7 @@ from .operators.write import (
     put_nested,
     update_items,
 )
-from .session import build_session, scratch_dir
+from .session import build_session, scratch, scratch_dir
 from .sources.files import read_items_json, read_items_tsv, write_items_json, write_items_tsv
 from .sources.schema import (
     evolve_schema,

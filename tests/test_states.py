@@ -19,6 +19,8 @@ from itemloom import (
     insert_value,
     put_items,
     register_from_metadata,
+    scratch,
+    scratch_dir,
     sequenced,
     table_metadata,
     update_items,
@@ -320,3 +322,19 @@ def test_metadata_gives_indexes_back(spark):
     assert (got.indexes["thin"].partition_key, got.indexes["thin"].sort_key) == ("m", None) and index_metadata(ItemTable("t", df, "id")) is None
     register_from_metadata(found, table_metadata(table), {"t": df})
     assert set(found.table("t").indexes) == {"by_n", "thin"} and found.table("t").indexes["thin"] == Index("id")
+
+
+# -- scratch data -------------------------------------------------------------------------------
+
+
+def test_scratch_data_goes_with_its_scope(spark, tmp_path):
+    root = str(tmp_path / "shared")
+    assert scratch_dir(spark, "x", root).startswith(root + "/x-")
+    with scratch(spark, root) as folder:
+        path = scratch_dir(spark, "rows")
+        spark.range(5).write.parquet(path)
+        with scratch(spark) as inner:
+            assert inner.startswith(folder) and scratch_dir(spark, "rows").startswith(inner)
+        assert path.startswith(folder) and spark.read.parquet(path).count() == 5
+    assert not (tmp_path / "shared").exists() or list((tmp_path / "shared").iterdir()) == []
+    assert not scratch_dir(spark, "x").startswith(root)
