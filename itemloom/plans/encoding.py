@@ -51,12 +51,15 @@ def src2(spark, sf):
 
 @registered(
     "src6_schema_metadata",
-    """SELECT c AS "column", 'customer' AS "tableName", d AS "dataType", o AS "originalColumn", 'c_custkey' AS "partitionKey",
-              '' AS "sortKey", '' AS "indexName", 'customer' AS "actualTable", t AS "storedType"
-       FROM (VALUES ('c_custkey', 'c_custkey', 'N', 'FLOAT64'), ('c_name', 'c_name', 'S', 'STRING(MAX)'),
-             ('c_nationkey', 'c_nationkey', 'N', 'FLOAT64'), ('c_acct_bal', 'c_acct.bal', 'N', 'FLOAT64'),
-             ('c_mktsegment', 'c_mktsegment', 'S', 'STRING(MAX)')) AS v(c, o, d, t)
-       WHERE o IN (SELECT unnest(json_keys(to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_nationkey': c_nationkey, 'c_acct.bal': c_acctbal, 'c_mktsegment': c_mktsegment}))) FROM customer)""",
+    """WITH items AS (SELECT to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_nationkey': c_nationkey, 'c_acct.bal': c_acctbal,
+                                      'c_mktsegment': c_mktsegment}) AS j FROM customer),
+            seen AS (SELECT o, CASE json_type(j, '$."' || o || '"') WHEN 'VARCHAR' THEN 'S' WHEN 'NULL' THEN 'NULL' ELSE 'N' END AS d
+                     FROM (SELECT j, unnest(json_keys(j)) AS o FROM items)),
+            best AS (SELECT o, d FROM (SELECT o, d, count(*) AS n FROM seen GROUP BY o, d)
+                     QUALIFY row_number() OVER (PARTITION BY o ORDER BY d = 'NULL', n DESC, d DESC) = 1)
+       SELECT replace(o, '.', '_') AS "column", 'customer' AS "tableName", d AS "dataType", o AS "originalColumn", 'c_custkey' AS "partitionKey",
+              '' AS "sortKey", '' AS "indexName", 'customer' AS "actualTable", CASE d WHEN 'N' THEN 'FLOAT64' ELSE 'STRING(MAX)' END AS "storedType"
+       FROM best""",
 )
 def src6(spark, sf):
     """Metadata rows of the schema found in the customer items."""
@@ -72,8 +75,14 @@ def _newer_customers(spark, sf) -> DataFrame:
 
 @registered(
     "src7_schema_diff",
-    """SELECT 'c_tier' AS attribute, 'S' AS descriptor, 'add' AS change WHERE (SELECT count(c_nationkey) FROM customer) > 0
-       UNION ALL SELECT 'c_acctbal', 'N', 'drop' WHERE (SELECT count(*) FROM customer) > 0""",
+    """WITH names AS (SELECT json_type(j, '$."' || o || '"') = 'VARCHAR' AS text, o, now
+              FROM (SELECT j, unnest(json_keys(j)) AS o, now FROM (
+                SELECT to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_nationkey': c_nationkey, 'c_mktsegment': c_mktsegment,
+                                'c_tier': 'tier-' || c_nationkey}) AS j, true AS now FROM customer
+                UNION ALL SELECT to_json(c), false FROM customer c))),
+            kinds AS (SELECT o, now, CASE WHEN bool_or(text) THEN 'S' ELSE 'N' END AS d FROM names GROUP BY o, now)
+       SELECT o AS attribute, d AS descriptor, CASE WHEN now THEN 'add' ELSE 'drop' END AS change FROM kinds k
+       WHERE NOT EXISTS (SELECT 1 FROM kinds x WHERE x.o = k.o AND x.now <> k.now)""",
 )
 def src7(spark, sf):
     declared = schema.declared_schema(read(spark, sf, "customer"))

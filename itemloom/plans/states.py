@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from ..functions import codec
 from ..operators import statements as S
 from ..operators import write as W
-from ..operators.read import batch_get_many, query_index
+from ..operators.read import batch_get_many, query, query_index
 from ..session import scratch_dir
 from ..sources import schema
 from ..sources.snapshots import SnapshotStore
 from ..streaming.changes import change_feed, changes_between, sequenced
 from ..streaming.mutations import MutationLog
-from ..table import Catalog, ItemTable
+from ..table import Catalog, Index, ItemTable
 from .registry import SQL, read, registered
 from .writes import _FEED, _changed, _narrow
 
@@ -71,6 +71,32 @@ def joi2_stored(spark, sf):
     return part.df.join(asked.select(F.col("o_orderkey").cast("long").alias("k")), F.col("o_orderkey") == F.col("k"), "left_semi")
 
 
+@registered(
+    "pag6_stored_index",
+    """SELECT o_orderkey, o_custkey, o_totalprice FROM (
+         SELECT o_orderkey, CASE WHEN o_custkey % 100 = 7 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey, o_totalprice
+         FROM orders WHERE NOT (o_custkey % 100 = 7 AND o_orderstatus = 'F'))
+       WHERE o_custkey = (SELECT min(o_custkey) + 1 FROM orders WHERE o_custkey % 100 = 7)
+       ORDER BY o_totalprice DESC, o_orderkey DESC LIMIT 20""",
+)
+def pag6_stored(spark, sf):
+    """An index stored with its table: orders of some customers move to the next one or go, and a page of one customer opens one bucket."""
+    store = SnapshotStore(spark, scratch_dir(spark, "indexed"))
+    df = read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    by_customer = Index("o_custkey", "o_totalprice", include=())
+    store.commit({"orders": ItemTable("orders", df, "o_orderkey", indexes={"by_customer": by_customer})}, buckets=BUCKETS)
+    asked = df.where("o_custkey % 100 = 7")
+
+    def change(part: ItemTable) -> DataFrame:
+        moved = W.update_items(part, asked.select("o_orderkey"), "SET o_custkey = o_custkey + :d", values={":d": 1})
+        return W.delete_items(moved.table_after, asked.where("o_orderstatus = 'F'").select("o_orderkey")).state
+
+    store.change("orders", asked, change)
+    wanted = asked.agg((F.min("o_custkey") + 1).alias("o_custkey"))
+    key = wanted.first()[0]
+    return query(store.index_table("orders", "by_customer", wanted), "o_custkey = :c", values={":c": key}, limit=20, project="o_orderkey, o_custkey, o_totalprice")
+
+
 @registered(
     "joi4_pinned",
     """SELECT o_orderkey, o_totalprice, c_name FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_custkey % 50 = 7""",

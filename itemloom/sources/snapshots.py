@@ -6,7 +6,8 @@ and a commit that dies half way leaves nothing visible behind.
 
 A table may be laid out in buckets by a hash of its key: the manifest then names one directory per bucket, with its rows. A change
 rewrites the buckets that its keys fall into and takes over the entries of the others; key lookups, counts and differences between
-versions open what they need. ``vacuum`` removes what no kept version names.
+versions open what they need. Indexes of such a table are stored next to it, in buckets of the index's partition key, and follow its
+changes in the same version. ``vacuum`` removes what no kept version names.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 from ..errors import TableNotFound, ValidationError
 from ..functions.types import spark_type
 from ..functions.updates import fitted
-from ..table import Catalog, ItemTable, quoted
+from ..table import Catalog, Index, ItemTable, quoted
 
 
 State = DataFrame | ItemTable
@@ -95,7 +96,8 @@ class SnapshotStore:
         current = self.manifest()
         version = current["version"] + 1
         merged = {**current["notes"], **(notes or {})}
-        self._publish({"version": version, "tables": {**current["tables"], **tables}, "notes": merged})
+        every = {n: e for n, e in {**current["tables"], **tables}.items() if e is not None}
+        self._publish({"version": version, "tables": every, "notes": merged})
         return version
 
     def note(self, notes: Mapping[str, Any]) -> int:
@@ -127,8 +129,14 @@ class SnapshotStore:
         for name, state in states.items():
             old = current["tables"].get(name)
             count = buckets or (old["buckets"] if isinstance(old, dict) else None)
+            # indexes that the new state does not bring along are gone
+            tables |= {f"{name}.{index}": None for index in _stored_indexes(current["tables"], name)}
             if count and isinstance(state, ItemTable):
-                tables[name] = self._laid_out(name, state, count, version)
+                tables[name] = self._laid_out(name, state.df, state.keys, state.keys, count, version)
+                for index, how in self._indexes(state, current["tables"]).items():
+                    rows = state.with_indexes({index: how}).index(index).df.where(quoted(how.partition_key).isNotNull())
+                    entry = self._laid_out(f"{name}.{index}", rows, [how.partition_key], _order(how, state.keys), count, version)
+                    tables[f"{name}.{index}"] = entry | {"index_of": name, "index": [how.partition_key, how.sort_key, how.include]}
                 continue
             path = f"{name}/v={version:09d}"
             # what an earlier attempt at this version left behind was never visible
@@ -145,7 +153,7 @@ class SnapshotStore:
     # -- buckets ------------------------------------------------------------------------------
 
     def _opened(self, entry: Mapping[str, Any], buckets: Iterable[str | int]) -> DataFrame:
-        schema, physical = T.StructType.fromJson(entry["schema"]), entry.get("physical", {})
+        schema, physical = T.StructType.fromJson(entry["schema"]), entry["physical"]
         paths = [f"{self.root}/{entry['parts'][str(b)]['path']}" for b in buckets if str(b) in entry["parts"]]
         if not paths:
             return self.spark.createDataFrame([], schema)
@@ -154,35 +162,50 @@ class SnapshotStore:
         return rows if not physical else rows.select(*[quoted(physical.get(f.name, f.name)).alias(f.name) for f in schema.fields])
 
     def _laid_out(
-        self, name: str, state: ItemTable, count: int, version: int, tasks: int | None = None, names: Mapping[str, Any] | None = None
+        self,
+        name: str,
+        df: DataFrame,
+        hashed: Sequence[str],
+        order: Sequence[str],
+        count: int,
+        version: int,
+        tasks: int | None = None,
+        names: Mapping[str, Any] | None = None,
     ) -> dict[str, Any]:
-        """Writes rows in their buckets, sorted by key, and gives the manifest entry of these buckets. Rows without a whole key are in the first."""
+        """Writes rows in buckets by a hash of some columns, sorted in each, and gives the manifest entry of these buckets.
+
+        Rows with a null in one of the columns are in the first bucket.
+        """
         path = f"{name}/v={version:09d}"
-        bucket = F.coalesce(bucket_of([quoted(k) for k in state.keys], count), F.lit(0))
-        rows = state.df.withColumn(BUCKET, bucket).repartition(tasks or count, BUCKET)
-        rows = rows.sortWithinPartitions(BUCKET, *[quoted(k) for k in state.keys])
+        bucket = F.coalesce(bucket_of([quoted(k) for k in hashed], count), F.lit(0))
+        rows = df.withColumn(BUCKET, bucket).repartition(tasks or count, BUCKET)
+        rows = rows.sortWithinPartitions(BUCKET, *[quoted(k) for k in order])
         # attributes go by the names that they have in files; a new one must not take the name of one that was dropped
         names = {k: (names or {}).get(k, []) for k in ("physical", "retired")}
         physical = dict(names["physical"] or {})
-        for column in state.df.columns:
+        for column in df.columns:
             if column in names["retired"] and column not in physical:
                 physical[column] = _unused(column, names)
-        rows = rows.withColumnsRenamed({c: p for c, p in physical.items() if c in state.df.columns})
-        writer = rows.write.option(f"parquet.bloom.filter.enabled#{state.partition_key}", "true").partitionBy(BUCKET)
+        rows = rows.withColumnsRenamed({c: p for c, p in physical.items() if c in df.columns})
+        writer = rows.write.option(f"parquet.bloom.filter.enabled#{hashed[0]}", "true").partitionBy(BUCKET)
         writer.mode("overwrite").parquet(f"{self.root}/{path}")
         found: dict[str, Any] = {}
         if any(n.startswith(f"{BUCKET}=") for n in self._names(path)):
             # footers only: no column is read
             counts = self.spark.read.parquet(f"{self.root}/{path}").groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()
             found = {str(r[BUCKET]): {"path": f"{path}/{BUCKET}={r[BUCKET]}", "rows": r["n"]} for r in counts}
-        entry = {"keys": state.keys, "buckets": count, "schema": state.df.schema.jsonValue(), "parts": found}
-        return entry | {"physical": physical, "retired": list(names["retired"])}
+        entry = {"keys": list(order), "hashed": list(hashed), "order": list(order), "buckets": count}
+        return entry | {"schema": df.schema.jsonValue(), "parts": found, "physical": physical, "retired": list(names["retired"])}
+
+    def _indexes(self, state: ItemTable, tables: Mapping[str, Any]) -> dict[str, Index]:
+        """The indexes to store with a table: its own, or those that are stored already."""
+        return state.indexes or _stored_indexes(tables, state.name)
 
     def touched(self, table: str, keys: DataFrame, version: int | None = None) -> list[int]:
         """Buckets that the keys fall into: at most as many numbers as the table has buckets."""
         entry = self._bucketed(table, version)
         kinds = {f.name: f.dataType for f in T.StructType.fromJson(entry["schema"]).fields}
-        typed = [fitted(quoted(k), keys.schema[k].dataType, kinds[k])[0] for k in entry["keys"]]
+        typed = [fitted(quoted(k), keys.schema[k].dataType, kinds[k])[0] for k in entry["hashed"]]
         found = keys.select(bucket_of(typed, entry["buckets"]).alias(BUCKET)).where(F.col(BUCKET).isNotNull()).distinct()
         return sorted(r[BUCKET] for r in found.collect())
 
@@ -209,15 +232,46 @@ class SnapshotStore:
         buckets = self.touched(table, keys)
         if not buckets:
             return self._commit({}, notes)
+        manifest = self.manifest()
+        version = manifest["version"] + 1
         part = self.item_table(table, buckets=buckets)
         state = part.with_df(change(part))
-        new = self._laid_out(table, state, entry["buckets"], self.manifest()["version"] + 1, min(2 * len(buckets), entry["buckets"]), entry)
-        strayed = [b for b in new["parts"] if int(b) not in buckets]
-        if strayed:
-            raise ValidationError(f"the change of {table!r} reaches items of other keys")
+        new = self._replaced(table, entry, state.df, buckets, version)
+        tables = {table: new}
+        # of the rest the change is the items with these keys: they leave the index and come in again
+        kinds = {f.name: f.dataType for f in part.df.schema.fields}
+        asked = keys.select(*[fitted(quoted(k), keys.schema[k].dataType, kinds[k])[0].alias(k) for k in part.keys]).distinct()
+        after = part.with_df(self._opened(new, buckets))
+        for index, how in _stored_indexes(manifest["tables"], table).items():
+            name = f"{table}.{index}"
+            gone, come = (
+                t.with_indexes({index: how}).index(index).df.join(asked, part.keys, "left_semi").where(quoted(how.partition_key).isNotNull())
+                for t in (part, after)
+            )
+            met = gone.select(quoted(how.partition_key)).unionByName(come.select(quoted(how.partition_key)))
+            places = self.touched(name, met)
+            if places:
+                old = manifest["tables"][name]
+                rows = self._opened(old, places).join(asked, part.keys, "left_anti").unionByName(come, allowMissingColumns=True)
+                tables[name] = self._replaced(name, old, rows, places, version) | {k: old[k] for k in ("index_of", "index")}
+        return self._commit(tables, notes)
+
+    def _replaced(self, name: str, entry: Mapping[str, Any], df: DataFrame, buckets: Sequence[int], version: int) -> dict[str, Any]:
+        """The entry with some buckets written anew. Files without an attribute read it as null."""
+        tasks = min(2 * len(buckets), entry["buckets"])
+        new = self._laid_out(name, df, entry["hashed"], entry["order"], entry["buckets"], version, tasks, entry)
+        if any(int(b) not in buckets for b in new["parts"]):
+            raise ValidationError(f"the change of {name!r} reaches items of other keys")
         kept = {b: p for b, p in entry["parts"].items() if int(b) not in buckets}
-        # files without an attribute read it as null
-        return self._commit({table: new | {"parts": kept | new["parts"]}}, notes)
+        return new | {"parts": kept | new["parts"]}
+
+    def index_table(self, table: str, index: str, keys: DataFrame | None = None, version: int | None = None) -> ItemTable:
+        """The items as a stored index has them, addressed by its key pair; with ``keys`` (its partition keys) only their buckets."""
+        name = f"{table}.{index}"
+        entry = self._bucketed(name, version)
+        partition_key, sort_key, _ = entry["index"]
+        buckets = entry["parts"] if keys is None else self.touched(name, keys, version)
+        return ItemTable(table, self._opened(entry, buckets), partition_key, sort_key, base_keys=tuple(self._bucketed(table, version)["keys"]))
 
     def count(self, table: str, version: int | None = None) -> int:
         """Items of a table; of a bucketed one the manifest knows it."""
@@ -240,22 +294,14 @@ class SnapshotStore:
         Added attributes are null for the items there are. A dropped one is gone also when another of its name is added later: that
         one has a name of its own in files.
         """
-        entry = self._bucketed(table)
         changes = sorted((r["change"], r["attribute"], r["descriptor"]) for r in diff.collect())
-        fields = list(T.StructType.fromJson(entry["schema"]).fields)
-        names = {"physical": dict(entry.get("physical", {})), "retired": list(entry.get("retired", []))}
-        for change, name, _ in changes:
-            if change == "drop" and name in [f.name for f in fields]:
-                if name in entry["keys"]:
-                    raise ValidationError(f"key attribute {name!r} cannot be dropped")
-                fields = [f for f in fields if f.name != name]
-                names["retired"].append(names["physical"].pop(name, name))
-        for change, name, descriptor in changes:
-            if change == "add" and name not in [f.name for f in fields]:
-                fields.append(T.StructField(name, spark_type(descriptor)))
-                if name in names["retired"]:
-                    names["physical"][name] = _unused(name, names)
-        return self._commit({table: entry | names | {"schema": T.StructType(fields).jsonValue()}}, notes)
+        tables = self.manifest()["tables"]
+        found = {table: _evolved(self._bucketed(table), changes)}
+        for index in _stored_indexes(tables, table):
+            name = f"{table}.{index}"
+            narrow = [c for c in changes if c[0] == "drop" or tables[name]["index"][2] is None]
+            found[name] = _evolved(tables[name], narrow)
+        return self._commit(found, notes)
 
     # -- versions -----------------------------------------------------------------------------
 
@@ -272,8 +318,9 @@ class SnapshotStore:
         found = Catalog(self.spark)
         for name, entry in manifest["tables"].items():
             own = (keys or {}).get(name) if isinstance(entry, str) else entry["keys"]
-            if own:
-                found.register_table(name, self.read(name, manifest["version"]), own[0], own[1] if len(own) > 1 else None)
+            if own and "index_of" not in entry:
+                indexes = _stored_indexes(manifest["tables"], name)
+                found.register_table(name, self.read(name, manifest["version"]), own[0], own[1] if len(own) > 1 else None, indexes)
         return found
 
     # -- room ---------------------------------------------------------------------------------
@@ -309,6 +356,38 @@ class SnapshotStore:
         self._fs.delete(self._path(f"{self.root}/{path}"), True)
 
 
+def _order(index: Index, keys: Sequence[str]) -> list[str]:
+    """Columns that an index is sorted by."""
+    return list(dict.fromkeys(k for k in (index.partition_key, index.sort_key, *keys) if k))
+
+
+def _stored_indexes(tables: Mapping[str, Any], table: str) -> dict[str, Index]:
+    found = {}
+    for name, entry in tables.items():
+        if isinstance(entry, dict) and entry.get("index_of") == table:
+            partition_key, sort_key, include = entry["index"]
+            found[name.removeprefix(f"{table}.")] = Index(partition_key, sort_key, None if include is None else tuple(include))
+    return found
+
+
+def _evolved(entry: Mapping[str, Any], changes: Sequence[tuple[str, str, str]]) -> dict[str, Any]:
+    """A manifest entry after attributes were dropped and added."""
+    fields = list(T.StructType.fromJson(entry["schema"]).fields)
+    names = {"physical": dict(entry["physical"]), "retired": list(entry["retired"])}
+    for change, name, _ in changes:
+        if change == "drop" and name in [f.name for f in fields]:
+            if name in (*entry["hashed"], *entry["order"]):
+                raise ValidationError(f"key attribute {name!r} cannot be dropped")
+            fields = [f for f in fields if f.name != name]
+            names["retired"].append(names["physical"].pop(name, name))
+    for change, name, descriptor in changes:
+        if change == "add" and name not in [f.name for f in fields]:
+            fields.append(T.StructField(name, spark_type(descriptor)))
+            if name in names["retired"]:
+                names["physical"][name] = _unused(name, names)
+    return {**entry, **names, "schema": T.StructType(fields).jsonValue()}
+
+
 def _unused(name: str, names: Mapping[str, Any]) -> str:
     """A name for files that no attribute has or had."""
     taken = {*names["retired"], *names["physical"].values()}

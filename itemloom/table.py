@@ -54,6 +54,9 @@ class ItemTable:
     def with_df(self, df: DataFrame) -> "ItemTable":
         return replace(self, df=df)
 
+    def with_indexes(self, indexes: dict[str, Index]) -> "ItemTable":
+        return replace(self, indexes=indexes)
+
     def index(self, name: str) -> "ItemTable":
         """The same items addressed by the key pair of an index."""
         index = self.indexes.get(name)

@@ -18,6 +18,7 @@ from itemloom import (
     index_metadata,
     insert_value,
     put_items,
+    query,
     register_from_metadata,
     scratch,
     scratch_dir,
@@ -151,6 +152,39 @@ def test_versions_by_time_and_pinned_catalogs(spark, store, table):
     assert store.catalog().names() == ["t"] and store.read("t").count() == 0
 
 
+def test_a_stored_index_follows_its_table(spark, store, tmp_path):
+    rng = random.Random(8)
+    df = spark.createDataFrame([(k, rng.choice([None, 1, 2, 3, 4, 5]), rng.random(), f"n{k}") for k in range(300)], "k long, g int, w double, note string")
+    indexes = {"by_g": Index("g", "w"), "thin": Index("g", include=())}
+    table = ItemTable("t", df, "k", indexes=indexes)
+    store.commit({"t": table}, buckets=32)
+    same = lambda: [rows(store.index_table("t", n).df) == rows(ItemTable("t", store.read("t"), "k", indexes=indexes).index(n).df.where("g is not null")) for n in indexes]
+    assert same() == [True, True]
+    moved = spark.createDataFrame([(1, 9), (2, None), (3, 4), (999, 4)], "k int, g int")
+    store.change("t", moved, lambda part: put_items(part, moved).state)
+    assert same() == [True, True] and rows(store.index_table("t", "by_g").df.where("g = 9").select("k")) == [(1,)]
+    gone = spark.createDataFrame([("3",), ("999",), ("4",)], "k string")
+    store.change("t", gone, lambda part: delete_items(part, gone).state)
+    assert same() == [True, True] and store.count("t") == 298
+    # a page of one partition key opens its bucket, and a change the buckets of the keys it moves
+    asked = spark.createDataFrame([(5,)], "g int")
+    view = store.index_table("t", "by_g", asked)
+    assert len(view.df.inputFiles()) == 1 and view.keys == ["g", "w"] and view.base_keys == ("k",)
+    page = query(view, "g = :g", values={":g": 5}, limit=3)
+    assert [r["w"] for r in page.collect()] == sorted((r["w"] for r in store.read("t").where("g = 5").collect()), reverse=True)[:3]
+    one = spark.createDataFrame([(7, 5, "x")], "k int, g int, note string")
+    store.change("t", one, lambda part: put_items(part, one).state)
+    assert len(list((tmp_path / f"store/t.by_g/v={store.versions()[-1]:09d}").glob("_bucket=*"))) <= 2 and same() == [True, True]
+    assert store.catalog().table("t").indexes == indexes and store.catalog().names() == ["t"]
+    diff = spark.createDataFrame([("note", "S", "drop")], "attribute string, descriptor string, change string")
+    store.evolve("t", diff)
+    assert store.index_table("t", "by_g").df.columns == ["k", "g", "w"] and same() == [True, True]
+    with pytest.raises(ValidationError):
+        store.evolve("t", spark.createDataFrame([("g", "N", "drop")], "attribute string, descriptor string, change string"))
+    before = rows(store.index_table("t", "by_g").df)
+    assert store.vacuum() and rows(store.index_table("t", "by_g").df) == before
+
+
 # -- change sets --------------------------------------------------------------------------------
 
 REQUEST = "k int, op string, seq long, s string, n double, _present array<string>"
