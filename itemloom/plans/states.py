@@ -133,6 +133,19 @@ def src8_readded(spark, sf):
     return store.read("orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 
+@registered(
+    "pag3_stored_offset",
+    """SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey DESC
+       LIMIT 50 OFFSET (SELECT count(*) * 2 // 3 FROM orders)""",
+)
+def pag3_stored(spark, sf):
+    """A page deep into a table stored by price: the ranges before it are counted by the manifest, not read."""
+    store = SnapshotStore(spark, scratch_dir(spark, "ranged"))
+    table = ItemTable("orders", read(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey")
+    store.commit_sorted(table, ["o_totalprice"], BUCKETS)
+    return store.sorted_page("orders", store.count("orders") * 2 // 3, 50, ascending=False)
+
+
 # -- change sets --------------------------------------------------------------------------------
 
 BATCHES = 20

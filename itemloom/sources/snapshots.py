@@ -47,6 +47,8 @@ def write_snapshot(state: State, path: str) -> None:
 
 #: column of a bucketed write that names the bucket; never part of an item
 BUCKET = "_bucket"
+#: column of a sorted write that names the range
+RANGE = "_range"
 
 
 @dataclass
@@ -112,7 +114,7 @@ class SnapshotStore:
 
     def _bucketed(self, table: str, version: int | None = None) -> dict[str, Any]:
         entry = self._entry(table, version)
-        if isinstance(entry, str):
+        if isinstance(entry, str) or "buckets" not in entry:
             raise ValidationError(f"table {table!r} is not stored in buckets")
         return entry
 
@@ -128,7 +130,7 @@ class SnapshotStore:
         tables = {}
         for name, state in states.items():
             old = current["tables"].get(name)
-            count = buckets or (old["buckets"] if isinstance(old, dict) else None)
+            count = buckets or (old.get("buckets") if isinstance(old, dict) else None)
             # indexes that the new state does not bring along are gone
             tables |= {f"{name}.{index}": None for index in _stored_indexes(current["tables"], name)}
             if count and isinstance(state, ItemTable):
@@ -286,6 +288,46 @@ class SnapshotStore:
         either = before["parts"].keys() | after["parts"].keys()
         return sorted(int(b) for b in either if before["parts"].get(b, {}).get("path") != after["parts"].get(b, {}).get("path"))
 
+    # -- order --------------------------------------------------------------------------------
+
+    def commit_sorted(self, state: ItemTable, order: Sequence[str], ranges: int, name: str | None = None) -> int:
+        """Write a table's items ranged by some columns, then by their key, with the number of rows of each range in the manifest.
+
+        Nulls come first. Pages of it are cut out by their numbers (``sorted_page``). A later commit of the name replaces it whole.
+        """
+        name, version = name or state.name, self.manifest()["version"] + 1
+        path, by = f"{name}/v={version:09d}", list(dict.fromkeys([*order, *state.keys]))
+        rows = state.df.repartitionByRange(ranges, *[quoted(c) for c in by]).sortWithinPartitions(*[quoted(c) for c in by])
+        rows.withColumn(RANGE, F.spark_partition_id()).write.partitionBy(RANGE).mode("overwrite").parquet(f"{self.root}/{path}")
+        parts = []
+        if any(n.startswith(f"{RANGE}=") for n in self._names(path)):
+            counts = self.spark.read.parquet(f"{self.root}/{path}").groupBy(RANGE).agg(F.count(F.lit(1)).alias("n")).collect()
+            parts = [{"path": f"{path}/{RANGE}={r[RANGE]}", "rows": r["n"]} for r in sorted(counts, key=lambda r: r[RANGE])]
+        entry = {"keys": state.keys, "order": by, "schema": state.df.schema.jsonValue(), "physical": {}}
+        return self._commit({name: entry | {"parts": {str(k): p for k, p in enumerate(parts)}}}, None)
+
+    def sorted_page(self, table: str, offset: int, limit: int, ascending: bool = True, version: int | None = None) -> DataFrame:
+        """Rows ``offset`` to ``offset + limit`` of a table written by ``commit_sorted``, in its order; only ranges with some of them are opened."""
+        entry = self._entry(table, version)
+        if isinstance(entry, str) or "buckets" in entry:
+            raise ValidationError(f"table {table!r} is not stored in an order")
+        if offset < 0 or limit < 0:
+            raise ValidationError("offset and limit are not negative")
+        total = sum(p["rows"] for p in entry["parts"].values())
+        low, high = offset, min(offset + limit, total)
+        if not ascending:
+            low, high = max(total - offset - limit, 0), max(total - offset, 0)
+        chosen, before, skip = [], 0, 0
+        for k in range(len(entry["parts"])):
+            rows = entry["parts"][str(k)]["rows"]
+            if before < high and before + rows > low:
+                skip = before if not chosen else skip
+                chosen.append(k)
+            before += rows
+        inside = self._opened(entry, chosen)
+        cut = inside.orderBy(*[quoted(c) for c in entry["order"]]).offset(max(low - skip, 0)).limit(max(high - low, 0))
+        return cut if ascending else cut.orderBy(*[quoted(c).desc() for c in entry["order"]])
+
     # -- schemas ------------------------------------------------------------------------------
 
     def evolve(self, table: str, diff: DataFrame, notes: Mapping[str, Any] | None = None) -> int:
@@ -343,7 +385,7 @@ class SnapshotStore:
             for found in self._names(name):
                 if not found.startswith("v=") or f"{name}/{found}" in paths:
                     continue
-                inside = [f"{name}/{found}/{n}" for n in self._names(f"{name}/{found}") if n.startswith(f"{BUCKET}=")]
+                inside = [f"{name}/{found}/{n}" for n in self._names(f"{name}/{found}") if n.startswith((f"{BUCKET}=", f"{RANGE}="))]
                 gone = [p for p in inside if p not in paths]
                 removed += [f"{name}/{found}"] if len(gone) == len(inside) else gone
         for path in removed:

@@ -98,7 +98,8 @@ class MutationLog:
 
     @property
     def bucketed(self) -> bool:
-        return isinstance(self.store._entry(self.table), dict)
+        entry = self.store._entry(self.table)
+        return isinstance(entry, dict) and "buckets" in entry
 
     def _wide(self, table: ItemTable, pending: DataFrame | None) -> ItemTable:
         """A table with the attributes that change sets have added since."""

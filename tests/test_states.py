@@ -11,6 +11,7 @@ from itemloom import (
     ItemTable,
     MutationLog,
     SnapshotStore,
+    batch_get,
     change_feed,
     changes_between,
     delete_items,
@@ -185,6 +186,33 @@ def test_a_stored_index_follows_its_table(spark, store, tmp_path):
     assert store.vacuum() and rows(store.index_table("t", "by_g").df) == before
 
 
+def test_a_deep_offset_opens_one_range(spark, store):
+    rng = random.Random(3)
+    items = [(k, rng.choice([None, 1.5, 2.5, rng.random()])) for k in range(997)]
+    table = ItemTable("t", spark.createDataFrame(items, "k long, w double").repartition(3), "k")
+    store.commit_sorted(table, ["w"], 20)
+    order = sorted(items, key=lambda r: (r[1] is not None, r[1] or 0.0, r[0]))
+    for offset, limit in ((0, 10), (500, 7), (990, 50), (997, 5), (2000, 1), (40, 0), (0, 997)):
+        assert [tuple(r) for r in store.sorted_page("t", offset, limit).collect()] == order[offset : offset + limit]
+        assert [tuple(r) for r in store.sorted_page("t", offset, limit, ascending=False).collect()] == order[::-1][offset : offset + limit]
+    assert len(store.sorted_page("t", 700, 3).inputFiles()) <= 2 and store.count("t") == 997 and store.read("t").count() == 997
+    store.commit_sorted(table.with_df(table.df.limit(0)), ["w"], 4)
+    assert store.sorted_page("t", 0, 5).collect() == [] and store.vacuum() and store.read("t").count() == 0
+    store.commit({"t": table.df})
+    for wrong in (lambda: store.sorted_page("t", 0, 5), lambda: store.change("t", table.df, lambda part: part.df)):
+        with pytest.raises(ValidationError):
+            wrong()
+
+
+def test_batch_gets_leave_stored_items_in_place(spark, store, table, tmp_path):
+    store.commit({"t": table}, buckets=16)
+    spark.createDataFrame([(7, 1), (8, 2), (4000, 1)], "k long, s long").write.parquet(str(tmp_path / "asked"))
+    asked = spark.read.parquet(str(tmp_path / "asked"))
+    found = batch_get(store.lookup("t", asked), asked)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found) == [(7, 1, 14), (8, 2, 16)] and "BroadcastHashJoin" in plan and "Exchange hashpartitioning(k" not in plan.split("BroadcastExchange")[0]
+
+
 # -- change sets --------------------------------------------------------------------------------
 
 REQUEST = "k int, op string, seq long, s string, n double, _present array<string>"
