@@ -73,9 +73,10 @@ def insert_value(table: ItemTable, rows: DataFrame, literals: bool = False, on_c
                 raise ValidationError(f"table {table.name!r} has no attribute {name!r}")
             kind = table.df.schema[name].dataType
             value, off = typed_literal(quoted(name), kind)
-            value = value if off is None else F.when(~off, value)
-            typed.append(F.when(_no_literal(quoted(name), kind), _failed(quoted(name), kind)).otherwise(value).alias(name))
-            bad = bad if off is None else bad | off
+            none = F.coalesce(_no_literal(quoted(name), kind), F.lit(False))
+            if off is not None:
+                value, bad = F.when(~off, value), bad | (off & ~none)
+            typed.append(F.when(none, _failed(quoted(name), kind)).otherwise(value).alias(name))
         rows = rows.select(*typed, bad.alias(BAD))
     rejected = None
     if BAD in rows.columns:
