@@ -176,10 +176,10 @@ def fit(
     whole = own.select(*(F.col(f"`{c}`").alias(n) for n, c in fields.items()))
     a, b, found = _features(whole.join(F.broadcast(sample), F.col("_doc") == F.col("_id")))
     y = np.array(found.column("_label").to_pylist(), float)
-    free = whole.join(known.select("_id"), F.col("_doc") == F.col("_id"), "left_anti")
-
     def surest(first: Line, second: Line) -> tuple[Taught, Taught]:
-        scores = written(_scores(free, first, second), "cotraining")
+        # scores leave the labelled documents out, not texts: those would travel
+        scores = _scores(whole, first, second).join(known.select("_id"), F.col("_doc") == F.col("_id"), "left_anti")
+        scores = written(scores, "cotraining")
         parts = []
         for name in ("_p", "_q"):
             place = F.least(F.floor(F.col(name) * BINS), F.lit(BINS - 1)).cast("int")
