@@ -10,7 +10,7 @@ import pytest
 from near import brute_pairs
 from pyspark.sql import functions as F
 
-from itemloom.llm import cotraining, licenses, mixing, nearcopies, privacy, toxicity
+from itemloom.llm import cotraining, licenses, mixing, nearcopies, privacy, sharding, toxicity
 
 TESTDATA = "/root/testdata"
 
@@ -283,3 +283,41 @@ def test_order_of_a_mix(spark):
             order.append(i)
             left[i] -= 1
     assert [r["doc_id"] for r in mixing.mixed(docs, ordered=True).collect()] == order
+
+
+# -- sharding -----------------------------------------------------------------------------------
+
+
+def brute_leaves(units, n_axes, shards):
+    """The tree by sorting every cell: cut at the key that brings the left side nearest to its share, along the widest axis."""
+    keys = [[u[1 + k] << sharding.TIE_BITS | u[-1] for k in range(n_axes)] for u in units]
+    scale = [max(max(u[1 + k] for u in units) - min(u[1 + k] for u in units), 1) for k in range(n_axes)]
+    out = {}
+
+    def split(inside, first, count):
+        if count == 1 or not inside:
+            out.update(dict.fromkeys(inside, first))
+            return
+        wide = [(max(units[i][1 + k] for i in inside) - min(units[i][1 + k] for i in inside)) / scale[k] for k in range(n_axes)]
+        axis, left = max(range(n_axes), key=lambda k: (wide[k], -k)), (count + 1) // 2
+        goal, upto, cut = sum(units[i][0] for i in inside) * left / count, 0, None
+        for key in sorted({keys[i][axis] for i in inside}):
+            before, upto = upto, upto + sum(units[i][0] for i in inside if keys[i][axis] == key)
+            if upto >= goal:
+                cut = key if upto - goal <= goal - before else key - 1
+                break
+        split([i for i in inside if keys[i][axis] <= cut], first, left)
+        split([i for i in inside if keys[i][axis] > cut], first + left, count - left)
+
+    split(list(range(len(units))), 0, shards)
+    return out
+
+
+@pytest.mark.parametrize("shards", [1, 2, 7, 16])
+def test_tree_like_brute_force(spark, shards):
+    rng = random.Random(shards)
+    units = [(rng.choice([1, 5, 900]), rng.randrange(1 << 16), rng.choice([3, 40_000, 65_000]), rng.choice([7, 9]), rng.randrange(1 << 24)) for _ in range(500)]
+    units += [(50, 1234, 3, 7, rng.randrange(1 << 24)) for _ in range(250)]  # a third shares one place on every axis
+    df = spark.createDataFrame([(i, *u) for i, u in enumerate(units)], "i long, bytes long, a long, b long, c long, _tie long")
+    got = {r["i"]: r["shard"] for r in sharding.leaves(df, ["a", "b", "c"], shards).collect()}
+    assert got == brute_leaves(units, 3, shards)
