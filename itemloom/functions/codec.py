@@ -185,7 +185,9 @@ def _tagged(col: Column, descriptor: str, kind: T.DataType, markers: bool, depth
 
 def _set_texts(col: Column, descriptor: str, kind: T.DataType) -> Column:
     if descriptor == "NS":
-        return F.transform(F.array_compact(col), lambda x: format_number(x, kind.elementType))
+        # a zero of either sign is one member
+        zero = F.lit(0).cast(kind.elementType)
+        return F.transform(F.array_compact(col), lambda x: format_number(F.when(x == 0, zero).otherwise(x), kind.elementType))
     if descriptor == "BS":
         return F.transform(F.array_compact(col), F.base64)
     return F.array_compact(col)

@@ -34,7 +34,7 @@ def parse_number(col: Column, number_type: str = "double") -> Column:
 
 
 def format_number(col: Column, kind: T.DataType | None = None) -> Column:
-    """Shortest decimal text of a number, never with an exponent: ``3000``, ``1000.5``."""
+    """Shortest decimal text of a number, never with an exponent: ``3000``, ``1000.5``; a negative zero keeps its sign."""
     if isinstance(kind, T.IntegralType):
         return col.cast("string")
     if isinstance(kind, T.DecimalType):
@@ -51,7 +51,8 @@ def format_number(col: Column, kind: T.DataType | None = None) -> Column:
         F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
     )
     return (
-        F.when((size < EXACT_WHOLE) & (whole.cast("double") == col), whole.cast("string"))
+        F.when(text == "-0.0", F.lit("-0"))
+        .when((size < EXACT_WHOLE) & (whole.cast("double") == col), whole.cast("string"))
         .when(~text.contains("E"), text)
         .when((size >= 1e7) & (size < 1e20), exact)
         .otherwise(F.concat(sign, shifted))

@@ -43,6 +43,14 @@ def test_number_texts(spark, number, text):
     assert column(spark, [number], "double", values.format_number) == [text]
 
 
+def test_negative_zero_keeps_its_sign(spark):
+    """As the SQL of cod2_encode_items writes it; in a set of numbers both zeros are one member."""
+    df = spark.createDataFrame([(-0.0, [-0.0, 0.0, -1.0])], "n double, s array<double>")
+    df = df.withColumn("d", F.to_variant_object(F.array("n")))
+    want = '{"n":{"N":"-0"},"s":{"NS":["0","-1"]},"d":{"L":[{"N":"-0"}]}}'
+    assert [r["item"] for depth in (None, 8) for r in encode_items(df, descriptors={"s": "NS"}, depth=depth).collect()] == [want, want]
+
+
 def test_sets_lose_repeats_in_order(spark):
     assert column(spark, [["b", "a", "b"], [], None], "array<string>", values.dedupe_set) == [["b", "a"], [], None]
 
