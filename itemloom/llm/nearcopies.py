@@ -4,6 +4,9 @@ Fingerprints that differ in few bits find copies and texts with hardly a change
 similarity above some 0.95, and a radius that reaches 0.8 leaves segments too short to tell texts apart. So candidates come from a second
 source too: the least hashes of a text's shingle set in several bands, equal where sets are alike. All candidates are checked on their
 whole shingle sets; what passes is an edge of the components.
+
+Both sources can miss a pair, so a third one, which cannot, looks at texts that are still in different components. Under one order of all
+shingles, two sets of the similarity share one of the first shingles of each (its prefix): texts that do are checked as well.
 """
 
 from __future__ import annotations
@@ -25,6 +28,12 @@ BANDS, ROWS = 14, 5
 PAIRS = 500
 #: share of least hashes that agree, below which two texts of a band are no candidates
 ALIKE = 0.6
+#: texts in which frequent shingles are looked for, and in how many of them one is frequent; they only order shingles, any order is exact
+LOOKED, FREQUENT = 16_384, 3
+#: what rounding may add to a product of a similarity and a size
+_EPS = 1e-9
+#: candidates of a task that are given on at once
+OUT = 100_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -56,6 +65,35 @@ def least_hashes(found: np.ndarray) -> np.ndarray:
     return out.astype(np.uint32)
 
 
+def frequent_shingles(texts: DataFrame, looked: int = LOOKED) -> np.ndarray:
+    """Shingles that are in many texts, sorted, as about ``looked`` of the texts (``_text``, ``_t``) show. They come last in the order of
+    shingles, which keeps what many texts share out of their prefixes."""
+    step = max(1, texts.count() // looked)
+    some = texts.where(F.pmod("_t", F.lit(step)) == 0).dropDuplicates(["_t"])
+
+    def sets(values):
+        return [[shingle_set(shingle_hashes(t or "")).view(np.int64).tolist() for t in values]]
+
+    own = batchwise(some, ["_text"], "`_set` array<bigint>", lambda: sets, ["_t"]).select(F.explode("_set").alias("key"))
+    found = own.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT).select("key").toArrow()
+    return np.sort(found.column("key").to_numpy().astype(np.int64).view(np.uint64))
+
+
+def prefix_size(n, similarity: float):
+    """Shingles of a prefix: so many that two sets of the similarity cannot share shingles without sharing one of these."""
+    return n - np.ceil(similarity * n - _EPS).astype(np.int64) + 1
+
+
+def prefix(found: np.ndarray, frequent: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles of a sorted set in the order of all shingles: those that are not frequent, then the others, each by value."""
+    if not len(found):
+        return found
+    last = np.zeros(len(found), bool)
+    if len(frequent):
+        last = frequent[np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)] == found
+    return np.concatenate([found[~last], found[last]])[: int(prefix_size(np.int64(len(found)), similarity))]
+
+
 def sketches(docs: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
     """``_fp``, ``_least`` (packed least hashes) and ``_bands`` (a key per band; none for a text without words) of every whole text."""
 
@@ -132,6 +170,90 @@ def band_pairs(texts: DataFrame) -> DataFrame:
     return dealt.select("key", "_t", "_least").mapInArrow(run, "a bigint, b bigint")
 
 
+def _grouped(batches):
+    """Sorted rows as whole-number arrays, a row of each per column; equal values of the first column come together."""
+    waiting = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part = np.stack([c.to_numpy().astype(np.int64) for c in batch.columns])
+        last = np.flatnonzero(part[0] != part[0, -1])
+        if not len(last) and (not waiting or waiting[0][0, 0] == part[0, 0]):
+            waiting.append(part)
+            continue
+        upto = int(last[-1]) + 1 if len(last) else 0
+        yield np.concatenate([*waiting, part[:, :upto]], axis=1)
+        waiting = [part[:, upto:]]
+    if waiting:
+        yield np.concatenate(waiting, axis=1)
+
+
+def shared_shingles(texts: DataFrame, frequent: np.ndarray, similarity: float) -> DataFrame:
+    """``key, _t, _n``: the shingles that are in the prefixes of several different texts (``_text``, ``_t``), and the size of each one's set."""
+
+    def firsts(values):
+        sets = [shingle_set(shingle_hashes(t or "")) for t in values]
+        return [[prefix(s, frequent, similarity).view(np.int64).tolist() for s in sets], [len(s) for s in sets]]
+
+    own = batchwise(texts, ["_text"], "`_prefix` array<bigint>, `_n` int", lambda: firsts, ["_t"])
+    dealt = own.select(F.explode("_prefix").alias("key"), "_t", "_n").repartition("key").sortWithinPartitions("key", "_t")
+
+    def run(batches):
+        for rows in _grouped(batches):
+            # copies are one text
+            rows = rows[:, np.r_[True, (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)]]
+            same = rows[0, 1:] == rows[0, :-1]
+            rows = rows[:, np.r_[False, same] | np.r_[same, False]]
+            if rows.shape[1]:
+                yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=["key", "_t", "_n"])
+
+    return dealt.mapInArrow(run, "key bigint, _t bigint, _n bigint")
+
+
+def prefix_pairs(shared: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Candidates ``a, b`` from ``shared_shingles``: all pairs of texts in different components that can have the similarity.
+
+    What two prefixes do not show of the shared shingles is behind one of them. So the shingles shared by the prefixes, and the longer
+    one of the two rests, have to reach the number that the similarity asks for. No pair of it is missing.
+    """
+    placed = shared.join(roots, F.col("_t") == F.col("node"), "left").select("key", "_t", F.coalesce("root", "_t").alias("_root"), "_n")
+    dealt = placed.repartition("key").sortWithinPartitions("key")
+
+    def of_group(t, root, n):
+        for k in range(len(t) - 1):
+            a, b = n[k], n[k + 1 :]
+            ok = (root[k + 1 :] != root[k]) & (np.minimum(a, b) >= similarity * np.maximum(a, b) - _EPS)
+            if ok.any():
+                other, size = t[k + 1 :][ok], b[ok]
+                rest = np.maximum(a - prefix_size(a, similarity), size - prefix_size(size, similarity))
+                least = np.ceil(similarity / (1 + similarity) * (a + size) - _EPS).astype(np.int64) - rest
+                yield np.minimum(other, t[k]), np.maximum(other, t[k]), least
+
+    def run(batches):
+        found, size = [], 0
+
+        def given():
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=["a", "b", "least"])
+
+        for rows in _grouped(batches):
+            cuts = np.flatnonzero(np.r_[True, rows[0, 1:] != rows[0, :-1], True])
+            for at, end in zip(cuts, cuts[1:], strict=False):
+                _, t, root, n = rows[:, at:end]
+                if (root == root[0]).all():
+                    continue
+                for part in of_group(t, root, n):
+                    found.append(part)
+                    size += len(part[0])
+                    if size >= OUT:
+                        yield given()
+                        found, size = [], 0
+        if found:
+            yield given()
+
+    met = dealt.mapInArrow(run, "a bigint, b bigint, least bigint").groupBy("a", "b", "least").agg(F.count(F.lit(1)).alias("n"))
+    return met.where("n >= least").select("a", "b")
+
+
 def alike(docs: DataFrame, pairs: DataFrame, text: str, similarity: float) -> DataFrame:
     """The pairs of digests whose texts' shingle sets are at least that similar (Jaccard), measured on whole sets."""
     named = pairs.select(F.explode(F.array("a", "b")).alias("_t")).distinct()
@@ -181,7 +303,11 @@ def deduplicated(docs: DataFrame, id_: str = "doc_id", text: str = "text", simil
         near = near.join(by_fp.select(F.col("_fp").alias(side), F.col("_first").alias(f"_{side}")), side).drop(side).withColumnRenamed(f"_{side}", side)
     every = equal.unionByName(near).unionByName(band_pairs(texts))
     pairs = written(every.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    roots = components(alike(docs, pairs, text, similarity))
+    edges = written(alike(docs, pairs, text, similarity), "edges")
+    # then what is still apart: a large group is no longer all its pairs
+    shared = written(shared_shingles(own.select("_text", "_t"), frequent_shingles(own), similarity), "shared")
+    rest = written(prefix_pairs(shared, components(edges), similarity).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    roots = components(edges.unionByName(alike(docs, rest, text, similarity)))
     found = marked.select("_id", "_t").join(roots, marked["_t"] == roots["node"], "left")
     # texts without words are not in the bands; they have one fingerprint, and empty sets are alike
     return one_of_each(docs, found.select("_id", "_t", F.coalesce("root", "_t").alias("_root")), id_, text)

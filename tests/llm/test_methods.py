@@ -70,6 +70,30 @@ def test_a_large_group_of_near_copies(spark):
     assert nearcopies.band_pairs(texts).count() < nearcopies.BANDS * 401
 
 
+def test_no_pair_of_the_similarity_is_missed(spark):
+    """2,000 pairs that share 50 of 62 shingles: some of them in none of the bands."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(2000):
+        words = [f"w{x}" for x in rng.integers(0, 10**6, 60)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join([*words[:54], *(f"x{x}" for x in rng.integers(0, 10**6, 6))]))]
+    left = nearcopies.deduplicated(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()
+    assert sorted(r["doc_id"] for r in left) == list(range(0, 4000, 2))
+
+
+def test_prefixes_meet(spark):
+    """Sets of the similarity share a shingle of their prefixes, whatever is frequent."""
+    rng = np.random.default_rng(5)
+    for n in range(1, 60):
+        for _ in range(20):
+            common = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+            sets = [np.unique(np.r_[common, rng.integers(0, 2**63, int(rng.integers(0, n // 4 + 1)), dtype=np.uint64)]) for _ in range(2)]
+            shared = len(np.intersect1d(*sets))
+            frequent = np.sort(rng.permutation(common)[: int(rng.integers(0, n + 1))])
+            if shared >= 0.8 * (len(sets[0]) + len(sets[1]) - shared):
+                assert len(np.intersect1d(*(nearcopies.prefix(s, frequent, 0.8) for s in sets)))
+
+
 # -- co-training --------------------------------------------------------------------------------
 
 
