@@ -3,6 +3,7 @@
 import random
 import re
 import time
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -259,6 +260,22 @@ def test_a_text_that_does_not_fit_is_left_out_alone(spark):
     assert got[1] > 0.8 > 0.2 > got[0]
 
 
+def test_every_labelled_document_teaches(spark):
+    """A word of three documents among thousands is learned, whatever a task holds at once; thresholds count all that are set aside."""
+    rng = np.random.default_rng(2)
+    name = lambda x: "".join(chr(97 + x // 26**k % 26) for k in range(3))
+    words = lambda i: [name(x) for x in rng.integers(0, 300, 12)] + (["vile" + name(i // 8 % 100)] if i % 8 == 0 else [])
+    rows = [(i, " ".join(words(i)), "en") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    known = spark.createDataFrame([(i, int(i % 8 == 0)) for i in range(4000)], "doc_id long, toxic int")
+    net = toxicity.fit(docs, known, rows=200)
+    taught = [t for i, t, _ in rows if i % 8 == 0 and zlib.crc32(str(i).encode()) % 4 != 2 and zlib.crc32(f"check {i}".encode()) % 5]
+    used = [toxicity.pair(t.split()[-1].encode())[0] for t in taught]
+    assert {h for h in used if used.count(h) >= 3} <= set(net.seen.tolist())
+    got = toxicity.scored(docs, net).collect()
+    assert sum((r["score"] >= 0.3) != (r["doc_id"] % 8 == 0) for r in got) <= 8 and net.thresholds
+
+
 def test_scores_like_brute_force():
     rng = np.random.default_rng(4)
     seen = np.sort(rng.choice(toxicity.HASHES, 50, replace=False)).astype(np.int64)
