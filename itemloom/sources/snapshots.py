@@ -171,16 +171,15 @@ class SnapshotStore:
         order: Sequence[str],
         count: int,
         version: int,
-        tasks: int | None = None,
         names: Mapping[str, Any] | None = None,
     ) -> dict[str, Any]:
-        """Writes rows in buckets by a hash of some columns, sorted in each, and gives the manifest entry of these buckets.
+        """Writes rows in buckets by a hash of some columns, sorted in each file, and gives the manifest entry of these buckets.
 
-        Rows with a null in one of the columns are in the first bucket.
+        Rows with a null in one of the columns are in the first bucket. A bucket that is large for one task is written by several.
         """
         path = f"{name}/v={version:09d}"
         bucket = F.coalesce(bucket_of([quoted(k) for k in hashed], count), F.lit(0))
-        rows = df.withColumn(BUCKET, bucket).repartition(tasks or count, BUCKET)
+        rows = df.withColumn(BUCKET, bucket).hint("rebalance", BUCKET)
         rows = rows.sortWithinPartitions(BUCKET, *[quoted(k) for k in order])
         # attributes go by the names that they have in files; a new one must not take the name of one that was dropped
         names = {k: (names or {}).get(k, []) for k in ("physical", "retired")}
@@ -260,8 +259,7 @@ class SnapshotStore:
 
     def _replaced(self, name: str, entry: Mapping[str, Any], df: DataFrame, buckets: Sequence[int], version: int) -> dict[str, Any]:
         """The entry with some buckets written anew. Files without an attribute read it as null."""
-        tasks = min(2 * len(buckets), entry["buckets"])
-        new = self._laid_out(name, df, entry["hashed"], entry["order"], entry["buckets"], version, tasks, entry)
+        new = self._laid_out(name, df, entry["hashed"], entry["order"], entry["buckets"], version, entry)
         if any(int(b) not in buckets for b in new["parts"]):
             raise ValidationError(f"the change of {name!r} reaches items of other keys")
         kept = {b: p for b, p in entry["parts"].items() if int(b) not in buckets}

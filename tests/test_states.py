@@ -400,3 +400,17 @@ def test_scratch_data_goes_with_its_scope(spark, tmp_path):
         assert path.startswith(folder) and spark.read.parquet(path).count() == 5
     assert not (tmp_path / "shared").exists() or list((tmp_path / "shared").iterdir()) == []
     assert not scratch_dir(spark, "x").startswith(root)
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "100000")
+    try:
+        store = SnapshotStore(spark, str(tmp_path))
+        rows = spark.range(0, 200_000, 1, 8).selectExpr("id", "sha2(string(id), 256) AS note")
+        store.commit({"t": ItemTable("t", rows, "id")}, buckets=2)
+        assert len(store.read("t").inputFiles()) > 4
+        assert store.count("t") == store.read("t").distinct().count() == 200_000
+    finally:
+        spark.conf.set(key, before)
