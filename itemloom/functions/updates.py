@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..errors import ValidationError
 from ..table import quoted
+from .documents import bound
 from .exprs import bind, sql_literal
 from .tagged import DESCRIPTORS, untag
 from .types import loose
@@ -417,6 +418,15 @@ def decimal_sum(a: Column, b: Column, kind: T.DecimalType, minus: bool = False)
     return F.concat(sign, F.translate(high.cast("string"), "-", ""), F.lit("."), digits).try_cast(kind)
 
 
+# Fixed value: a whole number that every reading takes alike.
+FEW_DIGITS = r"^[+-]?[0-9]{1,18}$"
+
+
+def _whole(exact: Column, to: T.IntegralType) -> Column:
+    """The number in a whole-number type; null if it would change there."""
+    return bound(exact, lambda x: F.when(x.try_cast(to).cast(EXACT) == x, x.try_cast(to)))
+
+
 def fitted(value: Column, kind: T.DataType, to: T.DataType) -> tuple[Column, Column | None]:
     """The value as type ``to``, and where a value there is does not keep itself in it (None: it always does).
 
@@ -437,6 +447,10 @@ def fitted(value: Column, kind: T.DataType, to: T.DataType) -> tuple[Column, Col
         new = kept_decimal(value, kind, to)
         return new, value.isNotNull() & new.isNull()
     if isinstance(to, T.IntegralType):
+        if isinstance(kind, T.StringType):
+            # few digits are read at once; the long way is worked out once, in a lambda function: generated code with it is too long to be compiled
+            new = F.when(value.rlike(FEW_DIGITS), value.try_cast(to)).otherwise(bound(value, lambda text: _whole(exact_number(text, kind), to)))
+            return new, value.isNotNull() & new.isNull()
         exact = exact_number(value, kind)
         new = exact.try_cast(to)
         return new, value.isNotNull() & ~F.coalesce(new.cast(EXACT) == exact, F.lit(False))

@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 from typing import Any
 
 from pyspark.errors import PySparkException
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import VALIDATION, ValidationError
+from ..functions.documents import bound
 from ..functions.exprs import sql_literal
 from ..functions.tagged import untag
 from ..functions.types import descriptor_of
@@ -67,17 +69,13 @@ def insert_value(table: ItemTable, rows: DataFrame, literals: bool = False, on_c
     if on_conflict not in (None, "nothing"):
         raise ValidationError(f"cannot do {on_conflict!r} on a conflict")
     if literals:
-        typed, bad = [], F.lit(False)
         for name in rows.columns:
             if name not in table.df.columns:
                 raise ValidationError(f"table {table.name!r} has no attribute {name!r}")
-            kind = table.df.schema[name].dataType
-            value, off = typed_literal(quoted(name), kind)
-            none = F.coalesce(_no_literal(quoted(name), kind), F.lit(False))
-            if off is not None:
-                value, bad = F.when(~off, value), bad | (off & ~none)
-            typed.append(F.when(none, _failed(quoted(name), kind)).otherwise(value).alias(name))
-        rows = rows.select(*typed, bad.alias(BAD))
+        # a literal is read once, however often the reading mentions it, and outside the generated code, which it would make too long to be compiled
+        read = rows.select(*[bound(quoted(n), _literal_reader(table.df.schema[n].dataType)).alias(n) for n in rows.columns])
+        bad = reduce(lambda a, b: a | b, (quoted(n)["off"] for n in rows.columns), F.lit(False))
+        rows = read.select(*[quoted(n)["value"].alias(n) for n in rows.columns], bad.alias(BAD))
     rejected = None
     if BAD in rows.columns:
         rejected = rows.where(F.col(BAD)).select(*[quoted(k) for k in table.keys], F.lit(VALIDATION).alias("code"))
@@ -87,6 +85,18 @@ def insert_value(table: ItemTable, rows: DataFrame, literals: bool = False, on_c
     return result if rejected is None else replace(result, rejected=_with(result.rejected, rejected))
 
 
+def _literal_reader(kind: T.DataType) -> Callable[[Column], Column]:
+    """Of literal text, ``value`` in the attribute's type and ``off`` where it does not keep itself there; no literal at all is an error."""
+
+    def read(text: Column) -> Column:
+        none = F.coalesce(_no_literal(text, kind), F.lit(False))
+        # a value that does not keep itself is null
+        one = lambda v: F.struct(v.alias("value"), (text.isNotNull() & v.isNull()).alias("off"))
+        return bound(F.when(none, _failed(text, kind)).otherwise(typed_literal(text, kind)[0]), one)
+
+    return read
+
+
 _TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 
 

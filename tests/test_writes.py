@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -322,3 +323,23 @@ def test_transactions_shuffle_the_table_once(spark, sf, shuffled):
     state = transact_write(found, [Put("orders", part(k)) for k in range(3)]).states["orders"]
     plan = state._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FullOuter") == 1 and plan.count("SortMergeJoin") == 1
+
+
+def test_literals_are_read_once(spark):
+    """Odd literals, and generated code short enough for the JVM to compile: longer methods than 8,000 bytes stay interpreted."""
+    table = ItemTable("t", spark.createDataFrame([(1, 1, 1.0)], "k long, n int, d double"), "k")
+    texts = ["7", "-007", "+5", "1e3", "12.0", "120", "1.5", "2147483648", "999999999999999999999", "00000000000000000000012", "1e-12", None]
+    given = spark.createDataFrame([(str(100 + i), x, x) for i, x in enumerate(texts)], "k string, n string, d string")
+    result = insert_value(table, given, literals=True)
+    refused = {100 + i for i, x in enumerate(texts) if x in ("1.5", "2147483648", "999999999999999999999", "1e-12")}
+    assert {r["k"] for r in result.failures.collect()} == refused
+    state = {r["k"]: (r["n"], r["d"]) for r in result.state.collect() if r["k"] >= 100}
+    whole = [7, -7, 5, 1000, 12, 120, None, None, None, 12, None, None]
+    assert state == {100 + i: (whole[i], None if x is None else float(x)) for i, x in enumerate(texts) if 100 + i not in refused}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        shown = spark._jvm.PythonSQLUtils.explainString(insert_value(table, given, literals=True).state._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", shown)]
+    assert sizes and max(sizes) < 8000
