@@ -30,6 +30,10 @@ PAIRS = 500
 ALIKE = 0.6
 #: texts in which frequent shingles are looked for, and in how many of them one is frequent; they only order shingles, any order is exact
 LOOKED, FREQUENT = 16_384, 3
+#: bits of a text's parity map: each shingle of its set turns one of them
+BITS = 1024
+#: first keys of a text that its rows carry: two texts that share one of them have met there before
+FIRST = 8
 #: what rounding may add to a product of a similarity and a size
 _EPS = 1e-9
 #: candidates of a task that are given on at once
@@ -65,6 +69,17 @@ def least_hashes(found: np.ndarray) -> np.ndarray:
     return out.astype(np.uint32)
 
 
+def parities(found: np.ndarray) -> bytes:
+    """A bit map in which each shingle of a set turns one bit: two maps differ in no more bits than the sets differ in shingles."""
+    turned = np.bincount((found % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(turned.astype(np.uint8)).tobytes()
+
+
+def most_apart(sizes, similarity: float):
+    """Shingles that are in one only of two sets of the similarity, at most; ``sizes`` is the sum of both."""
+    return np.floor((1 - similarity) / (1 + similarity) * sizes + _EPS)
+
+
 def frequent_shingles(texts: DataFrame, looked: int = LOOKED) -> np.ndarray:
     """Shingles that are in many texts, sorted, as about ``looked`` of the texts (``_text``, ``_t``) show. They come last in the order of
     shingles, which keeps what many texts share out of their prefixes."""
@@ -95,25 +110,27 @@ def prefix(found: np.ndarray, frequent: np.ndarray, similarity: float) -> np.nda
 
 
 def sketches(docs: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
-    """``_fp``, ``_least`` (packed least hashes) and ``_bands`` (a key per band; none for a text without words) of every whole text."""
+    """``_fp``, ``_least`` (packed least hashes), ``_bands`` (a key per band; none for a text without words) and ``_parity`` of every whole text."""
 
     def run(texts):
-        fps, least, bands = [], [], []
+        fps, least, bands, parity = [], [], [], []
         weights = np.array([pow(0x100000001B3, k, 2**64) for k in range(ROWS)], np.uint64)
         for value in texts:
             hashes = shingle_hashes(value or "")
             fps.append(int(np.uint64(fingerprint_of(hashes)).view(np.int64)))
+            found = shingle_set(hashes)
+            parity.append(parities(found))
             if not len(hashes):
                 least.append(b"")
                 bands.append([])
                 continue
-            own = least_hashes(shingle_set(hashes))
+            own = least_hashes(found)
             keys = mixed((own.reshape(BANDS, ROWS).astype(np.uint64) * weights).sum(axis=1) + np.arange(BANDS, dtype=np.uint64))
             least.append(own.tobytes())
             bands.append(keys.view(np.int64).tolist())
-        return [fps, least, bands]
+        return [fps, least, bands, parity]
 
-    return batchwise(docs, [text], "`_fp` bigint, `_least` binary, `_bands` array<bigint>", lambda: run, keep)
+    return batchwise(docs, [text], "`_fp` bigint, `_least` binary, `_bands` array<bigint>, `_parity` binary", lambda: run, keep)
 
 
 def grown(least: np.ndarray, share: float = ALIKE) -> tuple[np.ndarray, np.ndarray]:
@@ -171,12 +188,18 @@ def band_pairs(texts: DataFrame) -> DataFrame:
 
 
 def _grouped(batches):
-    """Sorted rows as whole-number arrays, a row of each per column; equal values of the first column come together."""
+    """Sorted rows as whole-number arrays, a row of each per column (bytes: per eight of them); equal values of the first column come together."""
+
+    def whole(column):
+        if pa.types.is_binary(column.type):
+            return np.frombuffer(b"".join(column.to_pylist()), np.int64).reshape(len(column), -1).T
+        return column.to_numpy().astype(np.int64)[None]
+
     waiting = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        part = np.stack([c.to_numpy().astype(np.int64) for c in batch.columns])
+        part = np.concatenate([whole(c) for c in batch.columns])
         last = np.flatnonzero(part[0] != part[0, -1])
         if not len(last) and (not waiting or waiting[0][0, 0] == part[0, 0]):
             waiting.append(part)
@@ -210,38 +233,56 @@ def shared_shingles(texts: DataFrame, frequent: np.ndarray, similarity: float) -
     return dealt.mapInArrow(run, "key bigint, _t bigint, _n bigint")
 
 
-def prefix_pairs(shared: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+def prefix_pairs(shared: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Candidates ``a, b`` from ``shared_shingles``: all pairs of texts in different components that can have the similarity.
 
-    What two prefixes do not show of the shared shingles is behind one of them. So the shingles shared by the prefixes, and the longer
-    one of the two rests, have to reach the number that the similarity asks for. No pair of it is missing.
+    Texts whose parity maps (``_t``, ``_parity`` of ``texts``) differ in more bits than sets of the similarity can in shingles are left
+    out where they meet, so what many texts share does not give rows for all their pairs; and a pair is not given again under a key when
+    an earlier one is known to have given it. No pair of the similarity is missing.
     """
     placed = shared.join(roots, F.col("_t") == F.col("node"), "left").select("key", "_t", F.coalesce("root", "_t").alias("_root"), "_n")
-    dealt = placed.repartition("key").sortWithinPartitions("key")
 
-    def of_group(t, root, n):
+    def several(batches):
+        """Rows of the keys that texts of several components have."""
+        for rows in _grouped(batches):
+            cuts = np.flatnonzero(np.r_[True, rows[0, 1:] != rows[0, :-1]])
+            apart = np.minimum.reduceat(rows[2], cuts) != np.maximum.reduceat(rows[2], cuts)
+            rows = rows[:, np.repeat(apart, np.diff(np.r_[cuts, rows.shape[1]]))]
+            if rows.shape[1]:
+                yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=["key", "_t", "_root", "_n"])
+
+    apart = placed.repartition("key").sortWithinPartitions("key").mapInArrow(several, "key bigint, _t bigint, _root bigint, _n bigint")
+    apart = written(apart, "apart")
+    first = apart.groupBy("_t").agg(F.sort_array(F.collect_list("key")).alias("_first"))
+    none = F.lit(np.iinfo(np.int64).max)
+    firsts = [F.coalesce(F.get("_first", F.lit(i)), none).alias(f"_first{i}") for i in range(FIRST)]
+    mapped = apart.join(texts.select("_t", "_parity"), "_t").join(first, "_t").select("key", "_t", "_root", "_n", *firsts, "_parity")
+    dealt = mapped.repartition("key").sortWithinPartitions("key", "_n")
+
+    def of_group(key, t, root, n, firsts, parity):
+        # by size: texts of the similarity stand close
+        upto = np.searchsorted(n, n / similarity + _EPS, "right")
         for k in range(len(t) - 1):
-            a, b = n[k], n[k + 1 :]
-            ok = (root[k + 1 :] != root[k]) & (np.minimum(a, b) >= similarity * np.maximum(a, b) - _EPS)
+            others = slice(k + 1, upto[k])
+            ok = root[others] != root[k]
+            ok &= np.bitwise_count(parity[others] ^ parity[k]).sum(axis=1, dtype=np.int64) <= most_apart(n[others] + n[k], similarity)
             if ok.any():
-                other, size = t[k + 1 :][ok], b[ok]
-                rest = np.maximum(a - prefix_size(a, similarity), size - prefix_size(size, similarity))
-                least = np.ceil(similarity / (1 + similarity) * (a + size) - _EPS).astype(np.int64) - rest
-                yield np.minimum(other, t[k]), np.maximum(other, t[k]), least
+                other, shown = t[others][ok], firsts[others][ok]
+                fresh = ~(np.isin(shown, firsts[k]) & (shown < key)).any(axis=1)
+                yield np.minimum(other, t[k])[fresh], np.maximum(other, t[k])[fresh]
 
     def run(batches):
         found, size = [], 0
 
         def given():
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=["a", "b", "least"])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=["a", "b"])
 
         for rows in _grouped(batches):
             cuts = np.flatnonzero(np.r_[True, rows[0, 1:] != rows[0, :-1], True])
             for at, end in zip(cuts, cuts[1:], strict=False):
-                _, t, root, n = rows[:, at:end]
-                if (root == root[0]).all():
-                    continue
-                for part in of_group(t, root, n):
+                _, t, root, n = rows[:4, at:end]
+                firsts, parity = (np.ascontiguousarray(part.T) for part in np.split(rows[4:, at:end], [FIRST]))
+                for part in of_group(rows[0, at], t, root, n, firsts, parity.view(np.uint64)):
                     found.append(part)
                     size += len(part[0])
                     if size >= OUT:
@@ -250,8 +291,7 @@ def prefix_pairs(shared: DataFrame, roots: DataFrame, similarity: float) -> Data
         if found:
             yield given()
 
-    met = dealt.mapInArrow(run, "a bigint, b bigint, least bigint").groupBy("a", "b", "least").agg(F.count(F.lit(1)).alias("n"))
-    return met.where("n >= least").select("a", "b")
+    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def alike(docs: DataFrame, pairs: DataFrame, text: str, similarity: float) -> DataFrame:
@@ -294,7 +334,7 @@ def deduplicated(docs: DataFrame, id_: str = "doc_id", text: str = "text", simil
     """
     own = docs.select(F.col(f"`{id_}`").alias("_id"), F.col(f"`{text}`").alias("_text"), text_digest(F.col(f"`{text}`")).alias("_t"))
     marked = written(sketches(own, "_text", ["_id", "_t"]), "sketches")
-    texts = written(marked.groupBy("_t").agg(F.first("_fp").alias("_fp"), F.first("_least").alias("_least"), F.first("_bands").alias("_bands")), "texts")
+    texts = written(marked.groupBy("_t").agg(F.first("_fp").alias("_fp"), F.first("_least").alias("_least"), F.first("_bands").alias("_bands"), F.first("_parity").alias("_parity")), "texts")
     # one text stands for all of a fingerprint
     by_fp = written(texts.groupBy("_fp").agg(F.min("_t").alias("_first")), "texts")
     equal = texts.join(by_fp, "_fp").where("_t <> _first").select(F.col("_first").alias("a"), F.col("_t").alias("b"))
@@ -306,7 +346,7 @@ def deduplicated(docs: DataFrame, id_: str = "doc_id", text: str = "text", simil
     edges = written(alike(docs, pairs, text, similarity), "edges")
     # then what is still apart: a large group is no longer all its pairs
     shared = written(shared_shingles(own.select("_text", "_t"), frequent_shingles(own), similarity), "shared")
-    rest = written(prefix_pairs(shared, components(edges), similarity).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    rest = written(prefix_pairs(shared, components(edges), texts, similarity).join(pairs, ["a", "b"], "left_anti"), "pairs")
     roots = components(edges.unionByName(alike(docs, rest, text, similarity)))
     found = marked.select("_id", "_t").join(roots, marked["_t"] == roots["node"], "left")
     # texts without words are not in the bands; they have one fingerprint, and empty sets are alike

@@ -362,3 +362,29 @@ def test_tree_like_brute_force(spark, shards):
     df = spark.createDataFrame([(i, *u) for i, u in enumerate(units)], "i long, bytes long, a long, b long, c long, _tie long")
     got = {r["i"]: r["shard"] for r in sharding.leaves(df, ["a", "b", "c"], shards).collect()}
     assert got == brute_leaves(units, 3, shards)
+
+
+def test_common_passages_give_no_squares(spark):
+    """Texts that share a passage meet under its shingles; only those that can be alike give rows, one a pair, and none is missing."""
+    rng = random.Random(5)
+    passage = " ".join(f"c{i}" for i in range(30))
+    texts = [" ".join(f"w{rng.random()}" for _ in range(70)) for _ in range(200)]
+    texts += [" ".join(["z", *t.split()[:-5]]) for t in texts[:10]]
+    docs = spark.createDataFrame([(i, f"{passage} {t}") for i, t in enumerate(texts)], "doc_id long, _text string").withColumn("_t", F.xxhash64("_text"))
+    shared = nearcopies.shared_shingles(docs.select("_text", "_t"), np.zeros(0, np.uint64), 0.8)
+    assert shared.groupBy("key").count().agg(F.max("count")).first()[0] == len(texts)
+    roots = spark.createDataFrame([], "node long, root long")
+    pairs = nearcopies.prefix_pairs(shared, roots, nearcopies.sketches(docs, "_text", ["_t"]), 0.8)
+    sets = {r["_t"]: set(nearcopies.shingle_set(nearcopies.shingle_hashes(r["_text"])).tolist()) for r in docs.collect()}
+    alike = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    found = [tuple(r) for r in pairs.collect()]
+    assert len(alike) == 10 and alike <= set(found) and len(found) == len(set(found)) < len(texts)
+
+
+def test_parities_differ_no_more_than_sets():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 7, 300, 3000):
+        both = rng.integers(0, 2**64, n, np.uint64)
+        a, b = (np.unique(np.r_[both, rng.integers(0, 2**64, n // 10, np.uint64)]) for _ in range(2))
+        maps = [np.frombuffer(nearcopies.parities(x), np.uint64) for x in (a, b)]
+        assert np.bitwise_count(maps[0] ^ maps[1]).sum() <= len(np.setxor1d(a, b))
