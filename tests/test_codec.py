@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from itemloom import ValidationError, decode_columns, decode_items, encode_items, read_row_types, validate_nested_sets
-from itemloom.functions import documents, values
+from itemloom.functions import documents, values, walks
 from itemloom.functions.codec import nested_set_attributes, tagged_column
 from itemloom.functions.tagged import untag
 from itemloom.functions.types import descriptor_of, spark_type, stored_type
@@ -245,3 +245,22 @@ def test_walks_agree_with_expressions(spark):
     docs = [t for t in texts[:4]]
     tag = lambda depth: column(spark, docs, "string", lambda c: F.to_json(tagged_column(F.parse_json(c), T.VariantType(), depth=depth)))
     assert tag(None) == tag(8)
+
+
+def test_walks_make_no_readers_by_the_value(monkeypatch):
+    """Readers and writers of JSON are made once; a document is walked alike by calls and, where it is deeper, by a list."""
+    made = []
+    for kind in (json.JSONDecoder, json.JSONEncoder):
+        before = kind.__init__
+        monkeypatch.setattr(kind, "__init__", lambda self, *a, _before=before, **k: (made.append(1), _before(self, *a, **k))[1])
+    for levels in (0, 1, 8, 31, 32, 33, 500):
+        text = '[{"k\\"é":' * levels + '[1.50,"x\\n",null,true,{},[],{"M":3},{"L":[]},-0.0]' + "}]" * levels
+        tagged = walks.rebuilt(walks._load(text), walks.tagged)
+        assert tagged == walks.rebuilt_deep(walks._load(text), walks.tagged)
+        plain = walks.rebuilt(walks._load(tagged), walks.untagged)
+        assert plain == walks.rebuilt_deep(walks._load(tagged), walks.untagged)
+        assert plain == text.replace("1.50", "1.5").replace("-0.0", "-0")
+    for odd in ('{"M":3}', '{"L":{}}', '{"M":[1]}', '{"M":{"S":"a"},"L":[1]}', '{"S":"a","M":{}}', '{"L":[{"M":{"k":{"N":"1"}}}]}', "{}"):
+        assert walks.rebuilt(walks._load(odd), walks.untagged) == walks.rebuilt_deep(walks._load(odd), walks.untagged)
+    assert walks.rebuilt(walks._load('{"M":{"S":"a"},"L":[1]}'), walks.untagged) == '{"S":"a"}'
+    assert not made
