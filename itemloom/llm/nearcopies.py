@@ -30,8 +30,10 @@ PAIRS = 500
 ALIKE = 0.6
 #: texts in which frequent shingles are looked for, and in how many of them one is frequent; they only order shingles, any order is exact
 LOOKED, FREQUENT = 16_384, 3
-#: bits of a text's parity map: each shingle of its set turns one of them
+#: bits of a text's parity map, at least: each shingle of its set turns one of them, and a bit stands for no more than two shingles
 BITS = 1024
+#: texts that share a shingle, of which each looks at all others before any goes on
+FEW = 16
 #: first keys of a text that its rows carry: two texts that share one of them have met there before
 FIRST = 8
 #: what rounding may add to a product of a similarity and a size
@@ -70,16 +72,31 @@ def least_hashes(found: np.ndarray) -> np.ndarray:
 
 
 def parities(found: np.ndarray) -> bytes:
-    """A bit map in which each shingle of a set turns one bit: two maps differ in no more bits than the sets differ in shingles."""
-    turned = np.bincount((found % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    """A bit map in which each shingle of a set turns one bit: two maps differ in no more bits than the sets differ in shingles.
+
+    Larger sets have maps of more bits (a power of two), which can be ``folded`` to those of a smaller one.
+    """
+    bits = max(BITS, 1 << (max(len(found) - 1, 1) // 2).bit_length())
+    turned = np.bincount((found % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(turned.astype(np.uint8)).tobytes()
 
 
+def folded(maps: np.ndarray) -> np.ndarray:
+    """Rows of maps as those of half as many bits."""
+    half = maps.shape[1] // 2
+    return maps[:, :half] ^ maps[:, half:]
+
+
 def most_apart(sizes, similarity: float):
     """Shingles that are in one only of two sets of the similarity, at most; ``sizes`` is the sum of both."""
     return np.floor((1 - similarity) / (1 + similarity) * sizes + _EPS)
 
 
+def can_share(n, rest, other_n, other_rest, similarity: float):
+    """Whether two sets can have the similarity that share no shingle before the ones from which on ``rest`` and ``other_rest`` are left."""
+    return np.minimum(rest, other_rest) >= np.ceil(similarity / (1 + similarity) * (n + other_n) - _EPS)
+
+
 def frequent_shingles(texts: DataFrame, looked: int = LOOKED) -> np.ndarray:
     """Shingles that are in many texts, sorted, as about ``looked`` of the texts (``_text``, ``_t``) show. They come last in the order of
     shingles, which keeps what many texts share out of their prefixes."""
@@ -188,88 +205,121 @@ def band_pairs(texts: DataFrame) -> DataFrame:
 
 
 def _grouped(batches):
-    """Sorted rows as whole-number arrays, a row of each per column (bytes: per eight of them); equal values of the first column come together."""
+    """Sorted rows as whole-number arrays, a row of each per column, and the last column as objects if it holds bytes; equal values of
+    the first column come together."""
+    waiting = []
 
-    def whole(column):
-        if pa.types.is_binary(column.type):
-            return np.frombuffer(b"".join(column.to_pylist()), np.int64).reshape(len(column), -1).T
-        return column.to_numpy().astype(np.int64)[None]
+    def joined():
+        return np.concatenate([w[0] for w in waiting], axis=1), np.concatenate([w[1] for w in waiting])
 
-    waiting = []
     for batch in batches:
         if not batch.num_rows:
             continue
-        part = np.concatenate([whole(c) for c in batch.columns])
+        columns, maps = list(batch.columns), np.zeros(batch.num_rows, object)
+        if pa.types.is_binary(columns[-1].type):
+            maps[:] = columns.pop().to_pylist()
+        part = np.stack([c.to_numpy().astype(np.int64) for c in columns])
         last = np.flatnonzero(part[0] != part[0, -1])
-        if not len(last) and (not waiting or waiting[0][0, 0] == part[0, 0]):
-            waiting.append(part)
+        if not len(last) and (not waiting or waiting[0][0][0, 0] == part[0, 0]):
+            waiting.append((part, maps))
             continue
         upto = int(last[-1]) + 1 if len(last) else 0
-        yield np.concatenate([*waiting, part[:, :upto]], axis=1)
-        waiting = [part[:, upto:]]
+        waiting.append((part[:, :upto], maps[:upto]))
+        yield joined()
+        waiting = [(part[:, upto:], maps[upto:])]
     if waiting:
-        yield np.concatenate(waiting, axis=1)
+        yield joined()
+
+
+def _partnered(key: np.ndarray, n: np.ndarray, rest: np.ndarray, similarity: float) -> np.ndarray:
+    """Which rows, sorted by key and then by size, have one under their key that they can be alike with; of more than ``FEW`` rows all do."""
+    new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    sizes = np.diff(np.r_[new, len(key)])
+    many = np.repeat(sizes > FEW, sizes)
+    good, i = many.copy(), np.flatnonzero(~many)
+    for step in range(1, FEW):
+        i = i[i + step < len(key)]
+        i = i[(key[i] == key[i + step]) & (n[i + step] <= n[i] / similarity + _EPS)]
+        met = i[can_share(n[i], rest[i], n[i + step], rest[i + step], similarity)]
+        good[met] = good[met + step] = True
+    return good
 
 
 def shared_shingles(texts: DataFrame, frequent: np.ndarray, similarity: float) -> DataFrame:
-    """``key, _t, _n``: the shingles that are in the prefixes of several different texts (``_text``, ``_t``), and the size of each one's set."""
+    """``key, _t, _n, _rest``: the shingles that are in the prefixes of several different texts (``_text``, ``_t``), the size of each one's
+    set, and how many of its shingles are not before this one. Where few texts share one, those that can be alike with none of them at
+    it are left out: the first shingle that two sets of the similarity share keeps both."""
 
     def firsts(values):
         sets = [shingle_set(shingle_hashes(t or "")) for t in values]
         return [[prefix(s, frequent, similarity).view(np.int64).tolist() for s in sets], [len(s) for s in sets]]
 
     own = batchwise(texts, ["_text"], "`_prefix` array<bigint>, `_n` int", lambda: firsts, ["_t"])
-    dealt = own.select(F.explode("_prefix").alias("key"), "_t", "_n").repartition("key").sortWithinPartitions("key", "_t")
+    each = own.select("_t", "_n", F.posexplode("_prefix").alias("_at", "key")).select("key", "_t", "_n", (F.col("_n") - F.col("_at")).alias("_rest"))
+    dealt = each.repartition("key").sortWithinPartitions("key", "_n", "_t")
 
     def run(batches):
-        for rows in _grouped(batches):
+        for rows, _ in _grouped(batches):
             # copies are one text
             rows = rows[:, np.r_[True, (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)]]
             same = rows[0, 1:] == rows[0, :-1]
             rows = rows[:, np.r_[False, same] | np.r_[same, False]]
             if rows.shape[1]:
-                yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=["key", "_t", "_n"])
+                rows = rows[:, _partnered(rows[0], rows[2], rows[3], similarity)]
+            if rows.shape[1]:
+                yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=["key", "_t", "_n", "_rest"])
 
-    return dealt.mapInArrow(run, "key bigint, _t bigint, _n bigint")
+    return dealt.mapInArrow(run, "key bigint, _t bigint, _n bigint, _rest bigint")
 
 
 def prefix_pairs(shared: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Candidates ``a, b`` from ``shared_shingles``: all pairs of texts in different components that can have the similarity.
 
     Texts whose parity maps (``_t``, ``_parity`` of ``texts``) differ in more bits than sets of the similarity can in shingles are left
-    out where they meet, so what many texts share does not give rows for all their pairs; and a pair is not given again under a key when
-    an earlier one is known to have given it. No pair of the similarity is missing.
+    out where they meet, so what many texts share does not give rows for all their pairs; nor do those give any that have too few
+    shingles left. A pair is not given again under a key when an earlier one is known to be its first. No pair of the similarity is missing.
     """
-    placed = shared.join(roots, F.col("_t") == F.col("node"), "left").select("key", "_t", F.coalesce("root", "_t").alias("_root"), "_n")
+    placed = shared.join(roots, F.col("_t") == F.col("node"), "left").select("key", "_t", F.coalesce("root", "_t").alias("_root"), "_n", "_rest")
 
     def several(batches):
         """Rows of the keys that texts of several components have."""
-        for rows in _grouped(batches):
+        for rows, _ in _grouped(batches):
             cuts = np.flatnonzero(np.r_[True, rows[0, 1:] != rows[0, :-1]])
             apart = np.minimum.reduceat(rows[2], cuts) != np.maximum.reduceat(rows[2], cuts)
             rows = rows[:, np.repeat(apart, np.diff(np.r_[cuts, rows.shape[1]]))]
             if rows.shape[1]:
-                yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=["key", "_t", "_root", "_n"])
+                yield pa.RecordBatch.from_arrays([pa.array(r) for r in rows], names=["key", "_t", "_root", "_n", "_rest"])
 
-    apart = placed.repartition("key").sortWithinPartitions("key").mapInArrow(several, "key bigint, _t bigint, _root bigint, _n bigint")
+    apart = placed.repartition("key").sortWithinPartitions("key").mapInArrow(several, "key bigint, _t bigint, _root bigint, _n bigint, _rest bigint")
     apart = written(apart, "apart")
-    first = apart.groupBy("_t").agg(F.sort_array(F.collect_list("key")).alias("_first"))
+    # in the order of all shingles, which is that of every prefix
+    first = apart.groupBy("_t").agg(F.sort_array(F.collect_list(F.struct("_rest", "key")), False)["key"].alias("_first"))
     none = F.lit(np.iinfo(np.int64).max)
     firsts = [F.coalesce(F.get("_first", F.lit(i)), none).alias(f"_first{i}") for i in range(FIRST)]
-    mapped = apart.join(texts.select("_t", "_parity"), "_t").join(first, "_t").select("key", "_t", "_root", "_n", *firsts, "_parity")
+    mapped = apart.join(texts.select("_t", "_parity"), "_t").join(first, "_t").select("key", "_t", "_root", "_n", "_rest", *firsts, "_parity")
     dealt = mapped.repartition("key").sortWithinPartitions("key", "_n")
 
-    def of_group(key, t, root, n, firsts, parity):
-        # by size: texts of the similarity stand close
+    def of_group(key, t, root, n, rest, firsts, maps):
+        # by size: texts of the similarity stand close, and maps of one size stand together
         upto = np.searchsorted(n, n / similarity + _EPS, "right")
-        for k in range(len(t) - 1):
-            others = slice(k + 1, upto[k])
-            ok = root[others] != root[k]
-            ok &= np.bitwise_count(parity[others] ^ parity[k]).sum(axis=1, dtype=np.int64) <= most_apart(n[others] + n[k], similarity)
-            if ok.any():
-                other, shown = t[others][ok], firsts[others][ok]
-                fresh = ~(np.isin(shown, firsts[k]) & (shown < key)).any(axis=1)
-                yield np.minimum(other, t[k])[fresh], np.maximum(other, t[k])[fresh]
+        size = np.array([len(m) for m in maps])
+        starts = np.flatnonzero(np.r_[True, size[1:] != size[:-1]])
+        blocks = [(at, end, np.frombuffer(b"".join(maps[at:end]), np.uint64).reshape(end - at, -1)) for at, end in zip(starts, [*starts[1:], len(t)], strict=True)]
+        earlier = ~np.logical_or.accumulate(firsts == key, axis=1)
+        for (at, end, own), after in zip(blocks, [*blocks[1:], None], strict=True):
+            # sets of the similarity have maps of one size, or one twice the other
+            if after is not None and after[2].shape[1] == 2 * own.shape[1]:
+                own = np.concatenate([own, folded(after[2])])
+            for k in range(at, end):
+                others = slice(k + 1, min(upto[k], at + len(own)))
+                ok = np.flatnonzero((root[others] != root[k]) & can_share(n[k], rest[k], n[others], rest[others], similarity)) + k + 1
+                if not len(ok):
+                    continue
+                differ = np.bitwise_count(own[ok - at] ^ own[k - at]).sum(axis=1, dtype=np.int64)
+                ok = ok[differ <= most_apart(n[ok] + n[k], similarity)]
+                if len(ok):
+                    ok = ok[~(np.isin(firsts[ok], firsts[k]) & earlier[ok]).any(axis=1)]
+                    yield np.minimum(t[ok], t[k]), np.maximum(t[ok], t[k])
 
     def run(batches):
         found, size = [], 0
@@ -277,12 +327,11 @@ def prefix_pairs(shared: DataFrame, roots: DataFrame, texts: DataFrame, similari
         def given():
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=["a", "b"])
 
-        for rows in _grouped(batches):
+        for rows, maps in _grouped(batches):
             cuts = np.flatnonzero(np.r_[True, rows[0, 1:] != rows[0, :-1], True])
             for at, end in zip(cuts, cuts[1:], strict=False):
-                _, t, root, n = rows[:4, at:end]
-                firsts, parity = (np.ascontiguousarray(part.T) for part in np.split(rows[4:, at:end], [FIRST]))
-                for part in of_group(rows[0, at], t, root, n, firsts, parity.view(np.uint64)):
+                _, t, root, n, rest = rows[:5, at:end]
+                for part in of_group(rows[0, at], t, root, n, rest, np.ascontiguousarray(rows[5:, at:end].T), maps[at:end]):
                     found.append(part)
                     size += len(part[0])
                     if size >= OUT:

@@ -381,6 +381,48 @@ def test_common_passages_give_no_squares(spark):
     assert len(alike) == 10 and alike <= set(found) and len(found) == len(set(found)) < len(texts)
 
 
+def test_long_texts_that_share_a_line_give_no_pairs(spark):
+    """Long texts with a line in common are told apart where they meet; near copies are found whatever the sizes of their maps."""
+    rng = random.Random(6)
+    line = " ".join(f"c{i}" for i in range(9))
+    texts = [" ".join(f"w{rng.random()}" for _ in range(rng.randrange(3300, 5000))).split() for _ in range(40)]
+    texts += [t[: round(len(t) * share)] for t, share in zip(texts[:12], [0.81, 0.85, 0.9, 0.99] * 3, strict=True)]
+    texts += [["z", *t[:2000], "y", *t[2000:]] for t in texts[:6]]
+    docs = spark.createDataFrame([(i, f"{line} {' '.join(t)}") for i, t in enumerate(texts)], "doc_id long, _text string").withColumn("_t", F.xxhash64("_text"))
+    sets = {r["_t"]: set(nearcopies.shingle_set(nearcopies.shingle_hashes(r["_text"])).tolist()) for r in docs.collect()}
+    alike = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert len({len(nearcopies.parities(np.array(sorted(s), np.uint64))) for s in sets.values()}) > 1
+    # the line first in the order of shingles, so that all texts meet under it
+    shown = nearcopies.shared_shingles(docs.select("_text", "_t"), np.unique(np.array([x for s in sets.values() for x in s - _line(line)], np.uint64)), 0.8)
+    assert shown.groupBy("key").count().agg(F.max("count")).first()[0] == len(texts)
+    roots = spark.createDataFrame([], "node long, root long")
+    found = [tuple(r) for r in nearcopies.prefix_pairs(shown, roots, nearcopies.sketches(docs, "_text", ["_t"]), 0.8).collect()]
+    assert len(alike) >= 18 and alike <= set(found) and len(found) == len(set(found)) < len(texts)
+
+
+def _line(line):
+    return set(nearcopies.shingle_set(nearcopies.shingle_hashes(line)).tolist())
+
+
+def test_partners_are_kept_where_sets_first_meet():
+    """Whatever two sets of the similarity share first keeps both, also among rows of others."""
+    rng = np.random.default_rng(8)
+    none, kept = np.zeros(0, np.uint64), 0
+    for _ in range(60):
+        base = np.unique(rng.integers(0, 2**64, 60, np.uint64))
+        sets = [np.unique(np.r_[base[rng.random(len(base)) < share], rng.integers(0, 2**64, 5, np.uint64)]) for share in (0.7, 0.9, 0.95, 1.0)]
+        rows = sorted((int(k), len(s), len(s) - at, i) for i, s in enumerate(sets) for at, k in enumerate(nearcopies.prefix(s, none, 0.8)))
+        key, n, rest = (np.array([r[c] for r in rows], np.uint64 if c == 0 else np.int64) for c in range(3))
+        good = nearcopies._partnered(key, n, rest, 0.8)
+        left = [{r[0] for r, ok in zip(rows, good, strict=True) if ok and r[3] == i} for i in range(len(sets))]
+        for i, j in ((i, j) for i in range(len(sets)) for j in range(i)):
+            shared = len(np.intersect1d(sets[i], sets[j]))
+            if shared >= 0.8 * (len(sets[i]) + len(sets[j]) - shared):
+                kept += 1
+                assert min(sets[i][np.isin(sets[i], sets[j])]) in left[i] & left[j]
+    assert kept > 60
+
+
 def test_parities_differ_no_more_than_sets():
     rng = np.random.default_rng(3)
     for n in (0, 1, 7, 300, 3000):
